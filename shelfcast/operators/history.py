@@ -36,11 +36,7 @@ def history_rows(
     day = F.col("day_number")
     position = day - panel.start
     history = F.col("history")
-    long_means = {
-        w: F.transform(F.sequence(F.lit(0), F.size(history) - 1), lambda i, w=w: _slice_mean(i, w))
-        for w in config.rolling_windows
-        if w > _UNROLLED_DAYS
-    }
+    long_means = {w: _mean_array(w) for w in config.rolling_windows if w > _UNROLLED_DAYS}
     packed = panel.frame.select(
         *ID_COLUMNS, *carry, history,
         panel.days.alias("_days"),
@@ -112,10 +108,14 @@ def history_long(sales: DataFrame, config: FeatureConfig, block_days: int = 512)
     )
 
 
-def _slice_mean(position: Column, window: int) -> Column:
-    """Mean of the ``window`` entries of ``history`` before a 0-based position."""
-    start = F.greatest(position - window, F.lit(0)) + 1
-    total = F.aggregate(
-        F.slice("history", start, F.lit(window)), F.lit(0.0), lambda sum_, value: sum_ + value
-    )
-    return F.when(position >= window, total / F.lit(float(window)))
+def _mean_array(window: int) -> Column:
+    """For each entry of ``history`` the mean of the ``window`` entries before it."""
+    history = F.col("history")
+
+    def mean(position: Column) -> Column:
+        start = F.greatest(position - window, F.lit(0)) + 1
+        before = F.slice(history, start, F.lit(window))
+        total = F.aggregate(before, F.lit(0.0), lambda sum_, value: sum_ + value)
+        return F.when(position >= window, total / F.lit(float(window)))
+
+    return F.transform(F.sequence(F.lit(0), F.size(history) - 1), mean)

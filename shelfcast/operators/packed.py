@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.config import ID_COLUMNS, SERIES_KEY, FeatureConfig
-from shelfcast.operators.reshape import day_columns
+from shelfcast.operators.reshape import array_of, day_columns
 
 
 @dataclass(frozen=True)
@@ -77,12 +77,7 @@ def pack_wide(sales: DataFrame, config: FeatureConfig) -> PackedPanel:
 
     first, last = min(needed), max(needed)
     names = [columns.get(day) if day in needed else None for day in range(first, last + 1)]
-    types = {dict(sales.dtypes)[name] for name in names if name}
-    if None not in names and len(types) == 1:
-        history = F.array(*names).cast("array<double>")
-    else:
-        history = F.array(*((F.col(n) if n else F.lit(None)).cast("double") for n in names))
-    frame = sales.select(*ID_COLUMNS, history.alias("history"))
+    frame = sales.select(*ID_COLUMNS, array_of(names).cast("array<double>").alias("history"))
     whole = chosen[-1] - chosen[0] + 1 == len(chosen)
     return PackedPanel(
         frame, first, F.lit(chosen[0]), F.lit(chosen[-1]), None if whole else chosen

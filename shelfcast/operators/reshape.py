@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.config import ID_COLUMNS
@@ -17,6 +17,14 @@ def day_columns(columns: Iterable[str]) -> list[str]:
     return [numbered[number] for number in sorted(numbered)]
 
 
+def array_of(names: Iterable[str | None]) -> Column:
+    """Array of columns, with a null where there is no name.
+
+    Given as one text: thousands of column objects would take seconds to make.
+    """
+    return F.expr("array({})".format(", ".join(f"`{name}`" if name else "NULL" for name in names)))
+
+
 def unpivot_sales(sales: DataFrame, days: Sequence[str] | None = None) -> DataFrame:
     """Wide panel -> ``(ids, d, sales)`` with null sales kept.
 
@@ -24,8 +32,8 @@ def unpivot_sales(sales: DataFrame, days: Sequence[str] | None = None) -> DataFr
     once, however many days there are, and rows are never copied through an expand of N projections.
     """
     days = list(days) if days is not None else day_columns(sales.columns)
-    names = F.array(*(F.lit(day) for day in days))
-    gathered = sales.select(*ID_COLUMNS, F.array(*days).alias("values"))
+    names = F.expr("array({})".format(", ".join(f"'{day}'" for day in days)))
+    gathered = sales.select(*ID_COLUMNS, array_of(days).alias("values"))
     numbered = gathered.select(*ID_COLUMNS, F.posexplode("values").alias("position", "sales"))
     return numbered.select(*ID_COLUMNS, F.get(names, F.col("position")).alias("d"), "sales")
 

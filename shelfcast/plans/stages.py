@@ -65,13 +65,13 @@ def profile_scan(spark: SparkSession, features_dir: str) -> dict[str, float]:
     features = read_features(spark, features_dir)
     scanned, grouped = Observation("scan"), Observation("groups")
     started = time.perf_counter()
-    profile = group_profile(
-        features.observe(
-            scanned,
-            F.count(F.lit(1)).alias("input_rows"),
-            (F.coalesce(F.max(F.spark_partition_id()), F.lit(-1)) + 1).alias("input_partitions"),
-        )
-    ).observe(grouped, F.count(F.lit(1)).alias("aggregation_groups"))
+    counted = features.withColumn("_partition", F.spark_partition_id()).observe(
+        scanned,
+        F.count(F.lit(1)).alias("input_rows"),
+        (F.coalesce(F.max("_partition"), F.lit(-1)) + 1).alias("input_partitions"),
+    )
+    profile = group_profile(counted)
+    profile = profile.observe(grouped, F.count(F.lit(1)).alias("aggregation_groups"))
     profile.write.format("noop").mode("overwrite").save()
     seconds = time.perf_counter() - started
     return {**scanned.get, **grouped.get, "benchmark_duration_seconds": seconds}

@@ -25,7 +25,7 @@ from shelfcast.plans.forest import (
 )
 from shelfcast.plans.reports import stage_time_rollup
 from shelfcast.sources.order_lines import OrderLinePanel
-from shelfcast.sources.raw_panel import CALENDAR_FILE, PRICES_FILE, SALES_FILE, read_raw_panel
+from shelfcast.sources.raw_panel import CALENDAR_FILE, PRICES_FILE, SALES_FILE, read_raw_panel, read_raw_sales
 from shelfcast.sources.saved import (
     load_model,
     read_features,
@@ -38,6 +38,7 @@ from shelfcast.sources.saved import (
 
 CONFIG = FeatureConfig()
 RECENT = FeatureConfig(limit_days=128)
+STORED = FeatureConfig(auto_partitions=True)
 HISTORY = ["id", "d", "day_number", "sales", *CONFIG.history_columns]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,10 +53,25 @@ def features_of(panel: OrderLinePanel, config: FeatureConfig = CONFIG) -> DataFr
 
 def _stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "features")
-    write_features(features_of(OrderLinePanel(spark, sf_dir)), path, CONFIG)
+    write_features(features_of(OrderLinePanel(spark, sf_dir)), path, STORED)
     return read_features(spark, path)
 
 
+def _stored_raw(spark: SparkSession, panel: OrderLinePanel, *frames: str) -> str:
+    """The panel written in its raw CSV form; returns the folder."""
+    folder = scratch_path(spark, "raw")
+    makers = {SALES_FILE: panel.wide, CALENDAR_FILE: panel.calendar, PRICES_FILE: panel.prices}
+    for name in frames or makers:
+        makers[name]().write.csv(f"{folder}/{name}", header=True)
+    return folder
+
+
+def _raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide panel as a file, which is how wide panels come."""
+    folder = _stored_raw(spark, OrderLinePanel(spark, sf_dir), SALES_FILE)
+    return read_raw_sales(spark, folder)
+
+
 def _numbered_calendar(panel: OrderLinePanel) -> DataFrame:
     return calendars.numbered_days(calendars.calendar_features(panel.calendar()))
 
@@ -70,12 +86,7 @@ def _recent_calendar(panel: OrderLinePanel) -> DataFrame:
 
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the panel in its raw CSV form, read it back, join its three files."""
-    panel = OrderLinePanel(spark, sf_dir)
-    folder = scratch_path(spark, "raw")
-    for frame, name in (
-        (panel.wide(), SALES_FILE), (panel.calendar(), CALENDAR_FILE), (panel.prices(), PRICES_FILE)
-    ):
-        frame.write.csv(f"{folder}/{name}", header=True)
+    folder = _stored_raw(spark, OrderLinePanel(spark, sf_dir))
     sales, calendar, prices = read_raw_panel(spark, folder)
     rows = unpivot_sales(sales).join(calendar.select("d", "wm_yr_wk"), "d")
     return price_ops.join_prices(rows, prices).select("id", "d", "sales", "wm_yr_wk", "sell_price")
@@ -168,12 +179,12 @@ def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def panel_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return unpivot_sales(OrderLinePanel(spark, sf_dir).wide()).select(*ID_COLUMNS, "d", "sales")
+    return unpivot_sales(_raw_sales(spark, sf_dir)).select(*ID_COLUMNS, "d", "sales")
 
 
 def panel_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide panel unpivoted in four pieces of days, which are united by name."""
-    wide = OrderLinePanel(spark, sf_dir).wide()
+    wide = _raw_sales(spark, sf_dir)
     days = day_columns(wide.columns)
     size = -(-len(days) // 4)
     pieces = [unpivot_sales(wide, days[at : at + size]) for at in range(0, len(days), size)]
@@ -191,7 +202,7 @@ def trailing_means(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def history_wide_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history_wide(OrderLinePanel(spark, sf_dir).wide(), CONFIG).select(*HISTORY)
+    return history_wide(_raw_sales(spark, sf_dir), CONFIG).select(*HISTORY)
 
 
 def history_long_query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,18 +40,29 @@ def read_raw_panel(
     for inference and unused day columns are never converted. A value that does not fit its type
     fails the job. ``infer=True`` leaves the types to Spark.
     """
+    return RawPanel(
+        read_raw_sales(spark, directory, day_type=day_type, infer=infer),
+        _read(spark, directory, CALENDAR_FILE, lambda c: _CALENDAR_TYPES.get(c, "string"), infer),
+        _read(spark, directory, PRICES_FILE, lambda c: _PRICE_TYPES.get(c, "string"), infer),
+    )
 
-    def read(name: str, type_of: Callable[[str], str]) -> DataFrame:
-        path = child_path(directory, name)
-        reader = spark.read.option("header", True)
-        if infer:
-            return open_path(lambda: reader.csv(path, inferSchema=True), path)
-        header = open_path(lambda: reader.csv(path).columns, path)
-        schema = ", ".join(f"`{column}` {type_of(column)}" for column in header)
-        return reader.option("mode", "FAILFAST").csv(path, schema=schema)
 
-    return RawPanel(
-        read(SALES_FILE, lambda column: day_type if column.startswith("d_") else "string"),
-        read(CALENDAR_FILE, lambda column: _CALENDAR_TYPES.get(column, "string")),
-        read(PRICES_FILE, lambda column: _PRICE_TYPES.get(column, "string")),
+def read_raw_sales(
+    spark: SparkSession, directory: str, *, day_type: str = "int", infer: bool = False
+) -> DataFrame:
+    """The wide sales panel alone."""
+    return _read(
+        spark, directory, SALES_FILE, lambda c: day_type if c.startswith("d_") else "string", infer
     )
+
+
+def _read(
+    spark: SparkSession, directory: str, name: str, type_of: Callable[[str], str], infer: bool
+) -> DataFrame:
+    path = child_path(directory, name)
+    reader = spark.read.option("header", True)
+    if infer:
+        return open_path(lambda: reader.csv(path, inferSchema=True), path)
+    header = open_path(lambda: reader.csv(path).columns, path)
+    schema = ", ".join(f"`{column}` {type_of(column)}" for column in header)
+    return reader.option("mode", "FAILFAST").csv(path, schema=schema)

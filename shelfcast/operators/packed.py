@@ -103,34 +103,65 @@ def pack_long(
         last_day = sales.agg(F.max("day_number")).scalar()
     elif isinstance(last_day, int):
         last_day = F.lit(last_day)
-    entry = F.struct(F.col("day_number").alias("day"), F.col("sales").cast("double").alias("value"))
-    gathered = sales.where(F.col("day_number") >= 1).groupBy(*keys).agg(
-        *(F.any_value(name).alias(name) for name in attributes if name not in keys),
-        F.sort_array(F.collect_list(entry)).alias("entries"),
-    )
-    frame = gathered.select(
-        *attributes, dense_array(F.col("entries"), last_day, fill).alias("history")
-    )
+    frame = gather_dense(
+        sales.where(F.col("day_number") >= 1),
+        keys,
+        F.col("day_number"),
+        F.col("sales").cast("double"),
+        "history",
+        last=last_day,
+        fill=fill,
+        keep=[name for name in attributes if name not in keys],
+    ).select(*attributes, "history")
     first = F.lit(1) if limit_days is None else F.greatest(last_day - limit_days + 1, F.lit(1))
     return PackedPanel(frame, 1, first, last_day)
 
 
-def dense_array(entries: Column, last_day: Column, fill: float | None) -> Column:
-    """Sorted ``(day, value)`` entries -> one value for each of the days ``1 ... last_day``.
+def gather_dense(
+    rows: DataFrame,
+    keys: Sequence[str],
+    place: Column,
+    value: Column,
+    name: str,
+    *,
+    last: Column | None = None,
+    fill: float | None = None,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """One row per key with an array ``name`` of its values, each at its 1-based ``place``.
 
-    Walks the entries once, putting a run of ``fill`` before each of them and one behind the last.
+    The array reaches to ``last``, or to the last place of the key, and holds ``fill`` where there is no
+    value. Two values for one place raise. ``keep`` names columns that the keys determine.
     """
+    entry = F.struct(place.alias("place"), value.alias("value"))
+    gathered = rows.groupBy(*keys).agg(
+        *(F.any_value(column).alias(column) for column in keep),
+        F.sort_array(F.collect_list(entry)).alias("entries"),
+    )
+    entries, array = F.col("entries"), F.col(name)
+    own_last = F.element_at(entries, -1)["place"]
+    length = own_last if last is None else F.greatest(last, own_last)
+    dense = gathered.select(
+        *keys, *keep, length.alias("length"), _dense(entries, length, fill).alias(name)
+    )
+    repeated = F.raise_error(F.lit(f"two values for one place of {name} by {', '.join(keys)}"))
+    whole = F.when(F.size(array) == F.col("length"), array).otherwise(repeated)
+    return dense.select(*keys, *keep, whole.alias(name))
+
+
+def _dense(entries: Column, length: Column, fill: float | None) -> Column:
+    """Walks sorted entries once, with a run of ``fill`` before each of them and behind the last."""
     blank = F.lit(fill).cast("double")
-    days = F.transform(entries, lambda entry: entry["day"])
-    previous = F.concat(F.array(F.lit(0)), F.slice(days, 1, F.size(days) - 1))
+    places = F.transform(entries, lambda entry: entry["place"])
+    previous = F.concat(F.array(F.lit(0)), F.slice(places, 1, F.size(places) - 1))
     runs = F.zip_with(
         entries,
         previous,
         lambda entry, before: F.concat(
-            F.array_repeat(blank, entry["day"] - before - 1), F.array(entry["value"])
+            F.array_repeat(blank, entry["place"] - before - 1), F.array(entry["value"])
         ),
     )
-    tail = F.array_repeat(blank, last_day - F.element_at(entries, -1)["day"])
+    tail = F.array_repeat(blank, length - F.element_at(entries, -1)["place"])
     return F.concat(F.flatten(runs), tail)
 
 

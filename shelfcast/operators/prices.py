@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.config import PRICE_KEYS
-from shelfcast.operators.packed import PackedPanel
+from shelfcast.operators.packed import PackedPanel, gather_dense
 
 _SERIES_KEYS = ["store_id", "item_id"]
-_FOLDED = "_price_by_week"
+FOLDED = "_price_by_week"
+_WEEK = "_week"
 
 
 def prune_prices(prices: DataFrame, weeks: DataFrame) -> DataFrame:
@@ -27,31 +28,35 @@ def prices_are_unique(prices: DataFrame) -> bool:
 
 def join_prices(panel: DataFrame, prices: DataFrame) -> DataFrame:
     """Left join on (store, item, week); repeated price keys repeat the panel row."""
-    priced = prices.select(*PRICE_KEYS, "sell_price")
+    priced = prices.select(*PRICE_KEYS, F.col("sell_price").cast("double").alias("sell_price"))
     return panel.join(priced, list(PRICE_KEYS), "left")
 
 
-def fold_prices(panel: PackedPanel, prices: DataFrame) -> tuple[PackedPanel, str]:
+def number_weeks(calendar: DataFrame) -> DataFrame:
+    """Adds the rank of each row's week; a window over the calendar, which has one row a day."""
+    by_week = Window.orderBy(F.col("wm_yr_wk").asc_nulls_last())
+    return calendar.withColumn(_WEEK, F.dense_rank().over(by_week))
+
+
+def fold_prices(panel: PackedPanel, prices: DataFrame, calendar: DataFrame) -> PackedPanel:
     """Join prices to packed series, for price keys that are unique.
 
-    All weeks of a (store, item) become one map, which the series then carries; the long rows look
-    their price up in it. Only packed series and prices are shuffled, never the long rows. A map
-    has one entry per week.
+    All prices of a (store, item) become one array over the weeks of the calendar, which comes from
+    ``number_weeks``; the long rows then read their price by position. Only packed series and prices
+    are shuffled, never the long rows, and an array has one entry a week.
     """
-    entry = F.struct("wm_yr_wk", "sell_price")
-    folded = (
-        prices.where(F.col("wm_yr_wk").isNotNull())
-        .groupBy(*_SERIES_KEYS)
-        .agg(F.map_from_entries(F.collect_list(entry)).alias(_FOLDED))
+    weeks = calendar.where(F.col("wm_yr_wk").isNotNull()).select("wm_yr_wk", _WEEK).distinct()
+    folded = gather_dense(
+        prices.join(weeks, "wm_yr_wk"), _SERIES_KEYS, F.col(_WEEK),
+        F.col("sell_price").cast("double"), FOLDED,
     )
-    frame = panel.frame.join(folded, _SERIES_KEYS, "left")
-    return replace(panel, frame=frame), _FOLDED
+    return replace(panel, frame=panel.frame.join(folded, _SERIES_KEYS, "left"))
 
 
-def look_up_price(panel: DataFrame, folded: str) -> DataFrame:
+def look_up_price(panel: DataFrame) -> DataFrame:
     """Replace the folded prices by the price of the row's week, null if there is none."""
-    price = F.try_element_at(F.col(folded), F.col("wm_yr_wk"))
-    return panel.withColumn("sell_price", price).drop(folded)
+    price = F.get(F.col(FOLDED), F.col(_WEEK) - 1)
+    return panel.withColumn("sell_price", price).drop(FOLDED, _WEEK)
 
 
 def fill_missing(panel: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,10 +18,12 @@ from shelfcast.operators.calendar import (
 from shelfcast.operators.history import history_rows
 from shelfcast.operators.packed import PackedPanel, pack_long, pack_wide
 from shelfcast.operators.prices import (
+    FOLDED,
     fill_missing,
     fold_prices,
     join_prices,
     look_up_price,
+    number_weeks,
     prices_are_unique,
     prune_prices,
 )
@@ -65,24 +69,36 @@ def assemble(
 ) -> DataFrame:
     """Join history, calendar and prices and keep the complete rows."""
     days = numbered_days(calendar_features(calendar)).where(panel.covers(F.col("day_number")))
-    if config.limit_days is not None:
-        prices = prune_prices(prices, selected_weeks(days))
     if unique_prices is None:
         unique_prices = prices_are_unique(prices)
 
     panel = panel.after_warm_up(config.reach)
     if unique_prices:
-        priced, folded = fold_prices(panel, prices)
-        rows = join_calendar(history_rows(priced, config, carry=[folded]), days)
-        rows = look_up_price(rows, folded)
+        days = number_weeks(days)
+        priced = fold_prices(panel, prices, days)
+        rows = join_calendar(history_rows(priced, config, carry=[FOLDED]), days)
+        rows = look_up_price(complete_rows(rows, _nullable(config)))
     else:
-        rows = join_prices(join_calendar(history_rows(panel, config), days), prices)
-    return complete_rows(
-        fill_missing(rows).withColumn("item_hash", item_bucket(F.col("item_id"))), config
-    )
+        prices = prune_prices(prices, selected_weeks(days))
+        rows = join_calendar(history_rows(panel, config), days)
+        rows = join_prices(complete_rows(rows, _nullable(config)), prices)
+    hashed = fill_missing(rows).withColumn("item_hash", item_bucket(F.col("item_id")))
+    return hashed.select(*config.table_columns)
+
+
+def complete_rows(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows with neither null nor NaN in the given columns."""
+    return rows.dropna(subset=list(columns))
 
 
-def complete_rows(rows: DataFrame, config: FeatureConfig) -> DataFrame:
-    """Rows with neither null nor NaN in a model input or in the sales, columns in table order."""
-    kept = rows.dropna(subset=[*config.feature_columns, "sales"])
-    return kept.select(*config.table_columns)
+def required_columns(config: FeatureConfig) -> list[str]:
+    """What a row of the feature table must have: every model input and the sales."""
+    return [*config.feature_columns, "sales"]
+
+
+def _nullable(config: FeatureConfig) -> list[str]:
+    """The required columns that can be missing at all; the others are filled or computed.
+
+    Testing only these lets incomplete rows go before prices are looked up or joined.
+    """
+    return [c for c in required_columns(config) if c not in ("sell_price", "snap", "item_hash")]

@@ -14,7 +14,7 @@ from shelfcast.operators import prices as price_ops
 from shelfcast.operators import split, summaries
 from shelfcast.operators.history import history_long, history_rows, history_wide
 from shelfcast.operators.reshape import day_columns, union_by_name, unpivot_sales
-from shelfcast.plans.features import assemble, complete_rows
+from shelfcast.plans.features import assemble, complete_rows, required_columns
 from shelfcast.plans.forest import (
     INDEX_COLUMNS,
     category_indexer,
@@ -145,7 +145,8 @@ def complete_rows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = calendars.join_calendar(history_rows(panel.packed(), CONFIG), _numbered_calendar(panel))
     priced = price_ops.fill_missing(price_ops.join_prices(rows, panel.prices()))
     hashed = priced.withColumn("item_hash", col_of.item_bucket(F.col("item_id")))
-    return complete_rows(hashed, CONFIG).select("id", "day_number", "lag_28", "rolling_mean_28")
+    complete = complete_rows(hashed, required_columns(CONFIG))
+    return complete.select("id", "day_number", "lag_28", "rolling_mean_28")
 
 
 def split_label(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -100,6 +100,14 @@ def test_repeated_price_keys_repeat_rows(spark):
     assert sorted(hit) == pytest.approx([2.02, 3.02, 4.02])
 
 
+def test_prices_wrongly_called_unique_fail(spark):
+    sales = random_sales(2, 20, 4, nulls=0.0)
+    prices = price_frame(spark, 2, 3, copies=lambda s, w: 2 if (s, w) == (1, 2) else 1)
+    parts = wide_frame(spark, sales), calendar_frame(spark, 20), prices
+    with pytest.raises(Exception, match="two values for one place"):
+        build_features(*parts, SMALL, unique_prices=True).collect()
+
+
 def test_price_strategies_agree(spark):
     sales = random_sales(6, 50, 6)
     parts = wide_frame(spark, sales), calendar_frame(spark, 50), price_frame(spark, 5, 6)

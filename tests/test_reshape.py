@@ -77,3 +77,10 @@ def test_pack_long_fills_gaps(spark, fill):
     assert found == {
         "a": [f, 5.0, f, 7.0, f, f], "b": [1.0, f, f, f, f, f], "c": [f, f, f, f, f, 2.0]
     }
+
+
+def test_pack_long_refuses_two_rows_for_a_day(spark):
+    rows = [("a", 2, 5.0), ("a", 2, 7.0), ("b", 1, 1.0)]
+    long = spark.createDataFrame(rows, "id string, day_number int, sales double")
+    with pytest.raises(Exception, match="two values for one place of history"):
+        pack_long(long, 5, attributes=["id"]).frame.collect()

@@ -19,8 +19,12 @@ def last_day_value(features: DataFrame) -> int:
     return value
 
 
-def _last_day_of(features: DataFrame, known: int | None) -> Column:
-    """A known last day as a literal, else a scalar subquery, which fails on an empty table."""
+def _last_day_of(features: DataFrame, known: int | Column | None) -> Column:
+    """A known last day, else a scalar subquery over the features, which fails on an empty table.
+
+    The subquery is cheap over stored features, of which it reads one column, and runs their whole
+    plan otherwise.
+    """
     if known is not None:
         return F.lit(known)
     empty = F.raise_error(F.lit("the feature table has no rows, so it has no last day"))
@@ -28,7 +32,7 @@ def _last_day_of(features: DataFrame, known: int | None) -> Column:
 
 
 def split_by_time(
-    features: DataFrame, validation_days: int, known_last_day: int | None = None
+    features: DataFrame, validation_days: int, known_last_day: int | Column | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """``(train, validation)``: the last ``validation_days`` days are held out."""
     cutoff = _last_day_of(features, known_last_day) - validation_days
@@ -36,15 +40,17 @@ def split_by_time(
     return features.where(day <= cutoff), features.where(day > cutoff)
 
 
-def with_split_label(features: DataFrame, validation_days: int) -> DataFrame:
+def with_split_label(
+    features: DataFrame, validation_days: int, known_last_day: int | Column | None = None
+) -> DataFrame:
     """Both parts in one pass, told apart by ``split``."""
-    cutoff = _last_day_of(features, None) - validation_days
+    cutoff = _last_day_of(features, known_last_day) - validation_days
     label = F.when(F.col("day_number") <= cutoff, "train").otherwise("validation")
     return features.withColumn("split", label)
 
 
 def scoring_window(
-    features: DataFrame, horizon: int, known_last_day: int | None = None
+    features: DataFrame, horizon: int, known_last_day: int | Column | None = None
 ) -> DataFrame:
     """Rows of the last ``horizon`` days that exist."""
     return features.where(

@@ -44,7 +44,8 @@ def append_report(
         context.master, context.defaultParallelism,
         text(inputs), text(outputs), {k: float(v) for k, v in (metrics or {}).items()},
     )
-    spark.createDataFrame([row], REPORT_SCHEMA).write.mode("append").parquet(table)
+    report = spark.createDataFrame([row], REPORT_SCHEMA).coalesce(1)
+    report.write.mode("append").parquet(table)
 
 
 def read_reports(spark: SparkSession, table: str) -> DataFrame:

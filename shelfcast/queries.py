@@ -150,14 +150,15 @@ def complete_rows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    history = _history(spark, sf_dir)
-    labelled = split.with_split_label(history, CONFIG.validation_days)
+    panel = OrderLinePanel(spark, sf_dir)
+    labelled = split.with_split_label(panel.long(), CONFIG.validation_days, panel.last_day())
     return labelled.select("id", "day_number", "sales", "split")
 
 
 def split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, days and sales of the two parts of a split."""
-    parts = split.split_by_time(OrderLinePanel(spark, sf_dir).long(), CONFIG.validation_days)
+    panel = OrderLinePanel(spark, sf_dir)
+    parts = split.split_by_time(panel.long(), CONFIG.validation_days, panel.last_day())
     named = (part.withColumn("split", F.lit(n)) for part, n in zip(parts, ("train", "validation")))
     return union_by_name(named).groupBy("split").agg(
         F.count("*").alias("rows"),
@@ -286,14 +287,17 @@ def category_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each label of each category with its rows and index, learned from the feature table."""
     features = _stored_features(spark, sf_dir).select(*CATEGORY_COLUMNS)
     indexed = category_indexer().fit(features).transform(features)
-
-    def labels(name: str, index: str) -> DataFrame:
-        return indexed.groupBy(
-            F.lit(name).alias("category"), F.col(name).alias("label"),
+    labels = F.array(*(
+        F.struct(
+            F.lit(name).alias("category"),
+            F.col(name).alias("label"),
             F.col(index).cast("int").alias("index"),
-        ).agg(F.count("*").alias("rows"))
-
-    return union_by_name(labels(n, i) for n, i in zip(CATEGORY_COLUMNS, INDEX_COLUMNS))
+        )
+        for name, index in zip(CATEGORY_COLUMNS, INDEX_COLUMNS)
+    ))
+    return indexed.select(F.inline(labels)).groupBy("category", "label", "index").agg(
+        F.count("*").alias("rows")
+    )
 
 
 def feature_vector(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import cache
 from typing import TypeVar
 
 from pyspark.errors import AnalysisException
@@ -36,10 +37,17 @@ def read_features(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def write_features(features: DataFrame, directory: str, config: FeatureConfig) -> None:
-    """One write for all days. Rows are only shuffled if a number of output files is asked for."""
+    """One write for all days. Rows are only shuffled if the layout of the files asks for it.
+
+    A given number of files is filled by hash of series and day, which is even whatever series or day
+    is large. Directories without a number of files are balanced at run time: large ones are split
+    over several tasks, and no task writes a small file into each of them.
+    """
     files = output_partitions(features.sparkSession, config)
     if files is not None:
-        features = features.repartition(files)
+        features = features.repartition(files, "id", "day_number")
+    elif config.partition_by:
+        features = features.hint("rebalance", *config.partition_by)
     writer = features.write.mode("overwrite")
     if config.partition_by:
         writer = writer.partitionBy(*config.partition_by)
@@ -78,11 +86,17 @@ def read_predictions(spark: SparkSession, directory: str) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder of ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of its own machine.
+    Only a local session without that setting gets a temporary folder of its own machine, which goes
+    when Python ends.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="shelfcast-")
+        shared = _local_folder().name
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@cache
+def _local_folder() -> tempfile.TemporaryDirectory:
+    return tempfile.TemporaryDirectory(prefix="shelfcast-", ignore_cleanup_errors=True)

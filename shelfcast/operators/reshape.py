@@ -32,9 +32,12 @@ def unpivot_sales(sales: DataFrame, days: Sequence[str] | None = None) -> DataFr
     once, however many days there are, and rows are never copied through an expand of N projections.
     """
     days = list(days) if days is not None else day_columns(sales.columns)
+    if not days:
+        raise ValueError("there are no day columns to unpivot")
     names = F.expr("array({})".format(", ".join(f"'{day}'" for day in days)))
     gathered = sales.select(*ID_COLUMNS, array_of(days).alias("values"))
-    numbered = gathered.select(*ID_COLUMNS, F.posexplode("values").alias("position", "sales"))
+    # Outer, so that no filter on the size of the array is inferred, which would build it twice.
+    numbered = gathered.select(*ID_COLUMNS, F.posexplode_outer("values").alias("position", "sales"))
     return numbered.select(*ID_COLUMNS, F.get(names, F.col("position")).alias("d"), "sales")
 
 

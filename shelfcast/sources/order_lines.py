@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.config import ID_COLUMNS
+from shelfcast.config import ID_COLUMNS, FeatureConfig
 from shelfcast.functions.columns import day_label
+from shelfcast.operators.history import history_rows
 from shelfcast.operators.packed import PackedPanel, pack_long
 
 _SERIES = ["p_brand", "s_nationkey"]
@@ -96,14 +97,8 @@ class OrderLinePanel:
         return PackedPanel(frame, panel.start, panel.first, panel.last)
 
     def long(self) -> DataFrame:
-        """``(ids, day_number, d, sales)`` for every series and day."""
-        days = self.packed().frame.select(
-            *ID_COLUMNS, F.posexplode("history").alias("position", "sales")
-        )
-        number = F.col("position") + 1
-        return days.select(
-            *ID_COLUMNS, number.alias("day_number"), day_label(number).alias("d"), "sales"
-        )
+        """``(ids, d, sales, day_number)`` for every series and day."""
+        return history_rows(self.packed(), FeatureConfig(lags=(), rolling_windows=()))
 
     def wide(self) -> DataFrame:
         """The panel with columns ``d_1 ... d_N``; their number is read from the table first."""

@@ -22,11 +22,11 @@ class PackedPanel:
     """``frame`` holds the ids and ``history``, whose first entry is day ``start``.
 
     Rows are put out for the days ``first ... last``, or for ``listed`` days where those have gaps.
-    ``first`` and ``last`` are literals or scalar subqueries, so they fit into any frame.
+    ``start``, ``first`` and ``last`` are literals or scalar subqueries: they fit into any frame.
     """
 
     frame: DataFrame
-    start: int
+    start: int | Column
     first: Column
     last: Column
     listed: tuple[int, ...] | None = None
@@ -86,35 +86,42 @@ def pack_wide(sales: DataFrame, config: FeatureConfig) -> PackedPanel:
 
 def pack_long(
     sales: DataFrame,
+    config: FeatureConfig = FeatureConfig(),
     last_day: Column | int | None = None,
     *,
     attributes: Sequence[str] = ID_COLUMNS,
     key: str | Sequence[str] = SERIES_KEY,
     fill: float | None = None,
-    limit_days: int | None = None,
 ) -> PackedPanel:
     """Pack rows ``(ids, day_number, sales)``, unique per series and day, starting at day 1.
 
     Missing days become ``fill``, or null if there is none: a gap is never closed by shifting. A
-    series collects at most one entry per day of the calendar, whatever the size of the table.
+    series gathers at most one entry per day of the calendar, whatever the size of the table. Without
+    a fill only the rows that ``limit_days`` and its look-back need are gathered at all; with one,
+    every series counts, also one that last sold long ago.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if last_day is None:
         last_day = sales.agg(F.max("day_number")).scalar()
     elif isinstance(last_day, int):
         last_day = F.lit(last_day)
+    first, skipped = F.lit(1), F.lit(0)
+    if config.limit_days is not None:
+        first = F.greatest(last_day - config.limit_days + 1, first)
+        if fill is None:
+            skipped = F.greatest(last_day - config.limit_days - config.reach, skipped)
+    day = F.col("day_number")
     frame = gather_dense(
-        sales.where(F.col("day_number") >= 1),
+        sales.where((day >= 1) & (day > skipped)),
         keys,
-        F.col("day_number"),
+        day - skipped,
         F.col("sales").cast("double"),
         "history",
-        last=last_day,
+        last=last_day - skipped,
         fill=fill,
         keep=[name for name in attributes if name not in keys],
     ).select(*attributes, "history")
-    first = F.lit(1) if limit_days is None else F.greatest(last_day - limit_days + 1, F.lit(1))
-    return PackedPanel(frame, 1, first, last_day)
+    return PackedPanel(frame, skipped + 1, first, last_day)
 
 
 def gather_dense(

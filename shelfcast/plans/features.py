@@ -56,7 +56,7 @@ def build_features_from_long(
     unique_prices: bool | None = None,
 ) -> DataFrame:
     """Feature table of long rows ``(ids, day_number, sales)``, unique per series and day."""
-    panel = pack_long(sales, last_day, fill=fill, limit_days=config.limit_days)
+    panel = pack_long(sales, config, last_day, fill=fill)
     return assemble(panel, calendar, prices, config, unique_prices)
 
 

@@ -46,7 +46,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def features_of(panel: OrderLinePanel, config: FeatureConfig = CONFIG) -> DataFrame:
     return assemble(
-        panel.packed(config.limit_days), panel.calendar(), panel.prices(), config,
+        panel.packed(config), panel.calendar(), panel.prices(), config,
         unique_prices=True,
     )
 
@@ -112,7 +112,7 @@ def prediction_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def panel_recent_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last 128 days, each with history from all days before it."""
-    packed = OrderLinePanel(spark, sf_dir).packed(RECENT.limit_days)
+    packed = OrderLinePanel(spark, sf_dir).packed(RECENT)
     return history_rows(packed, RECENT).select(*HISTORY)
 
 

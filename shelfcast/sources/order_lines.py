@@ -74,7 +74,7 @@ class OrderLinePanel:
             F.col("r_name").alias("state_id"),
         )
 
-    def packed(self, limit_days: int | None = None) -> PackedPanel:
+    def packed(self, config: FeatureConfig = FeatureConfig()) -> PackedPanel:
         """The panel with one row per series.
 
         Lines are summed per series and day before anything is gathered, map-side first, so a series
@@ -82,7 +82,7 @@ class OrderLinePanel:
         """
         daily = self.lines().groupBy(*_SERIES, "day_number").agg(F.sum("sales").alias("sales"))
         panel = pack_long(
-            daily, self.last_day(), attributes=_SERIES, key=_SERIES, fill=0.0, limit_days=limit_days
+            daily, config, self.last_day(), attributes=_SERIES, key=_SERIES, fill=0.0
         )
         brand = F.regexp_extract("item_id", r"(\d+)", 1).cast("int")
         frame = self._with_names(panel.frame).select(
@@ -103,8 +103,9 @@ class OrderLinePanel:
     def wide(self) -> DataFrame:
         """The panel with columns ``d_1 ... d_N``; their number is read from the table first."""
         last = self.bounds().select(F.date_diff("last_date", "first_date") + 1).first()[0]
-        days = (f"CAST(history[{day - 1}] AS INT) AS d_{day}" for day in range(1, last + 1))
-        return self.packed().frame.selectExpr(*ID_COLUMNS, *days)
+        whole = self.packed().frame.withColumn("history", F.col("history").cast("array<int>"))
+        days = (f"history[{day - 1}] AS d_{day}" for day in range(1, last + 1))
+        return whole.selectExpr(*ID_COLUMNS, *days)
 
     def calendar(self) -> DataFrame:
         """One row per day from the first to the last ship date."""

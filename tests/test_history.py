@@ -22,7 +22,7 @@ def test_all_forms_agree_with_brute_force(spark, config, seed):
     long = long_frame(spark, sales)
     for block_days in (512, 16, 1):
         assert_history(history_long(long, config, block_days), expected, config)
-    assert_history(history_rows(pack_long(long), config), expected, config)
+    assert_history(history_rows(pack_long(long, config), config), expected, config)
 
 
 def test_long_form_never_shifts_over_a_gap(spark):
@@ -35,7 +35,7 @@ def test_long_form_never_shifts_over_a_gap(spark):
     expected = brute_force(sales, config, keep)
     long = long_frame(spark, sales, keep)
     assert_history(history_long(long, config, 8), expected, config)
-    dense = history_rows(pack_long(long), config).where("sales IS NOT NULL")
+    dense = history_rows(pack_long(long, config), config).where("sales IS NOT NULL")
     assert_history(dense, expected, config)
 
 
@@ -57,7 +57,7 @@ def test_recent_days_keep_their_history(spark, form):
     if form == "wide":
         recent = history_wide(wide_frame(spark, sales), config)
     else:
-        recent = history_rows(pack_long(long_frame(spark, sales), limit_days=10), config)
+        recent = history_rows(pack_long(long_frame(spark, sales), config), config)
     every = brute_force(sales, config)
     assert_history(recent, {k: v for k, v in every.items() if k[1] > 50}, config)
 
@@ -67,7 +67,7 @@ def test_more_days_asked_for_than_there_are(spark):
     config = FeatureConfig(lags=(1,), rolling_windows=(2,), limit_days=50)
     expected = brute_force(sales, config)
     assert_history(history_wide(wide_frame(spark, sales), config), expected, config)
-    long = pack_long(long_frame(spark, sales), limit_days=50)
+    long = pack_long(long_frame(spark, sales), config)
     assert_history(history_rows(long, config), expected, config)
 
 
@@ -94,3 +94,28 @@ def test_long_form_partitions_by_series_and_block(spark):
 def test_config_rejects(bad):
     with pytest.raises(ValueError):
         FeatureConfig(**bad)
+
+
+def test_one_series_with_most_of_the_rows(spark):
+    """A long series is cut into blocks; the others have a few days each."""
+    config = FeatureConfig()
+    sales = random_sales(6, 700, 13, nulls=0.01)
+
+    def keep(series, day):
+        return series == 0 or day > 640
+
+    expected = brute_force(sales, config, keep)
+    long = long_frame(spark, sales, keep)
+    assert_history(history_long(long, config, 64), expected, config)
+    dense = history_rows(pack_long(long, config), config)
+    days = {(r["id"], r["day_number"]) for r in long.collect()}
+    kept = dense.where("sales IS NOT NULL OR id = 'item_0_store_0' OR day_number > 640")
+    assert_history(kept, {k: expected[k] for k in days}, config)
+
+
+def test_recent_days_of_long_rows_gather_only_what_they_need(spark, tmp_path):
+    long_frame(spark, random_sales(2, 90, 14, nulls=0.0)).write.parquet(f"{tmp_path}/long")
+    config = FeatureConfig(lags=(7,), rolling_windows=(), limit_days=10)
+    panel = pack_long(spark.read.parquet(f"{tmp_path}/long"), config, 90)
+    assert "GreaterThan(day_number,73)" in panel.frame._jdf.queryExecution().toString()
+    assert {len(r["history"]) for r in panel.frame.collect()} == {17}

@@ -83,4 +83,4 @@ def test_pack_long_refuses_two_rows_for_a_day(spark):
     rows = [("a", 2, 5.0), ("a", 2, 7.0), ("b", 1, 1.0)]
     long = spark.createDataFrame(rows, "id string, day_number int, sales double")
     with pytest.raises(Exception, match="two values for one place of history"):
-        pack_long(long, 5, attributes=["id"]).frame.collect()
+        pack_long(long, last_day=5, attributes=["id"]).frame.collect()

@@ -1,7 +1,7 @@
 import math
 
 import pytest
-from panels import random_sales, wide_frame
+from panels import wide_frame
 from pyspark.ml.functions import vector_to_array
 from test_features import calendar_frame, price_frame
 

@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import slack_packing
+from shelfcast.llm import binary_records, slack_packing
 from shelfcast.llm.common import table
+from shelfcast.sources.saved import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -21,7 +22,15 @@ def op5_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    directory = scratch_path(spark, "records")
+    binary_records.write_records(table(spark, sf_dir, "documents"), directory, BYTE_BPE, end_id=0)
+    found = binary_records.read_records(spark, directory)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_slack_packing": op5_slack_packing,
+    "op6_binary_records": op6_binary_records,
 }
 ORACLES: dict[str, str] = {}

@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import binary_records, slack_packing
+from shelfcast.llm import binary_records, language_id, slack_packing
 from shelfcast.llm.common import table
 from shelfcast.sources.saved import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op5_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,8 +30,23 @@ def op6_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def held_out() -> Column:
+    """Documents that the language model must not learn from."""
+    return F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.fit(docs.where(~held_out()), PIECES)
+    found = language_id.identify(docs.drop("lang"), model, "lang")
+    return found.select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_slack_packing": op5_slack_packing,
     "op6_binary_records": op6_binary_records,
+    "op10_language_id": op10_language_id,
 }
 ORACLES: dict[str, str] = {}

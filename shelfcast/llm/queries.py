@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import binary_records, language_id, slack_packing
+from shelfcast.llm import binary_records, language_id, path_templates, slack_packing
 from shelfcast.llm.common import table
 from shelfcast.sources.saved import scratch_path
 
@@ -16,6 +16,28 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
+#: Rules that go before the path tree.
+URL_RULES = {
+    "com/": "allow",
+    "example.com/en/": "block",
+    "www.example.com/en/": "allow",
+    "net/es/": "block",
+    "net/fr/": "block",
+}
+
+
+def op4_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's html carries the text of the document whose number ends its path; that document's labels are the page's."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    _, path = path_templates.host_and_path(F.col("url"))
+    numbered = pages.select("page_id", F.regexp_extract(path, r"/(\d{1,18})(?:\.\w+)?/?$", 1).try_cast("long").alias("doc_id"))
+    labels = table(spark, sf_dir, "labels").select(
+        "doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad")
+    )
+    labels = numbered.join(labels, "doc_id").select("page_id", "bad")
+    return path_templates.filter_urls(pages, labels, URL_RULES)
+
+
 def op5_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = slack_packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE, capacity=1024, end_id=2)
     return packed.select(
@@ -45,6 +67,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_path_templates": op4_path_templates,
     "op5_slack_packing": op5_slack_packing,
     "op6_binary_records": op6_binary_records,
     "op10_language_id": op10_language_id,

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import binary_records, language_id, path_templates, slack_packing
+from shelfcast.llm import binary_records, language_id, multiset_hash, path_templates, slack_packing
 from shelfcast.llm.common import table
 from shelfcast.sources.saved import scratch_path
 
@@ -52,6 +52,18 @@ def op6_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = multiset_hash.fingerprint_documents(docs, multiset_hash.last_quarter_replaced)
+    return found.select(
+        "doc_id", F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256",
+        multiset_hash.written(F.col("lanes")).alias("fingerprint"),
+        multiset_hash.written(F.col("edited_lanes")).alias("edited_fingerprint"),
+        multiset_hash.likeness(F.col("lanes"), F.col("edited_lanes")).alias("near_edited"),
+        multiset_hash.likeness(F.col("lanes"), F.col("next_lanes")).alias("near_next"),
+    )
+
+
 def held_out() -> Column:
     """Documents that the language model must not learn from."""
     return F.crc32(F.col("doc_id").cast("string")) % 4 == 2
@@ -70,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_path_templates": op4_path_templates,
     "op5_slack_packing": op5_slack_packing,
     "op6_binary_records": op6_binary_records,
+    "op7_multiset_hash": op7_multiset_hash,
     "op10_language_id": op10_language_id,
 }
 ORACLES: dict[str, str] = {}

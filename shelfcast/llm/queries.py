@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import binary_records, language_id, minmax_dedup, multiset_hash, path_templates, slack_packing
+from shelfcast.llm import binary_records, language_id, minmax_dedup, multiset_hash, path_templates, prefix_free, slack_packing
 from shelfcast.llm.common import table
 from shelfcast.sources.saved import scratch_path
 
@@ -68,6 +68,16 @@ def op7_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_prefix_free(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = prefix_free.remove_repeats(docs, match=400)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "rest.doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2(F.coalesce("kept", F.lit(b"")), 256).alias("kept_sha256"),
+    )
+
+
 def held_out() -> Column:
     """Documents that the language model must not learn from."""
     return F.crc32(F.col("doc_id").cast("string")) % 4 == 2
@@ -88,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_slack_packing": op5_slack_packing,
     "op6_binary_records": op6_binary_records,
     "op7_multiset_hash": op7_multiset_hash,
+    "op9_prefix_free": op9_prefix_free,
     "op10_language_id": op10_language_id,
 }
 ORACLES: dict[str, str] = {}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import binary_records, language_id, minmax_dedup, multiset_hash, path_templates, prefix_free, slack_packing
+from shelfcast.llm import binary_records, language_id, minmax_dedup, multiset_hash, path_templates, prefix_free, pseudonyms, slack_packing
 from shelfcast.llm.common import table
 from shelfcast.sources.saved import scratch_path
 
@@ -20,6 +20,15 @@ def op2_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_duplicates(table(spark, sf_dir, "documents"), minmax_dedup.MinMaxConfig(words=4))
 
 
+#: The key of the registered queries; a user gives one of their own and keeps it secret.
+QUERY_KEY = b"pseudonyms of the registered queries"
+
+
+def op3_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymize(docs, QUERY_KEY, spans="spans")
+
+
 #: Rules that go before the path tree.
 URL_RULES = {
     "com/": "allow",
@@ -94,6 +103,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minmax_dedup": op2_minmax_dedup,
+    "op3_pseudonyms": op3_pseudonyms,
     "op4_path_templates": op4_path_templates,
     "op5_slack_packing": op5_slack_packing,
     "op6_binary_records": op6_binary_records,

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import binary_records, language_id, minmax_dedup, multiset_hash, path_templates, prefix_free, pseudonyms, slack_packing
+from shelfcast.llm import binary_records, embedding_pivots, language_id, minmax_dedup, multiset_hash, path_templates, prefix_free, pseudonyms, slack_packing
 from shelfcast.llm.common import table
 from shelfcast.sources.saved import scratch_path
 
@@ -16,6 +16,10 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_embedding_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_pivots.linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op2_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_duplicates(table(spark, sf_dir, "documents"), minmax_dedup.MinMaxConfig(words=4))
 
@@ -102,6 +106,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_pivots": op1_embedding_pivots,
     "op2_minmax_dedup": op2_minmax_dedup,
     "op3_pseudonyms": op3_pseudonyms,
     "op4_path_templates": op4_path_templates,

@@ -70,13 +70,12 @@ class Pieces:
         return key
 
     def lattice(self, words: list[str]) -> list[np.ndarray]:
-        """For words of one length with the start mark: per piece length l an array (word, start) of ids.
+        """For words of one length: per piece length l an array (word, start) of ids.
 
         ``size`` stands for a letter that is no piece, ``size + 1`` for no edge.
         """
-        marked = [WORD_START + w for w in words]
-        n = len(marked[0])
-        codes = np.frombuffer("".join(marked).encode("utf-32-le"), dtype="<u4").reshape(len(words), n).astype(np.uint64)
+        n = len(words[0])
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4").reshape(len(words), n).astype(np.uint64)
         key, edges = np.zeros_like(codes), []
         for length in range(1, min(n, self.longest) + 1):
             key = key[:, : n - length + 1] * _BASE + codes[:, length - 1 :] + np.uint64(1)
@@ -122,7 +121,7 @@ def log_probabilities(words: list[str], vocabulary: Pieces, rows: np.ndarray) ->
     """Natural logarithm of each word's marginal probability in each language."""
     out = np.zeros((len(words), rows.shape[1]))
     for own in by_length(words):
-        alpha = forward(vocabulary.lattice([words[i] for i in own]), rows)
+        alpha = forward(vocabulary.lattice([WORD_START + words[i] for i in own]), rows)
         out[own] = np.log(np.maximum(alpha[:, -1], 1e-300))
     return out
 
@@ -131,7 +130,7 @@ def expected_counts(words: list[str], weights: np.ndarray, vocabulary: Pieces, r
     """How often each piece is expected in the weighted words, over all segmentations, for one language."""
     counts = np.zeros(len(rows))
     for own in by_length(words):
-        edges = vocabulary.lattice([words[i] for i in own])
+        edges = vocabulary.lattice([WORD_START + words[i] for i in own])
         alpha = forward(edges, rows)[:, :, 0]
         n = alpha.shape[1] - 1
         beta = np.zeros_like(alpha)

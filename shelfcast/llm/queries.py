@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import binary_records, embedding_pivots, language_id, minmax_dedup, multiset_hash, path_templates, prefix_free, pseudonyms, slack_packing
+from shelfcast.llm import binary_records, embedding_pivots, language_id, minmax_dedup, multiset_hash, nbest_pieces, path_templates, prefix_free, pseudonyms, slack_packing
 from shelfcast.llm.common import table
 from shelfcast.sources.saved import scratch_path
 
@@ -81,6 +81,16 @@ def op7_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = nbest_pieces.encode(docs, PIECES, n=3)
+    same = nbest_pieces.decode(F.col("pieces.ids"), PIECES) == F.coalesce("text", F.lit(""))
+    return found.select(
+        "doc_id", (F.length("pieces.ids") / 4).cast("long").alias("n_pieces"), F.crc32("pieces.ids").alias("ids_crc32"),
+        "pieces.score", "pieces.others", same.alias("decoded_equal"),
+    )
+
+
 def op9_prefix_free(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = prefix_free.remove_repeats(docs, match=400)
@@ -113,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_slack_packing": op5_slack_packing,
     "op6_binary_records": op6_binary_records,
     "op7_multiset_hash": op7_multiset_hash,
+    "op8_nbest_pieces": op8_nbest_pieces,
     "op9_prefix_free": op9_prefix_free,
     "op10_language_id": op10_language_id,
 }

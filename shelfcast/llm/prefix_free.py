@@ -110,8 +110,7 @@ def text_runs(docs: DataFrame, match: int, window: int) -> DataFrame:
 
 def _bodies(docs: DataFrame) -> DataFrame:
     """Rows (id, rest, body): compressed texts, which is what joins have to move; null texts stay null."""
-    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("text", "id")])
-    narrow = docs.select("id", rest.alias("rest"), "text")
+    narrow = docs.select("id", "rest", "text")
     schema = T.StructType([*narrow.schema.fields[:2], T.StructField("body", T.BinaryType())])
 
     def press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,9 +217,8 @@ def remove_repeats(docs: DataFrame, match: int = 400, window: int = WINDOW) -> D
     """
     if not 8 < window <= 128 or match < window + 8:
         raise ValueError("the window must be over 8, at most 128 and at least 8 less than the match")
-    keyed = docs.withColumn("id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))) if "id" not in docs.columns else (
-        docs.withColumnRenamed("id", "id of the input").withColumn("id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)))
-    )
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("id"), rest.alias("rest"), "text")
     places = repeated_runs(keyed, match, window).groupBy("id").agg(F.collect_list(F.struct("place", "low", "high")).alias("places"))
     joined = _bodies(keyed).join(places, "id", "left").select("rest", "body", "places")
     schema = T.StructType([

@@ -21,6 +21,7 @@ class FeatureConfig:
     only needs recent days reads only their files.
     """
 
+    # The defaults.
     lags: tuple[int, ...] = (7, 14, 28)
     rolling_windows: tuple[int, ...] = (7, 28)
     limit_days: int | None = None
@@ -73,3 +74,4 @@ class ForestConfig:
     max_depth: int = 6
     num_trees: int = 40
     seed: int = 42
+    max_bins: int = 32

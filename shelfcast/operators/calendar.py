@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.config import ID_COLUMNS
 from shelfcast.functions.columns import day_label, snap_flag
 
 # The calendar columns in use.
@@ -37,11 +36,3 @@ def join_calendar(panel: DataFrame, calendar: DataFrame) -> DataFrame:
     broadcast below ``spark.sql.autoBroadcastJoinThreshold`` and a shuffled one above.
     """
     return panel.join(calendar.drop("d"), "day_number", "left")
-
-
-def calendar_by_series(panel: DataFrame, calendar: DataFrame) -> DataFrame:
-    """The ids and day of each panel row with its calendar columns."""
-    joined = join_calendar(panel, calendar)
-    return joined.select(
-        *ID_COLUMNS, "d", "day_number", "wm_yr_wk", "wday", "month", "year", "snap"
-    )

@@ -74,7 +74,8 @@ def history_long(sales: DataFrame, config: FeatureConfig, block_days: int = 512)
     """
     if block_days < 1:
         raise ValueError(f"block_days must be positive, got {block_days}")
-    zero_based = F.col("day_number") - 1
+    day = F.col("day_number")
+    zero_based = F.coalesce(day, F.raise_error(F.lit("a row of the panel has no day")).cast("int")) - 1
     own = F.floor(zero_based / block_days).cast("int")
     furthest = F.floor((zero_based + config.reach) / block_days).cast("int")
     rows = sales.select(

@@ -95,7 +95,7 @@ def pack_long(
 ) -> PackedPanel:
     """Pack rows ``(ids, day_number, sales)``, unique per series and day, starting at day 1.
 
-    Missing days become ``fill``, or null if there is none: a gap is never closed by shifting. A
+    A row without a day, or with one before day 1, fails the job. Missing days become ``fill``, or null if there is none: a gap is never closed by shifting. A
     series gathers at most one entry per day of the calendar, whatever the size of the table. Without
     a fill only the rows that ``limit_days`` and its look-back need are gathered at all; with one,
     every series counts, also one that last sold long ago.
@@ -112,7 +112,7 @@ def pack_long(
             skipped = F.greatest(last_day - config.limit_days - config.reach, skipped)
     day = F.col("day_number")
     frame = gather_dense(
-        sales.where((day >= 1) & (day > skipped)),
+        sales.where(F.coalesce(checked_day(day) > skipped, F.lit(True))),
         keys,
         day - skipped,
         F.col("sales").cast("double"),
@@ -124,6 +124,23 @@ def pack_long(
     return PackedPanel(frame, skipped + 1, first, last_day)
 
 
+def checked_day(day: Column) -> Column:
+    """The day number itself; a null or one before day 1 raises, as an array has no place for it."""
+    wrong = F.raise_error(F.concat(F.lit("no day of a panel: "), F.coalesce(day.cast("string"), F.lit("null"))))
+    return F.when(day >= 1, day).otherwise(wrong.cast("int"))
+
+
+def spread_series(panel: PackedPanel) -> PackedPanel:
+    """Deal packed series to a number of partitions that run-time coalescing leaves alone.
+
+    Packed rows are few and small, so coalescing would put them into one task and with them all the long rows
+    that come out of them.
+    """
+    spark = panel.frame.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return replace(panel, frame=panel.frame.repartition(parts, SERIES_KEY))
+
+
 def gather_dense(
     rows: DataFrame,
     keys: Sequence[str],

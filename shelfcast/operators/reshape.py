@@ -12,8 +12,17 @@ from shelfcast.config import ID_COLUMNS
 
 
 def day_columns(columns: Iterable[str]) -> list[str]:
-    """Names ``d_<number>`` in day order; a suffix that is no number raises ``ValueError``."""
-    numbered = {int(name.removeprefix("d_")): name for name in columns if name.startswith("d_")}
+    """Names ``d_<number>`` in day order.
+
+    A suffix that is no number raises ``ValueError``, and so do two labels of one number, such as ``d_1`` and
+    ``d_01``: neither may be dropped without a word.
+    """
+    numbered: dict[int, str] = {}
+    for name in columns:
+        if name.startswith("d_"):
+            other = numbered.setdefault(int(name.removeprefix("d_")), name)
+            if other != name:
+                raise ValueError(f"day columns {other!r} and {name!r} name the same day")
     return [numbered[number] for number in sorted(numbered)]
 
 

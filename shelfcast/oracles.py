@@ -184,9 +184,20 @@ def _vector() -> str:
     return f"{_FEATURES}, {indexes} SELECT f.id, f.d, {', '.join(columns)} FROM features f {joins}"
 
 
+# The last report of each run and stage; of one time the longer.
+_REPORTS = """WITH reports AS (
+  SELECT user_id AS run_id, ts, value,
+         CASE event_type WHEN 'view' THEN 'prepare' WHEN 'click' THEN 'train' WHEN 'purchase' THEN 'predict'
+                         WHEN 'signup' THEN 'benchmark' ELSE 'other' END AS stage
+  FROM events
+), latest AS (
+  SELECT * FROM reports QUALIFY row_number() OVER (
+    PARTITION BY run_id, stage ORDER BY ts DESC NULLS LAST, value DESC NULLS LAST) = 1
+)"""
+
 ORACLES: dict[str, str] = {
     "csv_round_trip": f"""{_PANEL}
-SELECT l.id, l.d, CAST(l.sales AS INT) AS sales, c.wm_yr_wk, p.sell_price
+SELECT l.id, l.d, l.sales, c.wm_yr_wk, p.sell_price
 FROM panel_long l JOIN calendar c ON l.d = c.d LEFT JOIN prices p
 ON p.store_id = l.store_id AND p.item_id = l.item_id AND p.wm_yr_wk = c.wm_yr_wk""",
     "feature_round_trip": f"""{_FEATURES}
@@ -216,9 +227,9 @@ FROM panel_long GROUP BY 1""",
     "score_window": f"""{_PANEL}
 SELECT id, d, day_number, sales, lag_28 FROM history WHERE day_number > {_LAST} - 28""",
     "panel_unpivot": f"""{_PANEL}
-SELECT id, item_id, dept_id, cat_id, store_id, state_id, d, CAST(sales AS INT) AS sales
+SELECT id, item_id, dept_id, cat_id, store_id, state_id, d, sales
 FROM panel_long""",
-    "panel_union": f"{_PANEL} SELECT id, d, CAST(sales AS INT) AS sales FROM panel_long",
+    "panel_union": f"{_PANEL} SELECT id, d, sales FROM panel_long",
     "lag_features": f"{_PANEL} SELECT id, day_number, lag_7, lag_14, lag_28 FROM history",
     "trailing_means": f"{_PANEL} SELECT id, day_number, rolling_mean_7, rolling_mean_28 FROM history",
     "history_wide": f"{_PANEL} SELECT {_HISTORY} FROM history",
@@ -249,13 +260,17 @@ SELECT store_id, cat_id, count(*) AS rows, round(avg(sales), 6) AS avg_sales
 FROM features GROUP BY store_id, cat_id""",
     "group_count": f"""{_FEATURES}
 SELECT count(*) AS aggregation_groups FROM (SELECT DISTINCT store_id, cat_id FROM features)""",
-    "stage_time_rollup": """
-SELECT user_id AS run_id,
-       round(sum(CASE WHEN event_type IN ('view', 'click') THEN coalesce(value, 0) ELSE 0 END), 4)
+    "stage_time_rollup": f"""{_REPORTS}
+SELECT run_id,
+       round(sum(CASE WHEN stage IN ('prepare', 'train') THEN coalesce(value, 0) ELSE 0 END), 4)
          AS prepare_train_seconds,
-       round(sum(CASE WHEN event_type IN ('view', 'click', 'purchase')
+       round(sum(CASE WHEN stage IN ('prepare', 'train', 'predict')
                       THEN coalesce(value, 0) ELSE 0 END), 4) AS prepare_train_predict_seconds
-FROM events GROUP BY user_id""",
+FROM latest GROUP BY run_id""",
+    "stage_listing": f"""{_REPORTS}
+SELECT run_id, CAST(list_position(['prepare', 'train', 'predict', 'benchmark'], stage) AS INT) AS place,
+       stage, value AS duration_seconds
+FROM latest WHERE stage <> 'other'""",
     "category_index": _FEATURES + " " + " UNION ALL ".join(
         f"({_indexes(c)})" for c in ("dept_id", "cat_id", "store_id", "state_id")
     ),

@@ -16,7 +16,7 @@ from shelfcast.operators.calendar import (
     selected_weeks,
 )
 from shelfcast.operators.history import history_rows
-from shelfcast.operators.packed import PackedPanel, pack_long, pack_wide
+from shelfcast.operators.packed import PackedPanel, pack_long, pack_wide, spread_series
 from shelfcast.operators.prices import (
     FOLDED,
     fill_missing,
@@ -75,12 +75,12 @@ def assemble(
     panel = panel.after_warm_up(config.reach)
     if unique_prices:
         days = number_weeks(days)
-        priced = fold_prices(panel, prices, days)
+        priced = spread_series(fold_prices(panel, prices, days))
         rows = join_calendar(history_rows(priced, config, carry=[FOLDED]), days)
         rows = look_up_price(complete_rows(rows, _nullable(config)))
     else:
         prices = prune_prices(prices, selected_weeks(days))
-        rows = join_calendar(history_rows(panel, config), days)
+        rows = join_calendar(history_rows(spread_series(panel), config), days)
         rows = join_prices(complete_rows(rows, _nullable(config)), prices)
     hashed = fill_missing(rows).withColumn("item_hash", item_bucket(F.col("item_id")))
     return hashed.select(*config.table_columns)

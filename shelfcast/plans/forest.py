@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
@@ -39,9 +41,8 @@ def vector_assembler(config: FeatureConfig) -> VectorAssembler:
 
 def forest_stages(config: FeatureConfig, forest: ForestConfig) -> Pipeline:
     regressor = RandomForestRegressor(
-        featuresCol="features",
         labelCol="sales",
-        predictionCol="prediction",
+        maxBins=forest.max_bins,
         maxDepth=forest.max_depth,
         numTrees=forest.num_trees,
         seed=forest.seed,
@@ -49,11 +50,21 @@ def forest_stages(config: FeatureConfig, forest: ForestConfig) -> Pipeline:
     return Pipeline(stages=[category_indexer(), vector_assembler(config), regressor])
 
 
+def most_labels(features: DataFrame) -> int:
+    """The largest number of labels of a category; the index for unseen labels is one more bin."""
+    counts = features.agg(*(F.count_distinct(name).alias(name) for name in CATEGORY_COLUMNS)).first()
+    return max(counts)
+
+
 def fit_and_score(
     features: DataFrame, last_day: int, config: FeatureConfig, forest: ForestConfig
 ) -> tuple[PipelineModel, dict[str, float]]:
-    """Fit on all but the last ``validation_days`` days and score those."""
+    """Fit on all but the last ``validation_days`` days and score those.
+
+    ``max_bins`` grows to the number of labels where a category has more than that.
+    """
     training, validation = split_by_time(features, config.validation_days, last_day)
+    forest = replace(forest, max_bins=max(forest.max_bins, most_labels(training) + 1))
     model = forest_stages(config, forest).fit(training)
     return model, score_values(model.transform(validation))
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,17 +55,50 @@ def read_reports(spark: SparkSession, table: str) -> DataFrame:
     return open_path(lambda: spark.read.schema(REPORT_SCHEMA).parquet(table), table, "run")
 
 
-def stage_listing(reports: DataFrame, run_id: str) -> DataFrame:
-    """The stages of one run in running order; a stage without a report is left out."""
-    place = F.array_position(F.array(*(F.lit(stage) for stage in STAGES)), F.col("stage"))
-    return reports.where((F.col("run_id") == run_id) & (place > 0)).orderBy(place)
+def latest_reports(reports: DataFrame) -> DataFrame:
+    """The last report of each run and stage: a repeated stage replaces what it reported before.
+
+    Of reports of one time the longer counts. Maxima are combined before the shuffle, so a run or stage
+    with very many reports is no large group.
+    """
+    order = F.struct("created_at_utc", "duration_seconds")
+    last = F.max_by(F.struct(*reports.columns), order).alias("last")
+    return reports.groupBy("run_id", "stage").agg(last).select("last.*")
+
+
+def stage_listing(reports: DataFrame, run_id: str | None = None) -> DataFrame:
+    """The stages of a run, or of all runs, with their ``place`` in running order and their last report.
+
+    A stage without a report is left out, and so is one of another name.
+    """
+    if run_id is not None:
+        reports = reports.where(F.col("run_id") == run_id)
+    place = F.array_position(F.array(*(F.lit(stage) for stage in STAGES)), F.col("stage")).cast("int")
+    listed = latest_reports(reports.where(F.col("stage").isin(*STAGES)))
+    return listed.withColumn("place", place).orderBy("run_id", "place")
+
+
+@contextmanager
+def reported(
+    spark: SparkSession, table: str | None, run_id: str | None, stage: str, **details: dict
+) -> Iterator[dict[str, float]]:
+    """Time a stage and add its report to ``table``, if there is one; metrics go into the dict given."""
+    metrics: dict[str, float] = {}
+    started = time.perf_counter()
+    yield metrics
+    if table is not None:
+        seconds = time.perf_counter() - started
+        append_report(spark, table, run_id or stage, stage, seconds, metrics=metrics, **details)
 
 
 def stage_time_rollup(reports: DataFrame) -> DataFrame:
-    """Per run: total seconds up to training and up to prediction, a missing duration being 0."""
+    """Per run: total seconds up to training and up to prediction, a missing duration being 0.
+
+    Of a repeated stage the last report counts.
+    """
 
     def total(stages: tuple[str, ...]) -> Column:
         seconds = F.coalesce(F.col("duration_seconds"), F.lit(0.0))
         return F.sum(F.when(F.col("stage").isin(*stages), seconds).otherwise(0.0))
 
-    return reports.groupBy("run_id").agg(*(total(s).alias(n) for n, s in _TOTALS.items()))
+    return latest_reports(reports).groupBy("run_id").agg(*(total(s).alias(n) for n, s in _TOTALS.items()))

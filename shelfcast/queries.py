@@ -23,7 +23,7 @@ from shelfcast.plans.forest import (
     vector_assembler,
     vector_inputs,
 )
-from shelfcast.plans.reports import stage_time_rollup
+from shelfcast.plans.reports import stage_listing, stage_time_rollup
 from shelfcast.sources.order_lines import OrderLinePanel
 from shelfcast.sources.raw_panel import CALENDAR_FILE, PRICES_FILE, SALES_FILE, read_raw_panel, read_raw_sales
 from shelfcast.sources.saved import (
@@ -38,6 +38,7 @@ from shelfcast.sources.saved import (
 
 CONFIG = FeatureConfig()
 RECENT = FeatureConfig(limit_days=128)
+HORIZON = FeatureConfig(limit_days=28)
 STORED = FeatureConfig(auto_partitions=True)
 HISTORY = ["id", "d", "day_number", "sales", *CONFIG.history_columns]
 
@@ -69,7 +70,7 @@ def _stored_raw(spark: SparkSession, panel: OrderLinePanel, *frames: str) -> str
 def _raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide panel as a file, which is how wide panels come."""
     folder = _stored_raw(spark, OrderLinePanel(spark, sf_dir), SALES_FILE)
-    return read_raw_sales(spark, folder)
+    return read_raw_sales(spark, folder, day_type="double")
 
 
 def _numbered_calendar(panel: OrderLinePanel) -> DataFrame:
@@ -87,7 +88,7 @@ def _recent_calendar(panel: OrderLinePanel) -> DataFrame:
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the panel in its raw CSV form, read it back, join its three files."""
     folder = _stored_raw(spark, OrderLinePanel(spark, sf_dir))
-    sales, calendar, prices = read_raw_panel(spark, folder)
+    sales, calendar, prices = read_raw_panel(spark, folder, day_type="double")
     rows = unpivot_sales(sales).join(calendar.select("d", "wm_yr_wk"), "d")
     return price_ops.join_prices(rows, prices).select("id", "d", "sales", "wm_yr_wk", "sell_price")
 
@@ -100,9 +101,9 @@ def feature_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def prediction_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The four-week lag taken as forecast, written as predictions and read back."""
-    features = features_of(OrderLinePanel(spark, sf_dir), RECENT)
+    panel = OrderLinePanel(spark, sf_dir)
     path = scratch_path(spark, "predictions")
-    recent = split.scoring_window(features, 28)
+    recent = split.scoring_window(features_of(panel, HORIZON), 28, panel.last_day())
     write_predictions(recent.withColumn("prediction", F.col("lag_28")), path)
     return read_predictions(spark, path)
 
@@ -158,9 +159,8 @@ def split_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 def split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, days and sales of the two parts of a split."""
     panel = OrderLinePanel(spark, sf_dir)
-    parts = split.split_by_time(panel.long(), CONFIG.validation_days, panel.last_day())
-    named = (part.withColumn("split", F.lit(n)) for part, n in zip(parts, ("train", "validation")))
-    return union_by_name(named).groupBy("split").agg(
+    labelled = split.with_split_label(panel.long(), CONFIG.validation_days, panel.last_day())
+    return labelled.groupBy("split").agg(
         F.count("*").alias("rows"),
         F.min("day_number").alias("first_day"),
         F.max("day_number").alias("last_day"),
@@ -169,7 +169,9 @@ def split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def score_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recent = split.scoring_window(_history(spark, sf_dir), 28)
+    panel = OrderLinePanel(spark, sf_dir)
+    history = history_rows(panel.packed(HORIZON), HORIZON)
+    recent = split.scoring_window(history, 28, panel.last_day())
     return recent.select("id", "d", "day_number", "sales", "lag_28")
 
 
@@ -280,12 +282,20 @@ def stage_time_rollup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.select("run_id", *rounded)
 
 
+def stage_listing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of every run with their last report."""
+    listed = stage_listing(OrderLinePanel(spark, sf_dir).run_reports())
+    return listed.select("run_id", "place", "stage", "duration_seconds")
+
+
 # --- learning and scoring ---
 
 
 def category_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each label of each category with its rows and index, learned from the feature table."""
-    features = _stored_features(spark, sf_dir).select(*CATEGORY_COLUMNS)
+    path = scratch_path(spark, "categories")
+    feature_table(spark, sf_dir).select(*CATEGORY_COLUMNS).write.parquet(path)
+    features = spark.read.parquet(path)
     indexed = category_indexer().fit(features).transform(features)
     labels = F.array(*(
         F.struct(
@@ -304,7 +314,9 @@ def feature_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The assembled vector of each row, spelled out by position."""
     from pyspark.ml.functions import vector_to_array
 
-    features = _stored_features(spark, sf_dir)
+    path = scratch_path(spark, "features")
+    write_features(feature_table(spark, sf_dir), path, CONFIG)
+    features = read_features(spark, path)
     indexed = category_indexer().fit(features).transform(features)
     vectors = vector_assembler(CONFIG).transform(indexed)
     entries = vector_to_array("features")
@@ -367,6 +379,7 @@ QUERIES: dict[str, Query] = {
     "group_profile": group_profile,
     "group_count": group_count,
     "stage_time_rollup": stage_time_rollup_query,
+    "stage_listing": stage_listing_query,
     "category_index": category_index,
     "feature_vector": feature_vector,
     "forest_forecast": forest_forecast,

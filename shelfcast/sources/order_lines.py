@@ -13,6 +13,7 @@ from shelfcast.config import ID_COLUMNS, FeatureConfig
 from shelfcast.functions.columns import day_label
 from shelfcast.operators.history import history_rows
 from shelfcast.operators.packed import PackedPanel, pack_long
+from shelfcast.sources.saved import scratch_path
 
 _SERIES = ["p_brand", "s_nationkey"]
 
@@ -24,6 +25,7 @@ class OrderLinePanel:
         self._spark = spark
         self._directory = directory.rstrip("/")
         self._tables: dict[str, DataFrame] = {}
+        self._daily: DataFrame | None = None
 
     def _table(self, name: str) -> DataFrame:
         if name not in self._tables:
@@ -63,6 +65,21 @@ class OrderLinePanel:
             )
         )
 
+    def daily(self) -> DataFrame:
+        """Sales and highest list price of each series and day.
+
+        Order lines are joined and summed once; the result, at most one row for each series and day, is
+        written to the scratch folder, and both the panel and the prices come from it.
+        """
+        if self._daily is None:
+            path = scratch_path(self._spark, "daily")
+            summed = self.lines().groupBy(*_SERIES, "day_number").agg(
+                F.sum("sales").alias("sales"), F.max("p_retailprice").alias("price")
+            )
+            summed.write.parquet(path)
+            self._daily = self._spark.read.schema(summed.schema).parquet(path)
+        return self._daily
+
     def _with_names(self, frame: DataFrame) -> DataFrame:
         """Adds ``item_id, store_id, state_id``; called on aggregates, never on order lines."""
         nation, region = self._table("nation"), self._table("region")
@@ -80,9 +97,8 @@ class OrderLinePanel:
         Lines are summed per series and day before anything is gathered, map-side first, so a series
         with a third of all lines still arrives as one number a day.
         """
-        daily = self.lines().groupBy(*_SERIES, "day_number").agg(F.sum("sales").alias("sales"))
         panel = pack_long(
-            daily, config, self.last_day(), attributes=_SERIES, key=_SERIES, fill=0.0
+            self.daily(), config, self.last_day(), attributes=_SERIES, key=_SERIES, fill=0.0
         )
         brand = F.regexp_extract("item_id", r"(\d+)", 1).cast("int")
         frame = self._with_names(panel.frame).select(
@@ -103,9 +119,8 @@ class OrderLinePanel:
     def wide(self) -> DataFrame:
         """The panel with columns ``d_1 ... d_N``; their number is read from the table first."""
         last = self.bounds().select(F.date_diff("last_date", "first_date") + 1).first()[0]
-        whole = self.packed().frame.withColumn("history", F.col("history").cast("array<int>"))
         days = (f"history[{day - 1}] AS d_{day}" for day in range(1, last + 1))
-        return whole.selectExpr(*ID_COLUMNS, *days)
+        return self.packed().frame.selectExpr(*ID_COLUMNS, *days)
 
     def calendar(self) -> DataFrame:
         """One row per day from the first to the last ship date."""
@@ -132,9 +147,9 @@ class OrderLinePanel:
     def prices(self) -> DataFrame:
         """The highest list price of the week for each store and item that sold in it."""
         weekly = (
-            self.lines()
+            self.daily()
             .groupBy(*_SERIES, _week(F.col("day_number")).alias("wm_yr_wk"))
-            .agg(F.max("p_retailprice").alias("sell_price"))
+            .agg(F.max("price").alias("sell_price"))
         )
         return self._with_names(weekly).select("store_id", "item_id", "wm_yr_wk", "sell_price")
 
@@ -152,6 +167,7 @@ class OrderLinePanel:
             F.col("user_id").alias("run_id"),
             stage.alias("stage"),
             F.col("value").alias("duration_seconds"),
+            F.col("ts").alias("created_at_utc"),
         )
 
 

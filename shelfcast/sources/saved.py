@@ -11,6 +11,7 @@ from typing import TypeVar
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 from shelfcast.config import FeatureConfig
 
@@ -28,12 +29,22 @@ def open_path(read: Callable[[], T], path: str, made_by: str | None = None) -> T
     except AnalysisException as error:
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        hint = f" Run `{made_by}` first and let it finish." if made_by else ""
-        raise MissingInputError(f"Required path does not exist or is empty: {path}.{hint}") from error
+        found = "nothing" if error.getCondition() == "PATH_NOT_FOUND" else "no readable table"
+        origin = f"; it is what `{made_by}` writes" if made_by else ""
+        raise MissingInputError(f"there is {found} at {path}{origin}") from error
+
+
+# The text columns of a feature table.
+_TEXT_COLUMNS = ("d", "id", "item_id", "dept_id", "cat_id", "store_id", "state_id")
 
 
 def read_features(spark: SparkSession, directory: str) -> DataFrame:
-    return open_path(lambda: spark.read.parquet(directory), directory, "prepare")
+    """The stored table. Ids that became directories are read as text, so ``01`` does not turn into 1."""
+    found = open_path(lambda: spark.read.parquet(directory), directory, "prepare").schema
+    fields = [
+        StructField(f.name, StringType()) if f.name in _TEXT_COLUMNS else f for f in found.fields
+    ]
+    return spark.read.schema(StructType(fields)).parquet(directory)
 
 
 def write_features(features: DataFrame, directory: str, config: FeatureConfig) -> None:
@@ -89,7 +100,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     Only a local session without that setting gets a temporary folder of its own machine, which goes
     when Python ends.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or _set_folder(spark)
     if shared is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
@@ -97,6 +108,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _set_folder(spark: SparkSession) -> str | None:
+    """The folder given by ``SparkContext.setCheckpointDir``, if any."""
+    context = getattr(spark.sparkContext, "_jsc", None)
+    found = context.sc().getCheckpointDir() if context is not None else None
+    return found.get() if found is not None and found.isDefined() else None
+
+
 @cache
 def _local_folder() -> tempfile.TemporaryDirectory:
     return tempfile.TemporaryDirectory(prefix="shelfcast-", ignore_cleanup_errors=True)

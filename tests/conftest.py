@@ -1,4 +1,5 @@
 import sys
+from datetime import date, timedelta
 from pathlib import Path
 
 import pytest
@@ -25,19 +26,36 @@ def spark():
     session.stop()
 
 
+# Four items in two stores of two states, 40 days from the first of May.
+ITEMS, STORES, DAYS = ("apron", "bowl", "candle", "dish"), ("north", "south"), 40
+SERIES = len(ITEMS) * len(STORES)
+
+
+def sold(item: int, store: int, day: int) -> int:
+    return (day * day + 5 * item + 2 * store) % 11
+
+
 @pytest.fixture(scope="session")
 def raw_dir(tmp_path_factory):
-    """Twelve series of 35 days whose sales run through 0 ... 6, as raw CSV files."""
+    """A panel as raw CSV files; two days have a snap flag and one item has no price in the second week."""
     folder = tmp_path_factory.mktemp("raw")
-    days = range(1, 36)
+    days = range(1, DAYS + 1)
     sales = ["id,item_id,dept_id,cat_id,store_id,state_id," + ",".join(f"d_{n}" for n in days)]
     prices = ["store_id,item_id,wm_yr_wk,sell_price"]
-    for series in range(12):
-        values = ",".join(str((series + n) % 7) for n in days)
-        sales.append(f"item_{series}_store_1,item_{series},dept_1,cat_1,store_1,state_1,{values}")
-        prices.append(f"store_1,item_{series},1001,1.0")
+    for s, store in enumerate(STORES):
+        for i, item in enumerate(ITEMS):
+            values = ",".join(str(sold(i, s, n)) for n in days)
+            sales.append(f"{item}_{store},{item},home_{i % 2},home,{store},state_{s},{values}")
+            prices += [
+                f"{store},{item},{11601 + week},{1.5 + i + week / 10}" for week in range(6) if (i, week) != (3, 1)
+            ]
+    first = date(2016, 5, 1)
     calendar = ["date,wm_yr_wk,wday,month,year,d,snap_CA,snap_TX,snap_WI"]
-    calendar += [f"2011-01-29,1001,{(n - 1) % 7 + 1},1,2011,d_{n},0,0,0" for n in days]
+    for n in days:
+        day = first + timedelta(n - 1)
+        calendar.append(
+            f"{day},{11601 + (n - 1) // 7},{(n - 1) % 7 + 1},{day.month},{day.year},d_{n},{int(n == 12)},{int(n == 30)},0"
+        )
     for name, lines in (
         ("sales_train_validation", sales), ("calendar", calendar), ("sell_prices", prices)
     ):

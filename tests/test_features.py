@@ -1,5 +1,7 @@
 import pytest
+from conftest import DAYS, ITEMS, SERIES, STORES, sold
 from panels import ids, long_frame, random_sales, wide_frame
+from pyspark.sql import functions as F
 
 from shelfcast.config import FeatureConfig
 from shelfcast.plans.features import build_features, build_features_from_long
@@ -32,23 +34,35 @@ def rows_of(frame):
     return sorted(tuple(r) for r in frame.collect())
 
 
-def test_synthetic_panel_values(spark, raw_dir):
+def test_every_value_of_the_raw_panel(spark, raw_dir):
     features = build_features(*read_raw_panel(spark, raw_dir), SMALL)
     assert features.columns == SMALL.table_columns
-    rows = {(r["item_id"], r["day_number"]): r for r in features.collect()}
-    assert len(rows) == 12 * 28
-    day = rows["item_0", 8]
-    assert (day["sales"], day["lag_1"], day["lag_7"], day["rolling_mean_2"]) == (1.0, 0.0, 1.0, 3.0)
-    assert (day["d"], day["wm_yr_wk"], day["wday"], day["sell_price"], day["snap"]) == (
-        "d_8", 1001, 1, 1.0, 0
-    )
+    rows = {(r["item_id"], r["store_id"], r["day_number"]): r for r in features.collect()}
+    assert len(rows) == SERIES * (DAYS - 7)
+    for (item, store, day), r in rows.items():
+        i, s = ITEMS.index(item), STORES.index(store)
+        assert (r["sales"], r["lag_1"], r["lag_7"]) == tuple(sold(i, s, day - k) for k in (0, 1, 7))
+        assert r["rolling_mean_2"] == (sold(i, s, day - 1) + sold(i, s, day - 2)) / 2
+        week = (day - 1) // 7
+        assert (r["wm_yr_wk"], r["snap"], r["month"]) == (11601 + week, int(day in (12, 30)), 5 + (day > 31))
+        assert r["sell_price"] == (0.0 if (i, week) == (3, 1) else pytest.approx(1.5 + i + week / 10))
+
+
+def test_default_history_of_the_raw_panel(spark, raw_dir):
+    rows = build_features(*read_raw_panel(spark, raw_dir)).where("item_id = 'bowl'").collect()
+    assert {r["day_number"] for r in rows} == set(range(29, DAYS + 1))
+    for r in rows:
+        s, day = STORES.index(r["store_id"]), r["day_number"]
+        assert r["lag_28"] == sold(1, s, day - 28)
+        assert r["rolling_mean_28"] == pytest.approx(sum(sold(1, s, day - k) for k in range(1, 29)) / 28)
 
 
-def test_synthetic_panel_with_defaults(spark, raw_dir):
-    rows = build_features(*read_raw_panel(spark, raw_dir)).collect()
-    assert len(rows) == 12 * 7
-    assert all(r["lag_7"] == r["lag_14"] == r["lag_28"] == r["sales"] for r in rows)
-    assert all(r["rolling_mean_7"] == r["rolling_mean_28"] == 3.0 for r in rows)
+def test_a_small_panel_still_comes_out_in_many_tasks(spark):
+    """Packed series are dealt out before their long rows are made, so no run-time coalescing joins them."""
+    sales = wide_frame(spark, random_sales(64, 60, 5, nulls=0.0))
+    features = build_features(sales, calendar_frame(spark, 60), price_frame(spark, 64, 9), SMALL)
+    used = features.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert used >= spark.sparkContext.defaultParallelism - 1
 
 
 def test_column_types(spark, raw_dir):

@@ -6,13 +6,21 @@ from shelfcast.operators.reshape import day_columns, union_by_name, unpivot_sale
 from shelfcast.config import FeatureConfig
 
 
-def test_day_columns_come_in_number_order():
-    assert day_columns(["id", "d_10", "dept_id", "d_2", "d_1"]) == ["d_1", "d_2", "d_10"]
+def test_days_are_ordered_as_numbers_and_repeats_are_named():
+    shuffled = [f"d_{n}" for n in (900, 31, 4, 1000, 5)]
+    assert day_columns([*shuffled, "date", "item_id"]) == [f"d_{n}" for n in (4, 5, 31, 900, 1000)]
+    with pytest.raises(ValueError, match="'d_4' and 'd_004' name the same day"):
+        day_columns([*shuffled, "d_004"])
+    with pytest.raises(ValueError):
+        day_columns(["d_total"])
 
 
-def test_day_column_without_number_raises():
-    with pytest.raises(ValueError):
-        day_columns(["d_1", "d_first"])
+@pytest.mark.parametrize("day", [0, -3, None])
+def test_rows_outside_the_days_of_a_panel_fail(spark, day):
+    rows = [(*ids(0), 1, 2.0), (*ids(0), day, 3.0)]
+    schema = "id string, item_id string, dept_id string, cat_id string, store_id string, state_id string, day_number int, sales double"
+    with pytest.raises(Exception, match="no day of a panel"):
+        pack_long(spark.createDataFrame(rows, schema)).frame.collect()
 
 
 def test_unpivot_keeps_null_sales_and_type(spark):

@@ -1,6 +1,7 @@
 import glob
 
 import pytest
+from conftest import DAYS, SERIES
 
 from shelfcast.config import FeatureConfig, ForestConfig
 from shelfcast.plans import reports, stages
@@ -11,9 +12,9 @@ SMALL = FeatureConfig(lags=(1, 7), rolling_windows=(2,), validation_days=7)
 FOREST = ForestConfig(max_depth=3, num_trees=4)
 
 
-def test_child_path_keeps_schemes():
-    assert child_path("s3a://bucket/data/", "calendar.csv") == "s3a://bucket/data/calendar.csv"
-    assert child_path("/data", "calendar.csv") == "/data/calendar.csv"
+@pytest.mark.parametrize("root", ["hdfs://name:8020/panels/2016", "viewfs://cluster/p", "panels", "file:///p"])
+def test_child_path_joins_with_one_slash(root):
+    assert child_path(root, "x.csv") == child_path(f"{root}//", "x.csv") == f"{root}/x.csv"
 
 
 def test_missing_raw_file_is_named(spark, tmp_path):
@@ -22,7 +23,7 @@ def test_missing_raw_file_is_named(spark, tmp_path):
 
 
 def test_missing_stage_outputs_name_the_stage(spark, tmp_path):
-    with pytest.raises(saved.MissingInputError, match="nothing.*`prepare`"):
+    with pytest.raises(saved.MissingInputError, match="nothing at .*/nothing; .*`prepare`"):
         stages.train(spark, f"{tmp_path}/nothing", f"{tmp_path}/model")
     with pytest.raises(saved.MissingInputError, match="`prepare`"):
         stages.profile_scan(spark, f"{tmp_path}/nothing")
@@ -61,26 +62,43 @@ def test_directories_by_month(spark, raw_dir, tmp_path):
     path = f"{tmp_path}/features"
     config = FeatureConfig(lags=(1,), rolling_windows=(), partition_by=("year", "month"))
     stages.prepare(spark, raw_dir, path, config)
-    assert glob.glob(f"{path}/year=2011/month=1/*.parquet")
+    assert {p.split("month=")[1][0] for p in glob.glob(f"{path}/year=2016/*/*.parquet")} == {"5", "6"}
     table = saved.read_features(spark, path)
     assert set(table.columns) == set(config.table_columns)
-    assert dict(table.dtypes)["year"] == "int" and table.count() == 12 * 34
+    assert dict(table.dtypes)["year"] == "int" and table.count() == SERIES * (DAYS - 1)
+
+
+def test_ids_of_directories_stay_text(spark, tmp_path):
+    frame = spark.createDataFrame([("01", "x", 1.5)], "store_id string, id string, sales double")
+    frame.write.partitionBy("store_id").parquet(f"{tmp_path}/features")
+    assert saved.read_features(spark, f"{tmp_path}/features").select("store_id", "sales").collect() == [("01", 1.5)]
+
+
+def test_fractional_sales_are_prepared(spark, raw_dir, tmp_path):
+    for path in glob.glob(f"{raw_dir}/*.csv"):
+        text = open(path).read()
+        (tmp_path / path.rsplit("/", 1)[1]).write_text(text.replace(",3,", ",3.5,") if "sales_" in path else text)
+    config = FeatureConfig(lags=(1,), rolling_windows=())
+    for kind in ({"day_type": "double"}, {"infer": True}):
+        folder = f"{tmp_path}/{next(iter(kind))}"
+        stages.prepare(spark, str(tmp_path), folder, config, **kind)
+        assert saved.read_features(spark, folder).where("sales = 3.5").count() > 0
 
 
 def test_whole_run(spark, raw_dir, tmp_path):
     work = f"{tmp_path}/work"
     totals = stages.run(spark, raw_dir, work, SMALL, FOREST, horizon=5, run_id="first").collect()
     predictions = saved.read_predictions(spark, f"{work}/predictions").collect()
-    assert len(predictions) == 12 * 5
-    assert {r["d"] for r in predictions} == {f"d_{n}" for n in range(31, 36)}
+    assert len(predictions) == SERIES * 5
+    assert {r["d"] for r in predictions} == {f"d_{n}" for n in range(DAYS - 4, DAYS + 1)}
     assert all(r["prediction"] >= 0 for r in predictions)
 
     table = reports.read_reports(spark, f"{work}/run_reports")
     listed = reports.stage_listing(table, "first").collect()
     assert [r["stage"] for r in listed] == ["prepare", "train", "predict", "benchmark"]
     assert set(listed[1]["metrics"]) == {"rmse", "mae"}
-    assert listed[3]["metrics"]["input_rows"] == 12 * 28
-    assert listed[3]["metrics"]["aggregation_groups"] == 1
+    assert listed[3]["metrics"]["input_rows"] == SERIES * (DAYS - 7)
+    assert listed[3]["metrics"]["aggregation_groups"] == 2
     assert listed[3]["metrics"]["input_partitions"] >= 1
     seconds = {r["stage"]: r["duration_seconds"] for r in listed}
     assert totals[0]["run_id"] == "first" and len(totals) == 1
@@ -96,20 +114,32 @@ def test_whole_run(spark, raw_dir, tmp_path):
     assert reports.stage_listing(table, "second").count() == 3
 
 
-def test_rollup_of_reports(spark, tmp_path):
+def test_a_repeated_stage_counts_with_its_last_report(spark, tmp_path):
     path = f"{tmp_path}/reports"
-    for stage, seconds in (("prepare", 10), ("train", 20), ("predict", 5), ("benchmark", 99)):
-        reports.append_report(spark, path, "a", stage, seconds)
-    reports.append_report(spark, path, "b", "train", 4)
+    for run, stage, seconds in (
+        ("a", "prepare", 10), ("a", "prepare", 12), ("a", "train", 5), ("b", "predict", 1.25), ("b", "cleanup", 70),
+    ):
+        reports.append_report(spark, path, run, stage, seconds)
     table = reports.read_reports(spark, path)
     rows = {r["run_id"]: tuple(r)[1:] for r in reports.stage_time_rollup(table).collect()}
-    assert rows == {"a": (30.0, 35.0), "b": (4.0, 4.0)}
+    assert rows == {"a": (17.0, 17.0), "b": (0.0, 1.25)}
+    listed = [(r["run_id"], r["place"], r["duration_seconds"]) for r in reports.stage_listing(table).collect()]
+    assert listed == [("a", 1, 12.0), ("a", 2, 5.0), ("b", 3, 1.25)]
+
+
+def test_single_stages_report_themselves(spark, raw_dir, tmp_path):
+    features, table = f"{tmp_path}/features", f"{tmp_path}/reports"
+    stages.prepare(spark, raw_dir, features, SMALL, reports=table, run_id="r")
+    found = stages.profile_scan(spark, features, reports=table, run_id="r")
+    listed = reports.stage_listing(reports.read_reports(spark, table), "r").collect()
+    assert [r["stage"] for r in listed] == ["prepare", "benchmark"]
+    assert listed[1]["metrics"] == {k: float(v) for k, v in found.items()}
 
 
 def test_rollup_takes_a_missing_duration_as_zero(spark):
     table = spark.createDataFrame(
-        [("a", "prepare", None), ("a", "train", 2.0)],
-        "run_id string, stage string, duration_seconds double",
+        [("a", "prepare", None, None), ("a", "train", 2.0, None)],
+        "run_id string, stage string, duration_seconds double, created_at_utc timestamp",
     )
     assert tuple(reports.stage_time_rollup(table).first()) == ("a", 2.0, 2.0)
 
@@ -126,6 +156,7 @@ def test_scratch_path_follows_the_session():
 
         class sparkContext:
             master = "spark://host:7077"
+            _jsc = None
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         saved.scratch_path(Session, "x")

@@ -46,9 +46,6 @@ def session(cpus: str) -> SparkSession:
         .appName("shelfcast-bench")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
-        # Packed series grow about thirtyfold when their days are generated, so small partitions of
-        # them are worth keeping apart.
-        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

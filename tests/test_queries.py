@@ -5,11 +5,12 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry_point
+from shelfcast.oracles import ORACLES
+from shelfcast.queries import QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -38,6 +39,7 @@ def test_query_equals_sql(spark, database, name):
 def test_only_forests_have_no_sql():
     assert set(QUERIES) - set(ORACLES) == {"forest_forecast", "forest_scores"}
     assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLES) <= set(entry_point.oracle_sql())
 
 
 def test_entry_is_the_feature_table(spark):

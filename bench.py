@@ -77,7 +77,7 @@ def main() -> None:
     fitted = {}
 
     def price_join():
-        sales, calendar, prices = read_raw_panel(spark, raw)
+        sales, calendar, prices = read_raw_panel(spark, raw, day_type="double")
         days = numbered_days(calendar_features(calendar))
         long = spark.read.parquet(f"{stored}/long")
         drain(join_prices(join_calendar(long, days), prices))
@@ -94,8 +94,8 @@ def main() -> None:
     measured = {
         "feature_table": query("feature_table"),
         "feature_table_recent": query("feature_table_recent"),
-        "features_from_csv": lambda: drain(build_features(*read_raw_panel(spark, raw), CONFIG)),
-        "history_wide": lambda: drain(history_wide(read_raw_panel(spark, raw).sales, CONFIG)),
+        "features_from_csv": lambda: drain(build_features(*read_raw_panel(spark, raw, day_type="double"), CONFIG)),
+        "history_wide": lambda: drain(history_wide(read_raw_panel(spark, raw, day_type="double").sales, CONFIG)),
         "history_long": lambda: drain(history_long(spark.read.parquet(f"{stored}/long"), CONFIG)),
         "panel_price_join": price_join,
         "group_profile": lambda: profile_scan(spark, features_dir),

@@ -3,6 +3,7 @@ from datetime import date, timedelta
 from pathlib import Path
 
 import pytest
+from panels import DAYS, ITEMS, STORES, sold
 from pyspark.sql import SparkSession
 
 ROOT = Path(__file__).resolve().parents[1]
@@ -26,15 +27,6 @@ def spark():
     session.stop()
 
 
-# Four items in two stores of two states, 40 days from the first of May.
-ITEMS, STORES, DAYS = ("apron", "bowl", "candle", "dish"), ("north", "south"), 40
-SERIES = len(ITEMS) * len(STORES)
-
-
-def sold(item: int, store: int, day: int) -> int:
-    return (day * day + 5 * item + 2 * store) % 11
-
-
 @pytest.fixture(scope="session")
 def raw_dir(tmp_path_factory):
     """A panel as raw CSV files; two days have a snap flag and one item has no price in the second week."""

@@ -1,6 +1,5 @@
 import pytest
-from conftest import DAYS, ITEMS, SERIES, STORES, sold
-from panels import ids, long_frame, random_sales, wide_frame
+from panels import DAYS, ITEMS, SERIES, STORES, ids, long_frame, random_sales, sold, wide_frame
 from pyspark.sql import functions as F
 
 from shelfcast.config import FeatureConfig

@@ -1,7 +1,7 @@
 import glob
 
 import pytest
-from conftest import DAYS, SERIES
+from panels import DAYS, SERIES
 
 from shelfcast.config import FeatureConfig, ForestConfig
 from shelfcast.plans import reports, stages

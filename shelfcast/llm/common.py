@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.sources.saved import scratch_path
 
+T = TypeVar("T")
 #: Characters of text that one step inside a task handles at once.
 SLICE_CHARS = 2_000_000
 
@@ -41,8 +43,18 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iter
             yield batch.slice(start), texts[start:]
 
 
-def binary_rows(column: pa.Array) -> list[bytes | None]:
-    return column.to_pylist()
+_resident: dict[object, object] = {}
+
+
+def resident(key: object, make: Callable[[], T]) -> T:
+    """What a worker process keeps between batches and tasks, one thing at a time.
+
+    Workers are used again by later stages; what an earlier operator kept is let go before the next one starts.
+    """
+    if key not in _resident:
+        _resident.clear()
+        _resident[key] = make()
+    return _resident[key]
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:

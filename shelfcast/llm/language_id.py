@@ -21,14 +21,14 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import stored, text_slices
+from shelfcast.llm.common import resident, stored, text_slices
 
 WORD_START = "▁"
 NOTHING = "und"
 #: Longer runs of letters are cut into blocks of so many letters, each judged as a word.
 BLOCK = 48
 #: Words kept by a worker; all are let go when there are more.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 300_000
 #: Probability of a letter that is no piece of the vocabulary, the same in every language.
 UNKNOWN = 1e-9
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -231,9 +231,6 @@ class _Scorer:
         return out
 
 
-_scorers: dict[str, _Scorer] = {}
-
-
 def identify(docs: DataFrame, model: LanguageModel, key: str = "language") -> DataFrame:
     """The rows and columns of ``docs`` with ``<key>_pred`` and ``<key>_score`` added.
 
@@ -248,10 +245,7 @@ def identify(docs: DataFrame, model: LanguageModel, key: str = "language") -> Da
 
     @F.pandas_udf("pred string, score double")
     def judged(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scorer = _scorers.get(name)
-        if scorer is None:
-            _scorers.clear()
-            scorer = _scorers[name] = _Scorer(shared.value)
+        scorer = resident(("words", name), lambda: _Scorer(shared.value))
         languages = np.array([*scorer.model.languages, NOTHING], dtype=object)
         for series in texts:
             batch = pa.RecordBatch.from_arrays([pa.array(series, pa.string())], names=["text"])

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import text_slices
+from shelfcast.llm.common import resident, text_slices
 from shelfcast.llm.language_id import WORD_START, Pieces, by_length
 
 #: Chunks kept by a worker; all are let go when there are more, or longer ones.
@@ -179,7 +179,7 @@ def best_and_gap(v: Vocabulary, chunks: list[str]) -> list[tuple[bytes, float, f
     return out
 
 
-@lru_cache(maxsize=50_000)
+@lru_cache(maxsize=20_000)
 def _searched(path: str, chunk: str, n: int) -> tuple[tuple[float, tuple[int, ...]], ...]:
     return tuple((score, tuple(ids)) for score, ids in n_best(vocabulary(path), chunk, n))
 
@@ -233,9 +233,9 @@ class Encoder:
         return ids, score, others[1:]
 
 
-@cache
 def encoder(path: str, n: int) -> Encoder:
-    return Encoder(path, n)
+    """One encoder for each worker process, vocabulary and number of segmentations."""
+    return resident(("pieces", path, n), lambda: Encoder(path, n))
 
 
 def decoded(v: Vocabulary, ids: np.ndarray) -> str:

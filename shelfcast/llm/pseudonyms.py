@@ -25,7 +25,7 @@ DIGITS, LETTERS = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1), dt.date(2099, 12, 31)
 
 
-@lru_cache(maxsize=100_000)
+@lru_cache(maxsize=20_000)
 def permuted(value: int, size: int, key: bytes, tweak: str, back: bool = False) -> int:
     """A permutation of 0 … size - 1 chosen by key and tweak, or its inverse.
 

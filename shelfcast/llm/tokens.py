@@ -8,18 +8,19 @@ chunk of words and simple punctuation it also splits between the two, and around
 from __future__ import annotations
 
 import re
-from functools import cache
 from itertools import compress, repeat
 from operator import is_
 
 import numpy as np
 from tokenizers import Tokenizer
 
+from shelfcast.llm.common import resident
+
 _BOUNDARY = re.compile(r" (?=\S)")
 _DOUBLE = re.compile(r" (?:\s|$)")
 _SEPARATOR = re.compile(r"(\n|[.,;:!?|]+)")
 #: Chunks kept by a worker in each of two generations, so its memory stays bounded.
-KEPT_CHUNKS = 400_000
+KEPT_CHUNKS = 300_000
 #: Longer chunks are encoded each time.
 KEPT_LENGTH = 64
 #: Chunks encoded by one call.
@@ -136,7 +137,6 @@ class ChunkEncoder:
         return out
 
 
-@cache
 def encoder(path: str) -> ChunkEncoder:
     """One encoder for each worker process and file."""
-    return ChunkEncoder(path)
+    return resident(("chunks", path), lambda: ChunkEncoder(path))

@@ -60,9 +60,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without strings of 400 bytes that start twice; a character that a cut divides goes too."""
-    found = prefix_free.remove_repeats(docs, match=400)
-    text = F.pandas_udf(lambda kept: kept.map(lambda b: None if b is None else b.decode("utf-8", "ignore")), "string")
-    cut = found.select("rest.*", text("kept").alias("text"))
+    found = prefix_free.remove_repeats(docs, match=400, as_text=True)
+    cut = found.select("rest.*", F.col("kept").alias("text"))
     return _measured(cut.select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import SLICE_CHARS, text_slices
+from shelfcast.llm.common import SLICE_CHARS, release, text_slices
 from shelfcast.llm.tokens import encoder
 
 #: Fixed values of the record format: the CRC-32C polynomial (reflected) and the checksum mask.
@@ -162,6 +162,7 @@ def write_records(docs: DataFrame, directory: str, tokenizer: str, end_id: int =
         finally:
             if out:
                 out.close()
+            release()
 
     spark = docs.sparkSession
     _make_folder(spark, directory)

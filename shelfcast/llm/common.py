@@ -47,16 +47,18 @@ _resident: dict[object, object] = {}
 
 
 def resident(key: object, make: Callable[[], T]) -> T:
-    """What a worker process keeps between batches and tasks, one thing at a time.
-
-    Workers are used again by later stages; what an earlier operator kept is let go before the next one starts.
-    """
+    """What a worker process keeps from batch to batch, one thing at a time."""
     if key not in _resident:
         _resident.clear()
         _resident[key] = make()
     return _resident[key]
 
 
+def release() -> None:
+    """Let go of it at the end of a task: idle workers of an earlier stage would hold it beside those of the next."""
+    _resident.clear()
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """Rows (id, component): for each id in ``edges`` (a, b) the smallest id that links lead to.
 

@@ -21,14 +21,14 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import resident, stored, text_slices
+from shelfcast.llm.common import release, resident, stored, text_slices
 
 WORD_START = "▁"
 NOTHING = "und"
 #: Longer runs of letters are cut into blocks of so many letters, each judged as a word.
 BLOCK = 48
 #: Words kept by a worker; all are let go when there are more.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 200_000
 #: Probability of a letter that is no piece of the vocabulary, the same in every language.
 UNKNOWN = 1e-9
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -107,12 +107,13 @@ def forward(edges: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
     return alpha
 
 
-def by_length(words: list[str], at_once: int = 4_000) -> Iterator[list[int]]:
-    """Positions of words of one length, bounded in number."""
+def by_length(words: list[str], chars: int = 40_000) -> Iterator[list[int]]:
+    """Positions of words of one length, about so many characters at a time."""
     groups: dict[int, list[int]] = {}
     for i, word in enumerate(words):
         groups.setdefault(len(word), []).append(i)
-    for group in groups.values():
+    for length, group in groups.items():
+        at_once = max(1, chars // max(1, length))
         for i in range(0, len(group), at_once):
             yield group[i : i + at_once]
 
@@ -262,6 +263,7 @@ def identify(docs: DataFrame, model: LanguageModel, key: str = "language") -> Da
                 pred += languages[np.where(letters, best, len(languages) - 1)].tolist()
                 score += np.where(letters, share, 0.0).tolist()
             yield pd.DataFrame({"pred": pred, "score": score})
+        release()
 
     return (
         docs.withColumn(f"{key}_pred", judged("text"))

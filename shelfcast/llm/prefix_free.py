@@ -203,13 +203,14 @@ def removed_spans(places: list[dict], tag: int, match: int) -> list[tuple[int, i
     return merged
 
 
-def remove_repeats(docs: DataFrame, match: int = 400, window: int = WINDOW) -> DataFrame:
+def remove_repeats(docs: DataFrame, match: int = 400, window: int = WINDOW, as_text: bool = False) -> DataFrame:
     """Rows (rest, n_bytes, spans, kept): each row of ``docs`` without the bytes of repeated strings.
 
     A byte goes if a string of ``match`` bytes covers it that starts anywhere else too, in the same text or
     another; strings are judged on the input and never cross texts. ``rest`` is a struct of the columns of
     ``docs`` other than ``text``, ``spans`` the maximal removed stretches (start, end), ``kept`` the remaining bytes, null
-    for a null text (0 bytes). Texts shorter than ``match`` stay whole; repeated rows are repeats of each
+    for a null text (0 bytes). With ``as_text`` they are a string, without the rest of characters that a cut
+    divides. Texts shorter than ``match`` stay whole; repeated rows are repeats of each
     other. An empty table gives no rows.
 
     Texts move twice, compressed, once for the runs that are taken apart and once for the cut. Between, only
@@ -224,7 +225,7 @@ def remove_repeats(docs: DataFrame, match: int = 400, window: int = WINDOW) -> D
     schema = T.StructType([
         joined.schema["rest"], T.StructField("n_bytes", T.LongType()),
         T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
-        T.StructField("kept", T.BinaryType()),
+        T.StructField("kept", T.StringType() if as_text else T.BinaryType()),
     ])
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
@@ -240,11 +241,11 @@ def remove_repeats(docs: DataFrame, match: int = 400, window: int = WINDOW) -> D
                 left = b"".join([data[a:b] for a, b in zip(edges[::2], edges[1::2])])
                 sizes.append(len(data))
                 spans.append([{"start": a, "end": b} for a, b in gone])
-                kept.append(None if body is None else left)
+                kept.append(None if body is None else left.decode("utf-8", "ignore") if as_text else left)
                 volume += len(left)
                 if volume > _OUTPUT_BYTES or i == batch.num_rows - 1:
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column("rest").slice(start, len(sizes)), pa.array(sizes, pa.int64()), pa.array(spans, span_type), pa.array(kept, pa.binary())],
+                        [batch.column("rest").slice(start, len(sizes)), pa.array(sizes, pa.int64()), pa.array(spans, span_type), pa.array(kept, pa.string() if as_text else pa.binary())],
                         names=["rest", "n_bytes", "spans", "kept"],
                     )
                     start, sizes, spans, kept, volume = i + 1, [], [], [], 0

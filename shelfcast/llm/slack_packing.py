@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import stored, text_slices
+from shelfcast.llm.common import release, stored, text_slices
 from shelfcast.llm.tokens import encoder
 
 #: Rows of the table of first ranks (one for each task and length) that are still broadcast, 24 bytes each.
@@ -124,6 +124,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) ->
                     [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64()))],
                     names=["doc_id", "piece", "start", "length", "ids", "part", "rank_in_part"],
                 )
+        release()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, _PIECES)
 

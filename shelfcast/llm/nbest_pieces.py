@@ -30,7 +30,9 @@ from shelfcast.llm.common import resident, text_slices
 from shelfcast.llm.language_id import WORD_START, Pieces, by_length
 
 #: Chunks kept by a worker; all are let go when there are more, or longer ones.
-KEPT_CHUNKS, KEPT_LENGTH = 300_000, 64
+KEPT_CHUNKS, KEPT_LENGTH = 200_000, 64
+#: Characters of chunks that one lattice holds.
+LATTICE_CHARS = 40_000
 _BOUNDARY = re.compile(r"(?<=[^ ])(?= )")
 #: Stands for a literal start mark, which is no piece.
 _LITERAL = chr(0x10FFFF)
@@ -136,7 +138,7 @@ def best_and_gap(v: Vocabulary, chunks: list[str]) -> list[tuple[bytes, float, f
     each edge the best score is forward + edge + backward, so the largest of these is the second score.
     """
     out: list[tuple[bytes, float, float]] = [(b"", 0.0, math.inf)] * len(chunks)
-    for own in by_length(chunks):
+    for own in by_length(chunks, LATTICE_CHARS):
         texts = [chunks[i] for i in own]
         marked = [t.replace(WORD_START, _LITERAL).replace(" ", WORD_START) for t in texts]
         edges = v.lookup.lattice(marked)
@@ -158,24 +160,35 @@ def best_and_gap(v: Vocabulary, chunks: list[str]) -> list[tuple[bytes, float, f
             for length in range(1, min(len(edges), n - start) + 1):
                 np.maximum(behind[:, start], scores[length - 1][:, start] + behind[:, start + length], out=behind[:, start])
         through = [ahead[:, : n + 1 - k] + s + behind[:, k:] for k, s in enumerate(scores, 1)]
-        at, paths = np.full(words, n), [[] for _ in range(words)]
+        at, steps = np.full(words, n), []
         while (live := np.flatnonzero(at > 0)).size:
             length = back[live, at[live]]
             start = at[live] - length
+            piece = np.empty(len(live), dtype=np.int64)
             for k in np.unique(length):
                 some = length == k
+                piece[some] = edges[k - 1][live[some], start[some]]
                 through[k - 1][live[some], start[some]] = -np.inf
-            for w, s, k in zip(live.tolist(), start.tolist(), length.tolist()):
-                paths[w].append((s, k))
+            steps.append((live, start, piece))
             at[live] = start
         second = np.max([x.max(axis=1) for x in through], axis=0)
+        word, start, piece = (np.concatenate(x) for x in zip(*steps))
+        order = np.lexsort((start, word))
+        word, start, piece = word[order], start[order], piece[order]
+        spelled = set(word[piece == v.lookup.size].tolist())
+        data = v.column_ids[np.minimum(piece, v.lookup.size - 1)].astype("<u4").tobytes()
+        cuts = np.searchsorted(word, np.arange(words + 1)).tolist()
+        best, gaps = ahead[:, n].tolist(), (ahead[:, n] - second).tolist()
         for w, i in enumerate(own):
-            ids = []
-            for s, k in reversed(paths[w]):
-                piece = edges[k - 1][w, s]
-                ids += [int(v.column_ids[piece])] if piece < v.lookup.size else v.spelled(texts[w][s])
-            best = float(ahead[w, n])
-            out[i] = (np.array(ids, dtype="<u4").tobytes(), best, best - float(second[w]) if np.isfinite(second[w]) else math.inf)
+            ids = data[4 * cuts[w] : 4 * cuts[w + 1]]
+            if w in spelled:
+                at_word = slice(cuts[w], cuts[w + 1])
+                parts = [
+                    [int(v.column_ids[p])] if p < v.lookup.size else v.spelled(texts[w][s])
+                    for p, s in zip(piece[at_word].tolist(), start[at_word].tolist())
+                ]
+                ids = np.array([x for part in parts for x in part], dtype="<u4").tobytes()
+            out[i] = (ids, best[w], gaps[w])
     return out
 
 
@@ -193,27 +206,29 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, float, list[dict]]]:
         """For each text the ids of the best segmentation, its score, and the others as changes to it."""
-        parts = [self.v.chunks(t) if t else [] for t in texts]
-        fresh = sorted({c for own in parts for c in own if c not in self.kept})
-        known = self.kept
-        if len(known) + len(fresh) > KEPT_CHUNKS:
-            known = {c: self.kept[c] for own in parts for c in own if c in self.kept}
-            self.kept = {}
-        found = dict(zip(fresh, best_and_gap(self.v, fresh)))
-        self.kept.update((k, x) for k, x in found.items() if len(k) <= KEPT_LENGTH)
-        if known is not self.kept:
-            self.kept.update(known)
-        found |= {c: x for own in parts for c in own if (x := known.get(c)) is not None and c not in found}
-        return [self._joined(own, [found[c] for c in own]) for own in parts]
+        parts, kept = [self.v.chunks(t) if t else [] for t in texts], self.kept
+        fresh = sorted(set().union(*parts) - kept.keys())
+        kept.update(zip(fresh, best_and_gap(self.v, fresh)))
+        found = [self._joined(own, list(map(kept.__getitem__, own))) for own in parts]
+        if len(kept) > KEPT_CHUNKS:
+            kept.clear()
+        else:
+            for chunk in fresh:
+                if len(chunk) > KEPT_LENGTH:
+                    del kept[chunk]
+        return found
 
     def _joined(self, chunks: list[str], best: list[tuple[bytes, float, float]]) -> tuple[bytes, float, list[dict]]:
-        ids, score = b"".join([x[0] for x in best]), math.fsum([x[1] for x in best])
-        gaps = [x[2] for x in best]
-        open_chunks = sorted(i for i in heapq.nsmallest(self.n - 1, range(len(best)), key=gaps.__getitem__) if gaps[i] < math.inf)
+        if not chunks:
+            return b"", 0.0, []
+        parts, scores, gaps = zip(*best)
+        ids, score, size = b"".join(parts), math.fsum(scores), np.array(gaps)
+        nearest = np.argpartition(size, self.n - 2)[: self.n - 1] if 1 < self.n <= len(size) else np.arange(len(size) if self.n > 1 else 0)
+        open_chunks = sorted(i for i in nearest.tolist() if gaps[i] < math.inf)
         choices = [_searched(self.path, chunks[i], self.n) for i in open_chunks]
         starts = {}
         if open_chunks:
-            sizes = np.cumsum([0, *(len(x[0]) // 4 for x in best)])
+            sizes = np.cumsum([0, *map(len, parts)]) // 4
             starts = {i: int(sizes[i]) for i in open_chunks}
         others = []
         heap, seen = [(0.0, (0,) * len(choices))], {(0,) * len(choices)}
@@ -246,14 +261,14 @@ def decoded(v: Vocabulary, ids: np.ndarray) -> str:
 
 _CHANGE = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("length", T.IntegerType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
 _OTHER = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("changes", T.ArrayType(_CHANGE))])
-_BEST = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("score", T.DoubleType()), T.StructField("others", T.ArrayType(_OTHER))])
+_BEST = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("score", T.DoubleType()), T.StructField("others", T.ArrayType(_OTHER)), T.StructField("exact", T.BooleanType())])
 
 
 def encode(docs: DataFrame, path: str, n: int = 3, column: str = "pieces") -> DataFrame:
-    """The rows and columns of ``docs`` with a struct (ids, score, others) of whole texts' N best segmentations.
+    """The rows and columns of ``docs`` with a struct (ids, score, others, exact) of whole texts' N best segmentations.
 
     ``ids`` are little-endian unsigned 32-bit integers of the best one; ``others`` are the next up to n - 1, each by its
-    score and the stretches of ``ids`` that it replaces. Null and empty texts have no ids and a score of 0. One
+    score and the stretches of ``ids`` that it replaces; ``exact`` says whether decoding ``ids`` gives the text. Null and empty texts have no ids and a score of 0. One
     pass without a shuffle; a column of the added name is replaced.
     """
     @F.pandas_udf(_BEST)
@@ -261,8 +276,11 @@ def encode(docs: DataFrame, path: str, n: int = 3, column: str = "pieces") -> Da
         own = encoder(path, n)
         for series in texts:
             batch = pa.RecordBatch.from_arrays([pa.array(series, pa.string())], names=["text"])
-            rows = [r for _, part in text_slices([batch]) for r in own.encode(part)]
-            yield pd.DataFrame(rows, columns=["ids", "score", "others"])
+            rows = [
+                (*r, decoded(own.v, np.frombuffer(r[0], dtype="<u4")) == t)
+                for _, part in text_slices([batch]) for t, r in zip(part, own.encode(part))
+            ]
+            yield pd.DataFrame(rows, columns=["ids", "score", "others", "exact"])
 
     return docs.withColumn(column, best("text"))
 

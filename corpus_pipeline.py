@@ -59,8 +59,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without strings of 400 bytes that start twice; a character that a cut divides goes too."""
-    found = prefix_free.remove_repeats(docs, match=400, as_text=True)
+    """Documents without runs of more than 50 words, or strings of 400 bytes (text without spaces), that start twice.
+
+    A character that a cut divides goes too.
+    """
+    found = prefix_free.remove_repeats(docs, match=400, as_text=True, words=51)
     cut = found.select("rest.*", F.col("kept").alias("text"))
     return _measured(cut.select(*[F.col(f"`{c}`") for c in docs.columns]))
 

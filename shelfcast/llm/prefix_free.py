@@ -12,6 +12,9 @@ equal names are neighbours, which is all that repeats need.
 2. Runs whose parse name occurs once hold no repeat. Runs whose full name occurs twice are repeats as a whole.
 3. Of the rest, one run for each full name is taken apart into its positions. These are sorted by parse name
    and name of the whole string, and a position is a repeat if a neighbour in that order is equal.
+
+Runs of words are found in the same steps: a text is then the row of its words' hashes, eight bytes each, and
+positions, windows and matches are counted in words.
 """
 
 from __future__ import annotations
@@ -29,26 +32,47 @@ from pyspark.sql import types as T
 from shelfcast.llm.common import stored, text_slices
 
 WINDOW = 128
+#: Of runs of words, in words; shorter for short runs.
+WORD_WINDOW = 32
+_WORD_BYTES = 8
+_IS_SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 #: A parse name with more full names than this is dealt to several groups, by the names of whole strings.
 LARGE_CLASS = 256
 _GROUPS = 64
 _NO_ID = -(1 << 63)
 _OUTPUT_BYTES = 4_000_000
 
-# A run as one number: 24 bits of the text's hash, 31 bits of its first position, 8 bits of its last less its first.
+# A run as one number: 24 bits of the text's hash, 31 bits of its first position, a bit that says whether positions
+# are words, 7 bits of its last less its first.
 
 
 def tag_of(data: bytes) -> int:
     return xxhash.xxh3_64_intdigest(data) & 0xFFFFFF
 
 
-def packed(tag: int, low: int, high: int) -> int:
-    return tag << 39 | low << 8 | high - low
+def packed(tag: int, low: int, high: int, of_words: bool) -> int:
+    return tag << 39 | low << 8 | of_words << 7 | high - low
 
 
-def unpacked(place: int) -> tuple[int, int, int]:
+def unpacked(place: int) -> tuple[int, int, int, bool]:
     low = place >> 8 & 0x7FFFFFFF
-    return place >> 39, low, low + (place & 0xFF)
+    return place >> 39, low, low + (place & 0x7F), bool(place & 0x80)
+
+
+def word_names(data: bytes) -> bytes:
+    """The hashes of a text's words, in a row."""
+    return np.array([xxhash.xxh3_64_intdigest(w) for w in data.split()], dtype="<u8").tobytes()
+
+
+def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The first bytes of a text's words and those behind their last."""
+    inside = np.concatenate([[False], ~_IS_SPACE[np.frombuffer(data, dtype=np.uint8)], [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    return edges[::2], edges[1::2]
+
+
+def word_window(words: int) -> int:
+    return min(WORD_WINDOW, 2 * words // 3)
 
 
 def triggers(data: bytes, window: int = WINDOW) -> np.ndarray:
@@ -60,6 +84,20 @@ def triggers(data: bytes, window: int = WINDOW) -> np.ndarray:
     for i in range(8):
         own = key[i::8]
         own[:] = np.frombuffer(padded, dtype="<u8", offset=i, count=len(own))
+    return _smallest(key, window)
+
+
+def word_triggers(names: bytes, window: int) -> np.ndarray:
+    """The same for positions of words, by the hashes of two words in a row."""
+    key = np.frombuffer(names, dtype="<u8").astype(np.uint64)
+    if len(key) < window:
+        return np.zeros(0, dtype=np.int64)
+    key[:-1] += key[1:] * np.uint64(0xC2B2AE3D27D4EB4F)
+    return _smallest(key, window)
+
+
+def _smallest(key: np.ndarray, window: int) -> np.ndarray:
+    n = len(key)
     key *= np.uint64(0x9E3779B97F4A7C15)
     key ^= key >> np.uint64(32)
     key *= np.uint64(0xD6E8FEB86659FD93)
@@ -74,22 +112,25 @@ def triggers(data: bytes, window: int = WINDOW) -> np.ndarray:
     return (key & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
 
 
-def runs(data: bytes, at: np.ndarray, match: int, window: int) -> list[tuple[int, int, int, int]]:
-    """(first position, last position, parse name, full name) of each run of a document; ``at``: its triggers."""
-    if len(data) < match:
+def runs(data: bytes, at: np.ndarray, match: int, window: int, width: int = 1) -> list[tuple[int, int, int, int]]:
+    """(first position, last position, parse name, full name) of each run of a document; ``at``: its triggers.
+
+    A position has ``width`` bytes.
+    """
+    if len(data) < match * width:
         return []
-    at = at[: len(data) - match + 1]
+    at = at[: len(data) // width - match + 1]
     cuts = np.flatnonzero(np.diff(at)) + 1
     lows, highs = [0, *cuts.tolist()], [*(cuts - 1).tolist(), len(at) - 1]
     shared, name = match - window + 1, xxhash.xxh3_64_intdigest
     return [
-        (a, b, name(data[t : t + shared]) >> 1, name(data[a : b + match], seed=t - a) >> 1)
+        (a, b, name(data[t * width : (t + shared) * width]) >> 1, name(data[a * width : (b + match) * width], seed=t - a) >> 1)
         for a, b, t in zip(lows, highs, at[lows].tolist())
     ]
 
 
-def text_runs(docs: DataFrame, match: int, window: int) -> DataFrame:
-    """Rows (id, place, parse, whole) for all runs of all texts."""
+def text_runs(docs: DataFrame, match: int, window: int, words: int | None = None) -> DataFrame:
+    """Rows (id, place, parse, whole) for all runs of all texts, with ``words`` also for those of words."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_slices(batches):
@@ -98,10 +139,16 @@ def text_runs(docs: DataFrame, match: int, window: int) -> DataFrame:
             for doc_id, data in zip(batch.column("id").to_pylist(), parts):
                 tag = tag_of(data)
                 rows += [
-                    (doc_id, packed(tag, a, b), parse, whole)
+                    (doc_id, packed(tag, a, b, False), parse, whole)
                     for a, b, parse, whole in runs(data, at[begin : begin + len(data)] - begin, match, window)
                 ]
                 begin += len(data)
+                if words:
+                    names, span = word_names(data), word_window(words)
+                    rows += [
+                        (doc_id, packed(tag, a, b, True), parse, whole)
+                        for a, b, parse, whole in runs(names, word_triggers(names, span), words, span, _WORD_BYTES)
+                    ]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["id", "place", "parse", "whole"])
 
@@ -122,7 +169,7 @@ def _bodies(docs: DataFrame) -> DataFrame:
     return narrow.mapInArrow(press, schema)
 
 
-def _positions(bodies: DataFrame, taken_apart: DataFrame, match: int) -> DataFrame:
+def _positions(bodies: DataFrame, taken_apart: DataFrame, match: int, words: int | None) -> DataFrame:
     """Rows (parse, whole, deal, name, bit): each position of the runs in ``taken_apart`` (id, runs)."""
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,12 +180,15 @@ def _positions(bodies: DataFrame, taken_apart: DataFrame, match: int) -> DataFra
                 if body.as_py() is None:
                     continue
                 data = plain.decompress(body.as_py()) if len(body.as_py()) else b""
-                tag = tag_of(data)
+                tag, names = tag_of(data), None
                 for r in own.as_py():
-                    of, low, high = unpacked(r["place"])
+                    of, low, high, of_words = unpacked(r["place"])
                     if of == tag:
+                        if of_words and names is None:
+                            names = word_names(data)
+                        symbols, width, size = (names, _WORD_BYTES, words) if of_words else (data, 1, match)
                         for i in range(low, high + 1):
-                            w = name(data[i : i + match]) >> 1
+                            w = name(symbols[i * width : (i + size) * width]) >> 1
                             rows.append((r["parse"], r["whole"], w % _GROUPS if r["members"] > LARGE_CLASS else 0, w, i - low))
                 if len(rows) > 200_000:
                     yield as_batch(rows)
@@ -154,9 +204,9 @@ def _positions(bodies: DataFrame, taken_apart: DataFrame, match: int) -> DataFra
     )
 
 
-def repeated_runs(docs: DataFrame, match: int, window: int) -> DataFrame:
+def repeated_runs(docs: DataFrame, match: int, window: int, words: int | None = None) -> DataFrame:
     """Rows (id, place, low, high): for each run with repeats the bits of its repeated positions, two words."""
-    found = stored(text_runs(docs, match, window), "runs")
+    found = stored(text_runs(docs, match, window, words), "runs")
     shared = stored(found.groupBy("parse").agg(F.count("*").alias("n")).where("n > 1").select("parse"), "shared-parses")
     candidates = stored(found.join(shared, "parse"), "candidate-runs")
     names = stored(
@@ -169,7 +219,7 @@ def repeated_runs(docs: DataFrame, match: int, window: int) -> DataFrame:
     same = (F.lag("name").over(order) == F.col("name")) | (F.lead("name").over(order) == F.col("name"))
     bit = F.expr("shiftleft(1L, cast(bit % 64 as int))")
     bits = (
-        _positions(_bodies(docs), taken_apart, match).withColumn("same", same).where("same").groupBy("parse", "whole")
+        _positions(_bodies(docs), taken_apart, match, words).withColumn("same", same).where("same").groupBy("parse", "whole")
         .agg(F.bit_or(F.when(F.col("bit") < 64, bit).otherwise(0)).alias("low"), F.bit_or(F.when(F.col("bit") >= 64, bit).otherwise(0)).alias("high"))
     )
     everything = F.lit(-1).cast("long")
@@ -180,11 +230,11 @@ def repeated_runs(docs: DataFrame, match: int, window: int) -> DataFrame:
     return candidates.join(masks, ["parse", "whole"]).select("id", "place", "low", "high")
 
 
-def removed_spans(places: list[dict], tag: int, match: int) -> list[tuple[int, int]]:
+def removed_spans(places: list[dict], data: bytes, match: int, words: int | None = None) -> list[tuple[int, int]]:
     """Maximal removed stretches of a text, from its runs."""
-    spans = []
+    spans, tag, bounds = [], tag_of(data), None
     for r in places:
-        of, first, last = unpacked(r["place"])
+        of, first, last, of_words = unpacked(r["place"])
         if of != tag:
             continue
         mask = (r["low"] & 0xFFFFFFFFFFFFFFFF) | (r["high"] & 0xFFFFFFFFFFFFFFFF) << 64
@@ -192,7 +242,12 @@ def removed_spans(places: list[dict], tag: int, match: int) -> list[tuple[int, i
         while mask:
             start = (mask & -mask).bit_length() - 1
             length = (~(mask >> start) & (mask >> start) + 1).bit_length() - 1
-            spans.append((first + start, first + start + length - 1 + match))
+            begin, size = first + start, length - 1 + (words if of_words else match)
+            if of_words:
+                bounds = bounds or word_bounds(data)
+                spans.append((int(bounds[0][begin]), int(bounds[1][begin + size - 1])))
+            else:
+                spans.append((begin, begin + size))
             mask = mask >> (start + length) << (start + length)
     merged: list[tuple[int, int]] = []
     for a, b in sorted(spans):
@@ -203,24 +258,27 @@ def removed_spans(places: list[dict], tag: int, match: int) -> list[tuple[int, i
     return merged
 
 
-def remove_repeats(docs: DataFrame, match: int = 400, window: int = WINDOW, as_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, match: int = 400, window: int = WINDOW, as_text: bool = False, words: int | None = None) -> DataFrame:
     """Rows (rest, n_bytes, spans, kept): each row of ``docs`` without the bytes of repeated strings.
 
     A byte goes if a string of ``match`` bytes covers it that starts anywhere else too, in the same text or
     another; strings are judged on the input and never cross texts. ``rest`` is a struct of the columns of
     ``docs`` other than ``text``, ``spans`` the maximal removed stretches (start, end), ``kept`` the remaining bytes, null
     for a null text (0 bytes). With ``as_text`` they are a string, without the rest of characters that a cut
-    divides. Texts shorter than ``match`` stay whole; repeated rows are repeats of each
-    other. An empty table gives no rows.
+    divides. With ``words`` a byte also goes if it is in a run of so many words (what stands between ASCII white
+    space) that starts anywhere else too, whatever space is between the words. Texts shorter than either stay
+    whole; repeated rows are repeats of each other. An empty table gives no rows.
 
     Texts move twice, compressed, once for the runs that are taken apart and once for the cut. Between, only
     names and numbers of runs do, and after the first count only those whose parse name occurs twice.
     """
     if not 8 < window <= 128 or match < window + 8:
         raise ValueError("the window must be over 8, at most 128 and at least 8 less than the match")
+    if words is not None and words < 3:
+        raise ValueError("a run has 3 words at least")
     rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("id"), rest.alias("rest"), "text")
-    places = repeated_runs(keyed, match, window).groupBy("id").agg(F.collect_list(F.struct("place", "low", "high")).alias("places"))
+    places = repeated_runs(keyed, match, window, words).groupBy("id").agg(F.collect_list(F.struct("place", "low", "high")).alias("places"))
     joined = _bodies(keyed).join(places, "id", "left").select("rest", "body", "places")
     schema = T.StructType([
         joined.schema["rest"], T.StructField("n_bytes", T.LongType()),
@@ -236,7 +294,7 @@ def remove_repeats(docs: DataFrame, match: int = 400, window: int = WINDOW, as_t
             for i, (body, own) in enumerate(zip(batch.column("body"), batch.column("places"))):
                 body, own = body.as_py(), own.as_py()
                 data = plain.decompress(body) if body else b""
-                gone = removed_spans(own, tag_of(data), match) if own else []
+                gone = removed_spans(own, data, match, words) if own else []
                 edges = [0, *(x for s in gone for x in s), len(data)]
                 left = b"".join([data[a:b] for a, b in zip(edges[::2], edges[1::2])])
                 sizes.append(len(data))

@@ -114,6 +114,24 @@ def test_random_texts_of_few_letters(spark):
     assert [found[i] for i, _ in rows] == [e[2] for e in brute_cut([t.encode() for _, t in rows], 40)]
 
 
+@pytest.mark.parametrize("words", [3, 6, 51])
+def test_runs_of_words_match_all_runs(spark, words):
+    rng = random.Random(words)
+    rows = [(i, " ".join(rng.choice("abc") * rng.randint(1, 2) for _ in range(rng.randint(0, 3 * words)))) for i in range(40)]
+    rows += [(100 + i, "  x ".join(rows[i][1].split(" "))) for i in range(5)] + [(200, rows[0][1].replace(" ", "\n\t") + " é"), (201, " ab" * 2 * words), (202, None), (203, "")]
+    rows += [(300 + i, t + f" own{i}") for i, t in rows[:10]]
+    counts, expected = Counter(), {}
+    split = {i: (t or "").encode().split() for i, t in rows}
+    for w in split.values():
+        counts.update(tuple(w[k : k + words]) for k in range(len(w) - words + 1))
+    for i, w in split.items():
+        gone = {k + m for k in range(len(w) - words + 1) if counts[tuple(w[k : k + words])] > 1 for m in range(words)}
+        expected[i] = [x for k, x in enumerate(w) if k not in gone]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = prefix_free.remove_repeats(frame, 100_000, words=words).collect()
+    assert {r["rest"]["doc_id"]: (r["kept"] or b"").split() for r in found} == expected
+
+
 def vectors():
     rng = np.random.default_rng(1)
     base = rng.normal(size=(300, 16))

@@ -1,7 +1,9 @@
+import random
+
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
-from llm_rows import SCHEMA, messy_rows
+from llm_rows import SCHEMA, messy_rows, prose
 from test_deduplication import brute_duplicates
 from tokenizers import Tokenizer
 
@@ -60,6 +62,19 @@ def test_stages_match_brute_force(spark, messy, tmp_path):
         assert ids[r[0]] == WHOLE.encode(r[1], add_special_tokens=False).ids + [2]
 
 
+def test_passages_of_more_than_50_words_go(spark):
+    rng = random.Random(21)
+    short = [chr(97 + k) + chr(97 + m) for k in range(26) for m in range(26)]
+    of_51, of_50 = (rng.sample(short, n) for n in (51, 50))
+    rows = [(i, prose(rng, "en", 90)) for i in range(8)]
+    parts = [" ".join(of_51), "\n ".join(of_51), " ".join(of_50), " ".join(of_50)]
+    assert len(parts[0].encode()) < 400
+    docs = [(i, f"{t} start{i} {parts[i % 4]} end{i} {t[::-1]}" if i < 4 else t) for i, t in rows]
+    schema = "doc_id long, text string"
+    found = {r["doc_id"]: r["text"] for r in dict(corpus_pipeline.STAGES)["repeated_passages"](spark, spark.createDataFrame(docs, schema), "").collect()}
+    assert found == {i: t.replace(parts[i % 4], "") if i in (0, 1) else t for i, t in docs}
+
+
 def test_an_empty_corpus_goes_through(spark, nothing):
     docs = nothing
     for _, stage in corpus_pipeline.STAGES:

@@ -23,7 +23,8 @@ class PivotConfig:
     """At most ``pivots`` reference points, the ``nearest`` of which describe a vector. They are taken from a sample
     of ``sample`` vectors, any two of them at a cosine under ``apart``: alike ones would only repeat each other.
 
-    Candidates share at least ``shared`` of them. ``block`` rows of a list are compared with ``block`` others at a time.
+    Candidates share at least ``shared`` of them, or all if fewer were found; where no more than ``nearest`` were, all
+    vectors share them, so that all pairs are verified. ``block`` rows of a list are compared with ``block`` others at a time.
     """
 
     pivots: int = 256
@@ -81,7 +82,8 @@ def compared(left: pd.DataFrame, right: pd.DataFrame, same: bool, pivot: int, co
     lists = [np.vstack(x["lists"].to_list()) for x in (left, right)]
     size = max(int(x.max()) for x in lists) + 1
     m, n = (_membership(x, size) for x in lists)
-    link = (m @ n.T >= config.shared) & (m[:, :pivot] @ n[:, :pivot].T == 0)
+    shared = min(config.shared, *(x.shape[1] for x in lists))
+    link = (m @ n.T >= shared) & (m[:, :pivot] @ n[:, :pivot].T == 0)
     link &= a @ b.T >= config.cosine
     if same:
         link &= np.triu(np.ones_like(link), 1)

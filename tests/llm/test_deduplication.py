@@ -170,6 +170,22 @@ def test_linked_vectors_match_all_pairs(spark):
     assert embedding_pivots.linked_vectors(frame.where("false")).collect() == []
 
 
+def test_few_reference_points_lose_no_links(spark):
+    """The default settings on vectors of one cone, of which one is a reference point, and on two and three vectors."""
+    rng = np.random.default_rng(9)
+    cone = np.hstack([np.full((300, 1), 4.0), rng.normal(size=(300, 12)) * rng.choice([0.2, 0.5], size=(300, 1))])
+    units = embedding_pivots.unit(cone)
+    cone = cone[(units @ units[0] >= 0.75) & (units[:, 0] >= 0.93)]
+    two = [[1.0, 0.0], [0.95, (1 - 0.95**2) ** 0.5]]
+    three = [[1.0, 0.0, 0.0], [0.95, (1 - 0.95**2) ** 0.5, 0.0], [0.0, 0.0, 1.0]]
+    rows = list(enumerate([*cone.tolist(), *two, *three]))
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = embedding_pivots.linked_vectors(frame).collect()
+    expected = brute_links(rows, embedding_pivots.PivotConfig().cosine)
+    assert 0 < sum(n for n, _ in expected.values()) < len(cone) ** 2
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found} == expected
+
+
 def test_recall_at_the_threshold():
     """Pairs at a cosine of just 0.9 in 64 dimensions: shares of reference points find nearly all."""
     rng = np.random.default_rng(3)

@@ -2,7 +2,9 @@
 
 A forward Viterbi pass over the lattice of pieces gives, for every place of a text, the score of the best way
 to reach it. A search backwards from the end takes these scores as its estimate of what is left; as they are
-exact, A* pops complete segmentations in the order of their scores.
+exact, A* pops complete segmentations in the order of their scores. Its entries are ordered by what they lose
+against the best and hold a link to the entry before them, so a text of any length needs memory for its
+places, not for copies of paths.
 
 No piece holds a space behind another character, so a text's lattice falls apart before such spaces. The best
 segmentation of a text is that of its chunks in a row, and its N best differ from it only in the N - 1 chunks
@@ -116,17 +118,20 @@ def n_best(v: Vocabulary, text: str, n: int) -> list[tuple[float, list[int]]]:
             if score is not None:
                 into[end].append((start, score))
                 best[end] = max(best[end], best[start] + score)
-    found, heap, pushed = [], [(-best[size], 0, size, 0.0, ())], 1
+    # of entries that lose the same the last one pushed goes on, so ties are not all followed side by side
+    found, heap, pushed = [], [(0.0, 0, size, 0.0, None)], 1
     while heap and len(found) < n:
-        _, _, place, behind, path = heapq.heappop(heap)
+        lost, _, place, behind, path = heapq.heappop(heap)
         if not place:
-            cuts, ids = (0, *(p for p, _ in path)), []
-            for (_, end), start in zip(path, cuts[1:]):
+            ids = []
+            while path:
+                start, end, path = path
                 ids += edge_ids(v, text[start:end])
             found.append((behind, ids))
             continue
-        for start, score in into[place]:
-            heapq.heappush(heap, (-(behind + score + best[start]), pushed, start, behind + score, ((start, place), *path)))
+        for start, score in reversed(into[place]):
+            loss = lost + (best[place] - (best[start] + score))
+            heapq.heappush(heap, (loss, -pushed, start, behind + score, (start, place, path)))
             pushed += 1
     return found
 
@@ -192,11 +197,17 @@ def best_and_gap(v: Vocabulary, chunks: list[str]) -> list[tuple[bytes, float, f
     return out
 
 
-@lru_cache(maxsize=20_000)
-def _searched(path: str, chunk: str, n: int) -> tuple[tuple[float, tuple[int, ...]], ...]:
+def _found(path: str, chunk: str, n: int) -> tuple[tuple[float, tuple[int, ...]], ...]:
     return tuple((score, tuple(ids)) for score, ids in n_best(vocabulary(path), chunk, n))
 
 
+_kept_search = lru_cache(maxsize=20_000)(_found)
+
+
+def _searched(path: str, chunk: str, n: int) -> tuple[tuple[float, tuple[int, ...]], ...]:
+    return (_kept_search if len(chunk) <= KEPT_LENGTH else _found)(path, chunk, n)
+
+
 class Encoder:
     """N-best encoding of texts, with the chunks that come again kept."""
 

@@ -1,7 +1,9 @@
 import datetime as dt
 import hashlib
+import heapq
 import math
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -267,6 +269,26 @@ def test_best_segmentations_match_brute_force():
             assert score_of[tuple(i)] == pytest.approx(s) and nbest_pieces.decoded(v, np.array(i)) == text
 
 
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyzABCDEF0123456789+/", "日本語のテキスト", "a"])
+def test_a_long_text_without_spaces_needs_memory_for_its_places_only(letters):
+    v, rng = nbest_pieces.vocabulary(PIECES), random.Random(5)
+    text = " " + "".join(rng.choice(letters) for _ in range(100_000))
+    tracemalloc.start()
+    try:
+        found = nbest_pieces.n_best(v, text, 3)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 1_000_000_000
+    ahead = [[0.0]]  # the three best scores up to each place
+    for end in range(1, len(text) + 1):
+        edges = [(s, nbest_pieces.edge_score(v, text[s:end])) for s in range(max(0, end - v.longest), end)]
+        ahead.append(heapq.nlargest(3, [x + e for s, e in edges if e is not None for x in ahead[s]]))
+    assert [s for s, _ in found] == pytest.approx(ahead[-1], rel=1e-12)
+    assert len({tuple(i) for _, i in found}) == len(found)
+    assert all(nbest_pieces.decoded(v, np.array(i)) == text[1:] for _, i in found)
+
+
 def test_encoded_documents_decode_exactly(messy, nothing):
     found = nbest_pieces.encode(messy, PIECES, n=3)
     rows = found.select("doc_id", "text", nbest_pieces.decode(F.col("pieces.ids"), PIECES).alias("back"), "pieces").collect()

@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import binary_records, embedding_pivots, language_id, minmax_dedup, multiset_hash, nbest_pieces, path_templates, prefix_free, pseudonyms, slack_packing
+from shelfcast.llm import backtrack_bpe, binary_records, embedding_pivots, language_id, minmax_dedup, multiset_hash, nbest_pieces, path_templates, prefix_free, pseudonyms, slack_packing
 from shelfcast.llm.common import table
 from shelfcast.sources.saved import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -114,6 +115,15 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_backtrack_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = backtrack_bpe.encode(docs, RANKS)
+    return found.select(
+        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(backtrack_bpe.decode(F.col("ids"), RANKS), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_pivots": op1_embedding_pivots,
     "op2_minmax_dedup": op2_minmax_dedup,
@@ -125,5 +135,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nbest_pieces": op8_nbest_pieces,
     "op9_prefix_free": op9_prefix_free,
     "op10_language_id": op10_language_id,
+    "op13_backtrack_bpe": op13_backtrack_bpe,
 }
 ORACLES: dict[str, str] = {}

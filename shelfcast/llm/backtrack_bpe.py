@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.common import release, resident, text_slices
-from shelfcast.llm.words import WordEncoder
+from shelfcast.llm.words import WordEncoder, WordSplitter
 
 #: Fixed value: the pattern whose matches are encoded one by one.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -137,7 +137,7 @@ class Encoder(WordEncoder):
 
     def __init__(self, path: str):
         self.merges = merges(path)
-        super().__init__(one_word, lambda words: list(map(self.merges.word, words)))
+        super().__init__(WordSplitter(one_word), lambda words: list(map(self.merges.word, words)))
 
 
 def one_word(texts: list[str]) -> list[bool]:

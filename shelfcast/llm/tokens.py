@@ -1,142 +1,64 @@
-"""Token ids of whole texts by the tokenizers library, each distinct chunk encoded once per worker.
-
-A byte-level vocabulary splits a text before every space that a non-space follows, whatever stands around
-it, so the ids of a text are those of its chunks in a row. Chunks repeat far more often than texts. Within a
-chunk of words and simple punctuation it also splits between the two, and around a single line feed.
-"""
+"""Token ids of whole texts by the tokenizers library, each distinct word encoded once per worker."""
 
 from __future__ import annotations
 
-import re
-from itertools import compress, repeat
-from operator import is_
+import json
+from pathlib import Path
 
 import numpy as np
 from tokenizers import Tokenizer
 
 from shelfcast.llm.common import resident
+from shelfcast.llm.words import KEPT_WORDS, WordEncoder, WordSplitter
 
-_BOUNDARY = re.compile(r" (?=\S)")
-_DOUBLE = re.compile(r" (?:\s|$)")
-_SEPARATOR = re.compile(r"(\n|[.,;:!?|]+)")
-#: Chunks kept by a worker in each of two generations, so its memory stays bounded.
-KEPT_CHUNKS = 300_000
-#: Longer chunks are encoded each time.
-KEPT_LENGTH = 64
-#: Chunks encoded by one call.
-_TOGETHER = 2_000
-
-
-def _words(chunk: str) -> list[str] | None:
-    """Words (of letters only) and separators in turn, or None if the chunk is made of anything else."""
-    found = _SEPARATOR.split(chunk)
-    if len(found) == 1 or not found[0] or "\n\n" in chunk or not "".join(found[::2]).isalpha():
-        return None
-    return found
-
-
-class _Generations:
-    """A bounded dictionary: what was not asked for while the younger half filled up is let go."""
+#: Fixed value: the settings of a pre-tokenizer that splits by the byte-level pattern and nothing else.
+_BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
 
-    def __init__(self) -> None:
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
 
-    def again(self, key: str) -> bytes | None:
-        """The value of a key that the younger half lacks; it moves there."""
-        value = self.old.get(key)
-        if value is not None:
-            self.young[key] = value
-        return value
+def byte_characters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: printable ones for themselves."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return [chr(b if b in printable else next(others)) for b in range(256)]
 
-    def get(self, key: str) -> bytes | None:
-        return self.young.get(key) or self.again(key)
 
-    def add(self, found: dict[str, bytes]) -> None:
-        if len(self.young) > KEPT_CHUNKS:
-            self.old, self.young = self.young, {}
-        self.young.update(found)
+class TextEncoder:
+    """Encodes texts with the byte-level tokenizer file at ``path``, without special tokens being added.
 
+    The strings of special tokens in a text are special tokens, or plain text if ``plain``. A tokenizer that does
+    not split by the pattern encodes texts as a whole.
+    """
 
-class ChunkEncoder:
-    """Encodes texts with the byte-level tokenizer file at ``path``, without special tokens being added."""
-
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False, kept: int = KEPT_WORDS):
         self.tokenizer = Tokenizer.from_file(path)
-        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
-        for token, i in vocabulary.items():
-            self.bytes_of[i] = len(token)  # one character stands for one byte
-        self.after_space, self.bare = _Generations(), _Generations()
-
-    def _encode(self, text: str) -> bytes:
+        self.tokenizer.encode_special_tokens = plain
+        self.specials = [] if plain else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        settings = json.loads(Path(path).read_text(encoding="utf-8"))
+        self.by_words = settings.get("normalizer") is None and (settings.get("pre_tokenizer") or {}).items() >= _BYTE_LEVEL.items()
+        self.characters = {b: c for b, c in enumerate(byte_characters())}
+        self.words = WordEncoder(WordSplitter(self._one_word), self._merged, kept)
+
+    def _one_word(self, texts: list[str]) -> list[bool]:
+        return [len(self.tokenizer.pre_tokenizer.pre_tokenize_str(t)) == 1 for t in texts]
+
+    def _merged(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of words by the tokenizer's merges; the words are already what its pattern gives."""
+        mapped, tokenize = b"".join(words).decode("latin-1").translate(self.characters), self.tokenizer.model.tokenize
+        ends = np.cumsum([0, *map(len, words)]).tolist()
+        return [[t.id for t in tokenize(mapped[a:b])] for a, b in zip(ends, ends[1:])]
+
+    def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _together(self, texts: list[str], before: str, after: str) -> dict[str, bytes]:
-        """The ids of each text with ``before`` before it; many are encoded as one text and cut apart."""
-        found = {}
-        for i in range(0, len(texts), _TOGETHER):
-            group = texts[i : i + _TOGETHER]
-            whole = "".join([before + x + after for x in group])
-            ids = np.array(self.tokenizer.encode_batch_fast([whole], add_special_tokens=False)[0].ids, dtype="<u4")
-            data, ends = ids.tobytes(), np.cumsum(self.bytes_of[ids])
-            sizes = np.array([len((before + x).encode()) for x in group], dtype=np.int64)
-            begins = np.cumsum(sizes + len(after)) - sizes - len(after)
-            first = np.searchsorted(ends, begins, side="right").tolist()
-            last = np.searchsorted(ends, begins + sizes, side="right").tolist()
-            found |= {x: data[4 * a : 4 * b] for x, a, b in zip(group, first, last)}
-        return found
-
-    def _chunks(self, wanted: set[str]) -> dict[str, bytes]:
-        """Ids of chunks that follow a space and are not known yet."""
-        taken, spaced, bare, heads, tails = {}, set(), set(), {}, {}
-        for chunk in wanted:
-            parts = _words(chunk)
-            if parts is None:
-                spaced.add(chunk)
-                continue
-            taken[chunk] = parts
-            for known, own, missing, some in (
-                (self.after_space, heads, spaced, parts[:1]), (self.bare, tails, bare, parts[1:])
-            ):
-                for x in some:
-                    if x and x not in own and x not in missing:
-                        if (ids := known.get(x)) is None:
-                            missing.add(x)
-                        else:
-                            own[x] = ids
-        found = self._together(sorted(spaced), " ", "")
-        found_bare = {"\n": self._encode("\n")} | self._together(sorted(bare - {"\n"}), "", "\n")
-        self.bare.add({k: v for k, v in found_bare.items() if len(k) <= KEPT_LENGTH})
-        heads |= found
-        tails |= found_bare
-        for chunk, parts in taken.items():
-            found[chunk] = heads[parts[0]] + b"".join([tails[x] for x in parts[1:] if x])
-        return found
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
-        parts, known, wanted, get = [], [], set(), self.after_space.young.get
-        for text in texts:
-            if any(s in text for s in self.specials):
-                own = [text]
-            else:
-                own = _BOUNDARY.split(text) if _DOUBLE.search(text) else text.split(" ")
-            ids = [None, *map(get, own[1:])]
-            parts.append(own)
-            known.append(ids)
-            wanted.update(compress(own[1:], map(is_, ids[1:], repeat(None))))
-        fresh = {k: v for k in wanted if (v := self.after_space.again(k)) is not None}
-        fresh |= self._chunks(wanted - fresh.keys())
-        out = []
-        for own, ids in zip(parts, known):
-            ids[0] = self._encode(own[0]) if own[0] else b""
-            out.append(b"".join([fresh[p] if x is None else x for p, x in zip(own, ids)]))
-        self.after_space.add({k: v for k, v in fresh.items() if len(k) <= KEPT_LENGTH and "\n" not in k})
-        return out
-
-
-def encoder(path: str) -> ChunkEncoder:
+        if not self.by_words:
+            return list(map(self._whole, texts))
+        special = {i: self._whole(t) for i, t in enumerate(texts) if any(s in t for s in self.specials)}
+        found = self.words.encode(["" if i in special else t for i, t in enumerate(texts)])
+        return [special.get(i, ids) for i, ids in enumerate(found)]
+
+
+def encoder(path: str, plain: bool = False) -> TextEncoder:
     """One encoder for each worker process and file."""
-    return resident(("chunks", path), lambda: ChunkEncoder(path))
+    return resident(("words", path, plain), lambda: TextEncoder(path, plain))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from itertools import chain
+from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ KEPT_WORDS = 300_000
 KEPT_LENGTH = 64
 #: Kinds of characters; the edge stands before and after each text.
 _LETTER, _NUMBER, _OTHER, _SPACE, _EDGE = range(5)
-_EDGE_CODE = 0x110000
+EDGE_CODE = 0x110000
 #: Fixed values of the pattern: what follows an apostrophe in a word of its own.
 _ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 
@@ -36,7 +37,8 @@ def _as_bytes(values: pa.BinaryArray) -> list[bytes]:
 class _Generations:
     """A bounded dictionary: what was not asked for while the younger half filled up is let go."""
 
-    def __init__(self) -> None:
+    def __init__(self, size: int) -> None:
+        self.size = size
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -48,7 +50,7 @@ class _Generations:
         return value
 
     def add(self, found: dict[bytes, bytes]) -> None:
-        if len(self.young) > KEPT_WORDS:
+        if len(self.young) > self.size:
             self.old, self.young = self.young, {}
         self.young.update(found)
 
@@ -66,8 +68,8 @@ class WordSplitter:
 
     def __init__(self, one_word: Callable[[list[str]], list[bool]]):
         self.one_word = one_word
-        self.kinds = np.full(_EDGE_CODE + 1, -1, dtype=np.int8)
-        self.kinds[_EDGE_CODE] = _EDGE
+        self.kinds = np.full(EDGE_CODE + 1, -1, dtype=np.int8)
+        self.kinds[EDGE_CODE] = _EDGE
 
     def _learn(self, codes: list[int]) -> None:
         self.kinds[codes] = _SPACE  # what joins no run is white space
@@ -101,12 +103,17 @@ class WordSplitter:
         return starts
 
 
+class Splitter(Protocol):
+    def starts(self, codes: np.ndarray) -> np.ndarray:
+        """Whether a word begins at each character of texts with an edge before, between and after them."""
+
+
 class WordEncoder:
     """Ids of texts from those of their words, which ``fresh`` gives for distinct words that are not kept."""
 
-    def __init__(self, one_word: Callable[[list[str]], list[bool]], fresh: Callable[[list[bytes]], list[list[int]]]):
-        self.splitter, self.encode_words = WordSplitter(one_word), fresh
-        self.kept = _Generations()
+    def __init__(self, splitter: Splitter, fresh: Callable[[list[bytes]], list[list[int]]], kept: int = KEPT_WORDS):
+        self.splitter, self.encode_words = splitter, fresh
+        self.kept = _Generations(kept)
 
     def fresh(self, words: list[bytes]) -> list[bytes]:
         found = self.encode_words(words)
@@ -131,7 +138,7 @@ class WordEncoder:
         if not any(texts):
             return [b""] * len(texts)
         lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
-        codes = np.full(int(lengths.sum()) + len(texts) + 1, _EDGE_CODE, dtype=np.uint32)
+        codes = np.full(int(lengths.sum()) + len(texts) + 1, EDGE_CODE, dtype=np.uint32)
         inside = np.ones(len(codes), dtype=bool)
         edges = np.concatenate([[0], np.cumsum(lengths + 1)])
         inside[edges] = False

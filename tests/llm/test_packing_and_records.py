@@ -9,7 +9,7 @@ from llm_rows import messy_rows
 from tokenizers import Tokenizer
 
 from shelfcast.llm import binary_records, slack_packing
-from shelfcast.llm.tokens import ChunkEncoder
+from shelfcast.llm.tokens import TextEncoder
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 WHOLE = Tokenizer.from_file(BPE)
@@ -19,11 +19,11 @@ def ids_of(text, end):
     return WHOLE.encode(text or "", add_special_tokens=False).ids + [end]
 
 
-def test_chunks_give_the_ids_of_whole_texts():
+def test_words_give_the_ids_of_whole_texts():
     rng = random.Random(5)
     parts = ["the", " ", "  ", "\n", "\n\n", ".", ",", "'s", "1", "²", "½", "é", "日本", "|", "\t", "<|endoftext|>", "_", "-", "'ll", "\r", "😀", "ª", "Ⅷ", "́"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(4_000)]
-    own = ChunkEncoder(BPE)
+    own = TextEncoder(BPE)
     found = own.encode(texts[:2_000]) + own.encode(texts[2_000:])
     assert [np.frombuffer(x, dtype="<u4").tolist() for x in found] == [ids_of(t, 0)[:-1] for t in texts]
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import backtrack_bpe, binary_records, embedding_pivots, language_id, minmax_dedup, multiset_hash, nbest_pieces, path_templates, prefix_free, pseudonyms, slack_packing
+from shelfcast.llm import backtrack_bpe, binary_records, embedding_pivots, language_id, minmax_dedup, multiset_hash, nbest_pieces, path_templates, prefix_free, pseudonyms, slack_packing, token_alignment
 from shelfcast.llm.common import table
 from shelfcast.sources.saved import scratch_path
 
@@ -115,6 +115,16 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_lockstep_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_alignment.align(table(spark, sf_dir, "documents"), BYTE_BPE, PIECES)
+    groups = token_alignment.groups_text(*(F.col(c) for c in ("a_ids", "b_ids", "a_in_group", "b_in_group")))
+    return found.withColumn("groups", groups).select(
+        "doc_id", *((F.length(f"{x}_ids") / 4).cast("long").alias(f"n_{x}") for x in "ab"),
+        "n_groups", "n_links", "n_best", "count_sum",
+        F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256"),
+    )
+
+
 def op13_backtrack_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = backtrack_bpe.encode(docs, RANKS)
@@ -135,6 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nbest_pieces": op8_nbest_pieces,
     "op9_prefix_free": op9_prefix_free,
     "op10_language_id": op10_language_id,
+    "op12_lockstep_alignment": op12_lockstep_alignment,
     "op13_backtrack_bpe": op13_backtrack_bpe,
 }
 ORACLES: dict[str, str] = {}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import backtrack_bpe, binary_records, embedding_pivots, language_id, minmax_dedup, multiset_hash, nbest_pieces, path_templates, prefix_free, pseudonyms, slack_packing, token_alignment
+from shelfcast.llm import backtrack_bpe, binary_records, embedding_pivots, language_id, minmax_dedup, multiset_hash, nbest_pieces, path_templates, phrase_mining, prefix_free, pseudonyms, slack_packing, token_alignment
 from shelfcast.llm.common import table
 from shelfcast.sources.saved import scratch_path
 
@@ -115,6 +115,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vertical_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_mining.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_lockstep_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = token_alignment.align(table(spark, sf_dir, "documents"), BYTE_BPE, PIECES)
     groups = token_alignment.groups_text(*(F.col(c) for c in ("a_ids", "b_ids", "a_in_group", "b_in_group")))
@@ -145,7 +149,42 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nbest_pieces": op8_nbest_pieces,
     "op9_prefix_free": op9_prefix_free,
     "op10_language_id": op10_language_id,
+    "op11_vertical_phrases": op11_vertical_phrases,
     "op12_lockstep_alignment": op12_lockstep_alignment,
     "op13_backtrack_bpe": op13_backtrack_bpe,
 }
-ORACLES: dict[str, str] = {}
+#: Phrases are lists of words here; every count is taken from one table of all phrases up to five words.
+_PHRASES_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+split AS (SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS w FROM pieces),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split),
+counted AS (
+  SELECT lang, w[i:i + m - 1] AS p, count(*) AS a
+  FROM places, range(1, 6) AS sizes(m) WHERE i + m - 1 <= len(w) GROUP BY ALL
+),
+totals AS (SELECT lang, sum(a)::BIGINT AS n FROM counted WHERE len(p) = 1 GROUP BY lang),
+candidates AS (SELECT * FROM counted WHERE len(p) > 1 AND a >= 100),
+cuts AS (SELECT lang, p, a, unnest(range(1, len(p))) AS k FROM candidates),
+scored AS (
+  SELECT c.lang, c.p, c.a, c.k, x.a AS l, y.a AS r, n, (1000::HUGEINT * c.a * n // (x.a::HUGEINT * y.a))::BIGINT AS score
+  FROM cuts c JOIN totals USING (lang)
+  JOIN counted x ON x.lang = c.lang AND x.p = c.p[1:k] JOIN counted y ON y.lang = c.lang AND y.p = c.p[k + 1:]
+),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+inside AS (
+  SELECT DISTINCT b.lang, b.p[i:i + m - 1] AS p, b.a AS longer
+  FROM candidates b, range(2, 5) AS sizes(m), range(1, 5) AS starts(i) WHERE m < len(b.p) AND i + m - 1 <= len(b.p)
+),
+open_ones AS (
+  SELECT *, array_to_string(p, ' ') AS phrase FROM lowest c
+  WHERE NOT EXISTS (SELECT 1 FROM inside d WHERE d.lang = c.lang AND d.p = c.p AND 100 * d.longer >= 100 * c.a)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM open_ones QUALIFY rank <= 2000
+"""
+
+ORACLES: dict[str, str] = {"op11_vertical_phrases": _PHRASES_SQL}

@@ -26,7 +26,7 @@ EDGE_CODE = 0x110000
 _ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 
 
-def _as_bytes(values: pa.BinaryArray) -> list[bytes]:
+def as_bytes(values: pa.BinaryArray) -> list[bytes]:
     """The values cut out of their buffer, which is faster than one scalar each."""
     _, offsets, data = values.buffers()
     cuts = np.frombuffer(offsets, dtype=np.int32)[values.offset : values.offset + len(values) + 1].tolist()
@@ -154,7 +154,7 @@ class WordEncoder:
         words = pa.Array.from_buffers(
             pa.binary(), len(places), [None, pa.py_buffer(offsets), pa.py_buffer(data.encode())]
         ).dictionary_encode()
-        known = self._ids(_as_bytes(words.dictionary))
+        known = self._ids(as_bytes(words.dictionary))
         which = words.indices.to_numpy()
         counts = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // 4
         table = np.frombuffer(b"".join(known), dtype="<u4")

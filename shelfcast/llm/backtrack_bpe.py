@@ -27,7 +27,7 @@ from shelfcast.llm.words import WordEncoder, WordSplitter
 #: Fixed value: the pattern whose matches are encoded one by one.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Neighbours whose compatibility a worker remembers; all are let go when there are more.
-KEPT_PAIRS = 1_000_000
+KEPT_PAIRS = 200_000
 
 
 class Merges:
@@ -163,29 +163,43 @@ def merges(path: str) -> Merges:
     return Merges(read_ranks(path))
 
 
+@cache
+def token_bytes(path: str) -> dict[int, bytes]:
+    return {i: token for token, i in read_ranks(path).items()}
+
+
+def decoded(of: dict[int, bytes], ids: bytes) -> bytes:
+    return b"".join(map(of.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
+
+
 def encoder(path: str) -> Encoder:
     """One encoder for each worker process and file."""
     return resident(("backtrack", path), lambda: Encoder(path))
 
 
-def encode(docs: DataFrame, path: str, column: str = "ids") -> DataFrame:
-    """The rows and columns of ``docs`` with the ids of each whole ``text`` as little-endian unsigned 32-bit integers.
+def encode(docs: DataFrame, path: str, column: str = "tokens") -> DataFrame:
+    """The rows and columns of ``docs`` with a struct (ids, decoded) of each whole ``text``.
 
-    A null or empty text has no ids (an empty binary). Rows that repeat, or have no doc_id, are encoded like all
-    others; a column of the added name is replaced. One pass without a shuffle; an empty table gives an empty
-    table. A text of one endless word takes memory for its bytes and time in proportion.
+    ``ids`` are little-endian unsigned 32-bit integers, ``decoded`` the bytes that they stand for, read back from
+    them in the same pass. A null or empty text has no ids (an empty binary). Rows that repeat, or have no doc_id,
+    are encoded like all others; a column of the added name is replaced. One pass without a shuffle; an empty table
+    gives an empty table. A text of one endless word takes memory for its bytes and time in proportion.
     """
 
-    @F.arrow_udf("binary")
-    def ids(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    @F.arrow_udf("ids binary, decoded binary")
+    def tokens(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = encoder(path)
         for array in texts:
             batch = pa.RecordBatch.from_arrays([array], names=["text"])
-            found = [x for _, part in text_slices(iter([batch])) for x in own.encode(part)]
-            yield pa.array(found, pa.binary())
+            ids, back = [], []
+            for _, part in text_slices(iter([batch])):
+                found = own.encode(part)
+                ids.append(pa.array(found, pa.binary()))
+                back.append(pa.array([decoded(own.merges.bytes_of, x) for x in found], pa.binary()))
+            yield pa.StructArray.from_arrays([pa.concat_arrays(ids), pa.concat_arrays(back)], names=["ids", "decoded"])
         release()  # at the end of a task, not of a batch
 
-    return docs.withColumn(column, ids(F.col("text")))
+    return docs.withColumn(column, tokens(F.col("text")))
 
 
 def decode(ids: Column, path: str) -> Column:
@@ -193,8 +207,7 @@ def decode(ids: Column, path: str) -> Column:
 
     @F.arrow_udf("binary")
     def whole(column: pa.Array) -> pa.Array:
-        token = merges(path).bytes_of.__getitem__
-        found = [None if x is None else b"".join(map(token, np.frombuffer(x, dtype="<u4").tolist())) for x in column.to_pylist()]
-        return pa.array(found, pa.binary())
+        of = token_bytes(path)
+        return pa.array([None if x is None else decoded(of, x) for x in column.to_pylist()], pa.binary())
 
     return whole(ids)

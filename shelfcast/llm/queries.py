@@ -133,8 +133,8 @@ def op13_backtrack_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = backtrack_bpe.encode(docs, RANKS)
     return found.select(
-        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(backtrack_bpe.decode(F.col("ids"), RANKS), 256).alias("decoded_sha256"),
+        "doc_id", (F.length("tokens.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("tokens.ids", 256).alias("ids_sha256"), F.sha2("tokens.decoded", 256).alias("decoded_sha256"),
     )
 
 

@@ -95,12 +95,12 @@ def test_long_words(library, word):
 
 
 def test_messy_rows_keep_their_columns_and_go_back(messy, nothing, library):
-    rows = backtrack_bpe.encode(messy, RANKS, column="kept").withColumn("back", backtrack_bpe.decode(F.col("kept"), RANKS))
+    rows = backtrack_bpe.encode(messy, RANKS, column="kept").withColumn("back", backtrack_bpe.decode(F.col("kept.ids"), RANKS))
     found = rows.collect()
     assert rows.columns == [*messy.columns, "back"] and len(found) == len(messy_rows())
     for row in found:
-        assert ids_of(row["kept"]) == library.encode_ordinary(row["text"] or "")
-        assert row["back"] == (row["text"] or "").encode()
+        assert ids_of(row["kept"]["ids"]) == library.encode_ordinary(row["text"] or "")
+        assert row["back"] == row["kept"]["decoded"] == (row["text"] or "").encode()
     assert backtrack_bpe.encode(nothing, RANKS).collect() == []
     assert messy.limit(1).select(backtrack_bpe.decode(F.lit(None).cast("binary"), RANKS)).first()[0] is None
 

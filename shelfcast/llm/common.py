@@ -29,14 +29,16 @@ def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Record batches cut into slices of about ``SLICE_CHARS`` characters, with their texts (null: empty)."""
+def text_slices(
+    batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_CHARS
+) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Record batches cut into slices of about ``most`` characters, with their texts (null: empty)."""
     for batch in batches:
         texts = [text or "" for text in batch.column(column).to_pylist()]
         start, chars = 0, 0
         for i, text in enumerate(texts):
             chars += len(text)
-            if chars >= SLICE_CHARS:
+            if chars >= most:
                 yield batch.slice(start, i + 1 - start), texts[start : i + 1]
                 start, chars = i + 1, 0
         if start < len(texts):
@@ -57,6 +59,7 @@ def resident(key: object, make: Callable[[], T]) -> T:
 def release() -> None:
     """Let go of it at the end of a task: idle workers of an earlier stage would hold it beside those of the next."""
     _resident.clear()
+    pa.default_memory_pool().release_unused()
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:

@@ -13,6 +13,7 @@ unit counts its pairs, these counts are summed up by pair, and the sums go back
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,9 +30,11 @@ from shelfcast.llm.words import EDGE_CODE, WordEncoder
 
 WORD_START = "▁"
 #: Characters and rows of the texts that share a table of pair counts.
-UNIT_CHARS, UNIT_ROWS = 8_000_000, 20_000
+UNIT_CHARS, UNIT_ROWS = 5_000_000, 20_000
+#: Characters of the texts that are merged side by side.
+LOCKSTEP_CHARS = 1_000_000
 #: Words that a worker keeps of each tokenizer, in each of two generations.
-KEPT_WORDS = 150_000
+KEPT_WORDS = 100_000
 #: Tokens of A after which a text goes on in a stretch of its own, and how many ends are tried for that.
 STRETCH, TRIED = 256, 16
 #: Bits of an id in a pair's number, and of a text's place in a unit.
@@ -195,6 +198,19 @@ def _ids(parts: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(parts), dtype="<u4").astype(np.int64)
 
 
+def packed(values: bytes) -> bytes:
+    """32-bit numbers in as many bytes each as the largest needs, compressed: the form in which they are stored and moved."""
+    numbers = np.frombuffer(values, dtype="<u4")
+    if not numbers.size:
+        return b""
+    width = next(w for w in (1, 2, 4) if w == 4 or numbers.max() < 1 << 8 * w)
+    return bytes([width]) + zlib.compress(numbers.astype(f"<u{width}").tobytes(), 1)
+
+
+def unpacked(data: bytes) -> bytes:
+    return np.frombuffer(zlib.decompress(data[1:]), dtype=f"<u{data[0]}").astype("<u4").tobytes() if data else b""
+
+
 def align_texts(pair: Pair, texts: list[str]) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
     """The texts' ids of A and B and, group by group, how many tokens of each; then linked pairs and in how many texts."""
     a, b = pair.encode(texts)
@@ -232,12 +248,11 @@ def grouped_pairs(a: list[bytes], b: list[bytes], n_a: list[bytes], n_b: list[by
     return distinct_pairs(np.repeat(np.arange(len(a)), [len(i) // 4 for i in a])[x], a_ids[x], b_ids[y])
 
 
-def _columns(rows: pa.Table) -> list[list[bytes]]:
-    return [rows.column(c).to_pylist() for c in ("a_ids", "b_ids", "a_in_group", "b_in_group")]
+_ARRAYS = ("a_ids", "b_ids", "a_in_group", "b_in_group")
 
 
 def aligned_tokens(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
-    """Rows (doc_id, unit, a_ids, b_ids, a_in_group, b_in_group, pairs, texts), one for each row of ``docs``.
+    """Rows (doc_id, unit, a_ids, b_ids, a_in_group, b_in_group, pairs, texts), one for each row of ``docs``; all packed.
 
     The first row of a slice of texts has the slice's linked pairs and in how many of its texts each is linked.
     """
@@ -246,13 +261,14 @@ def aligned_tokens(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         pair = resident(("alignment", a_path, b_path), lambda: Pair(a_path, b_path))
         unit = TaskContext.get().partitionId() << 32
         chars = rows = 0
-        for batch, texts in text_slices(batches):
+        for batch, texts in text_slices(batches, most=LOCKSTEP_CHARS):
             # a slice is no larger than a unit, but for a single text
             more = sum(map(len, texts))
             if rows and (chars + more > UNIT_CHARS or rows + len(texts) > UNIT_ROWS):
                 unit, chars, rows = unit + 1, 0, 0
             chars, rows = chars + more, rows + len(texts)
             columns, *pairs = align_texts(pair, texts)
+            columns = [list(map(packed, c)) for c in columns]
             columns += [[x.astype("<i8").tobytes()] + [None] * (len(texts) - 1) for x in pairs]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([unit] * len(texts), pa.int64()), *(pa.array(c, pa.binary()) for c in columns)],
@@ -310,7 +326,7 @@ def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     known = pairs.select("unit", "a", "b").join(counts, ["a", "b"])
 
     def sum_up(texts: pa.Table, pairs: pa.Table) -> pa.Table:
-        columns = _columns(texts)
+        columns = [list(map(unpacked, texts.column(c).to_pylist())) for c in _ARRAYS]
         place, pair, times = grouped_pairs(*columns)
         key = pairs.column("a").to_numpy().astype(np.int64) << _BITS | pairs.column("b").to_numpy()
         order = np.argsort(key)
@@ -322,13 +338,13 @@ def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
             sums = _cuts(values)
             return sums[bounds[1:]] - sums[bounds[:-1]]
 
-        added = {
+        added = {c: pa.array(x, pa.binary()) for c, x in zip(_ARRAYS, columns)}
+        sums = {
             "n_groups": [len(x) // 4 for x in columns[2]], "n_links": total(times),
             "n_best": total(times * best), "count_sum": total(times * count),
         }
-        for name, values in added.items():
-            texts = texts.append_column(name, pa.array(values, pa.int64()))
-        return texts.drop_columns(["unit"])
+        added |= {name: pa.array(values, pa.int64()) for name, values in sums.items()}
+        return pa.table({"doc_id": texts.column("doc_id"), **added})
 
     texts = aligned.drop("pairs", "texts")
     return texts.groupBy("unit").cogroup(known.groupBy("unit")).applyInArrow(sum_up, _COUNTED)
@@ -353,7 +369,7 @@ def groups_text(a_ids: Column, b_ids: Column, a_in_group: Column, b_in_group: Co
         out, start, size = [], 0, 0
         for i in range(len(a)):
             size += len(a[i]) + len(b[i])
-            if size > 1 << 23 or i + 1 == len(a):
+            if size > 1 << 21 or i + 1 == len(a):
                 some = slice(start, i + 1)
                 out += _texts(a[some], b[some], n_a[some], n_b[some])
                 start, size = i + 1, 0

@@ -2,18 +2,12 @@
 
 from __future__ import annotations
 
-import json
-from pathlib import Path
-
 import numpy as np
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from shelfcast.llm.common import resident
 from shelfcast.llm.words import KEPT_WORDS, WordEncoder, WordSplitter
 
-#: Fixed value: the settings of a pre-tokenizer that splits by the byte-level pattern and nothing else.
-_BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
-
 
 def byte_characters() -> list[str]:
     """The character that stands for each byte in a byte-level vocabulary: printable ones for themselves."""
@@ -33,8 +27,9 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain
         self.specials = [] if plain else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        settings = json.loads(Path(path).read_text(encoding="utf-8"))
-        self.by_words = settings.get("normalizer") is None and (settings.get("pre_tokenizer") or {}).items() >= _BYTE_LEVEL.items()
+        splitter = self.tokenizer.pre_tokenizer
+        byte_level = isinstance(splitter, pre_tokenizers.ByteLevel) and splitter.use_regex and not splitter.add_prefix_space
+        self.by_words = byte_level and self.tokenizer.normalizer is None
         self.characters = {b: c for b, c in enumerate(byte_characters())}
         self.words = WordEncoder(WordSplitter(self._one_word), self._merged, kept)
 

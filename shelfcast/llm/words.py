@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Words kept by a worker in each of two generations, so its memory stays bounded.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 150_000
 #: Longer words (in bytes) are encoded each time.
 KEPT_LENGTH = 64
 #: Kinds of characters; the edge stands before and after each text.
@@ -147,7 +147,7 @@ class WordEncoder:
         starts = self.splitter.starts(codes)
         # edges hold no bytes, so the words between them lie next to each other in the bytes of all texts
         sizes = inside.astype(np.int8) + (inside & (codes >= 0x80)) + (inside & (codes >= 0x800)) + (inside & (codes >= 0x10000))
-        begins = np.cumsum(sizes, dtype=np.int64) - sizes
+        begins = np.cumsum(sizes, dtype=np.int32) - sizes
         at = starts & inside
         places = begins[at]
         offsets = np.append(places, begins[-1]).astype(np.int32)

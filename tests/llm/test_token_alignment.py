@@ -134,7 +134,7 @@ def test_units_of_one_text_give_the_same_sums(spark, messy, libraries, monkeypat
     rows = [(r[0], r[1]) for r in messy_rows() if r[1] and len(r[1]) < 2_000]
     monkeypatch.setattr(token_alignment, "UNIT_ROWS", 0)
     units = token_alignment.aligned_tokens(spark.createDataFrame(rows, "doc_id long, text string").repartition(8), A, B)
-    assert units.select("unit").distinct().count() == 8
+    assert units.select("unit").distinct().count() >= 8
     found = token_alignment.align(spark.createDataFrame(rows, "doc_id long, text string").repartition(8), A, B)
     got = sorted((r["doc_id"] or -99, r["n_best"], r["count_sum"]) for r in found.collect())
     assert got == sorted((r[0] or -99, r[5], r[6]) for r in brute(libraries, rows))

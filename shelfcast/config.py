@@ -16,7 +16,8 @@ BASE_FEATURES = ("item_hash", "day_number", "wday", "month", "year", "snap", "se
 class FeatureConfig:
     """What history to derive, which days to keep and how to lay the result out.
 
-    ``limit_days`` restricts the rows that come out, never the history they are computed from.
+    ``limit_days`` and ``days`` restrict the rows that come out, never the history they are computed from: to
+    the last days of the panel, or to the day numbers given.
     ``partition_by`` names feature columns that become directories, so that a later stage which
     only needs recent days reads only their files.
     """
@@ -25,6 +26,7 @@ class FeatureConfig:
     lags: tuple[int, ...] = (7, 14, 28)
     rolling_windows: tuple[int, ...] = (7, 28)
     limit_days: int | None = None
+    days: tuple[int, ...] | None = None
     validation_days: int = 28
     output_partitions: int | None = None
     auto_partitions: bool = False
@@ -39,6 +41,11 @@ class FeatureConfig:
             value = getattr(self, name)
             if value is not None and value < 1:
                 raise ValueError(f"{name} must be positive, got {value}")
+        if self.days is not None:
+            if not self.days or any(day < 1 for day in self.days) or len(set(self.days)) != len(self.days):
+                raise ValueError(f"days must be distinct positive day numbers, got {self.days}")
+            if self.limit_days is not None:
+                raise ValueError("days and limit_days exclude each other")
         if self.validation_days < 0:
             raise ValueError(f"validation_days must not be negative, got {self.validation_days}")
 
@@ -71,7 +78,13 @@ class FeatureConfig:
 
 @dataclass(frozen=True)
 class ForestConfig:
+    """``partitions`` deals the training rows out by their content; with the seed it decides which rows a tree draws.
+
+    The fit depends on it, and on nothing of how the table is stored or read. More rows want more partitions.
+    """
+
     max_depth: int = 6
     num_trees: int = 40
     seed: int = 42
     max_bins: int = 32
+    partitions: int = 64

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,10 +31,10 @@ def selected_weeks(calendar: DataFrame) -> DataFrame:
     return calendar.select("wm_yr_wk").distinct()
 
 
-def join_calendar(panel: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Left join on the day; ``calendar`` carries ``day_number`` and is matched on it.
+def join_calendar(panel: DataFrame, calendar: DataFrame, on: Sequence[str] = ("day_number",)) -> DataFrame:
+    """Left join on the day; ``calendar`` carries ``day_number`` and is matched on it, or on all of ``on``.
 
     The calendar grows with days, not with sales. No hint is set: its size estimate makes the join a
     broadcast below ``spark.sql.autoBroadcastJoinThreshold`` and a shuffled one above.
     """
-    return panel.join(calendar.drop("d"), "day_number", "left")
+    return panel.join(calendar.drop("d"), list(on), "left")

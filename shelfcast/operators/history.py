@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 
 from shelfcast.config import ID_COLUMNS, SERIES_KEY, FeatureConfig
 from shelfcast.functions.columns import day_label
-from shelfcast.operators.packed import PackedPanel, pack_wide
+from shelfcast.operators.packed import DAYS, START, PackedPanel, pack_wide
 
-# A mean over more days than this is computed in the packed row, to keep generated methods small
-# enough for the JIT.
-_UNROLLED_DAYS = 64
+# Entries of a chunk of running sums. An entry is appended by copying its chunk, so a chunk must be short; a whole
+# series in one would take time with the square of its days.
+_CHUNK = 64
 
 
 def history_wide(sales: DataFrame, config: FeatureConfig) -> DataFrame:
@@ -26,41 +26,41 @@ def history_wide(sales: DataFrame, config: FeatureConfig) -> DataFrame:
 
 
 def history_rows(
-    panel: PackedPanel, config: FeatureConfig, carry: Sequence[str] = ()
+    panel: PackedPanel,
+    config: FeatureConfig,
+    carry: Sequence[str] = (),
+    dated: tuple[Column, Sequence[str]] | None = None,
 ) -> DataFrame:
     """One row per series and day; ``carry`` names further columns of the packed frame to keep.
 
+    ``dated`` gives the days in place of the panel's: an array of structs with ``day_number``, and the names of its
+    other fields, which come out as columns.
+
     Days are generated first and the array is then read by position in ordinary expressions, so that
-    generator, look-backs and whatever follows compile into one loop which never copies the array.
+    generator, look-backs and whatever follows compile into one loop which never copies the array. A trailing mean
+    is the difference of two running sums of its series, so its cost does not grow with the window.
     """
     day = F.col("day_number")
     position = day - panel.start
     history = F.col("history")
-    long_means = {w: _mean_array(w) for w in config.rolling_windows if w > _UNROLLED_DAYS}
+    days, fields = dated or (panel.days, ())
+    laid_out = DAYS in panel.frame.columns
     packed = panel.frame.select(
-        *ID_COLUMNS, *carry, history,
-        panel.days.alias("_days"),
-        *(mean.alias(f"_mean_{w}") for w, mean in long_means.items()),
-    )
-    generated = packed.select(
-        *(c for c in packed.columns if c != "_days"), F.explode("_days").alias("day_number")
+        *ID_COLUMNS, *carry, history, *([DAYS, START] if laid_out else [days.alias(DAYS)]),
+        *([_running_sums().alias("_chunks")] if config.rolling_windows else []),
     )
-
-    def mean(window: int) -> Column:
-        if window in long_means:
-            return F.get(F.col(f"_mean_{window}"), position)
-        total = F.get(history, position - window)
-        for back in range(window - 1, 0, -1):
-            total = total + F.get(history, position - back)
-        return total / F.lit(float(window))
-
+    if config.rolling_windows:
+        packed = packed.withColumn("_before", _sums_before_chunks())
+    each = F.inline(DAYS) if dated else F.explode(DAYS).alias("day_number")
+    generated = packed.select(*(c for c in packed.columns if c != DAYS), each)
     return generated.select(
         *ID_COLUMNS,
         *carry,
+        *fields,
         day_label(day).alias("d"),
         F.get(history, position).alias("sales"),
         *(F.get(history, position - k).alias(f"lag_{k}") for k in config.lags),
-        *(mean(w).alias(f"rolling_mean_{w}") for w in config.rolling_windows),
+        *(_mean(position, w).alias(f"rolling_mean_{w}") for w in config.rolling_windows),
         day,
     )
 
@@ -109,14 +109,57 @@ def history_long(sales: DataFrame, config: FeatureConfig, block_days: int = 512)
     )
 
 
-def _mean_array(window: int) -> Column:
-    """For each entry of ``history`` the mean of the ``window`` entries before it."""
+def _sum(total: Column, nulls: Column, odd: Column) -> Column:
+    return F.struct(total.alias("total"), nulls.alias("nulls"), odd.alias("odd"))
+
+
+_NOTHING = ("0D", "0", "0")
+
+
+def _nothing() -> Column:
+    return F.array(_sum(*(F.expr(zero) for zero in _NOTHING)))
+
+
+def _running_sums() -> Column:
+    """``history`` in chunks; each an array of the sums, nulls and non-finite values before its entries, and at its end.
+
+    A value that is not finite would stay in all later sums, so it is counted and left out.
+    """
     history = F.col("history")
 
-    def mean(position: Column) -> Column:
-        start = F.greatest(position - window, F.lit(0)) + 1
-        before = F.slice(history, start, F.lit(window))
-        total = F.aggregate(before, F.lit(0.0), lambda sum_, value: sum_ + value)
-        return F.when(position >= window, total / F.lit(float(window)))
+    def step(done: Column, value: Column) -> Column:
+        last = F.element_at(done, -1)
+        odd = F.coalesce(F.isnan(value) | (F.abs(value) == F.lit(float("inf"))), F.lit(False))
+        total = last["total"] + F.when(odd, F.lit(0.0)).otherwise(F.coalesce(value, F.lit(0.0)))
+        return F.array_append(done, _sum(total, last["nulls"] + value.isNull().cast("int"), last["odd"] + odd.cast("int")))
+
+    def chunk(number: Column) -> Column:
+        return F.aggregate(F.slice(history, number * _CHUNK + 1, F.lit(_CHUNK)), _nothing(), step)
+
+    return F.transform(F.sequence(F.lit(0), F.floor(F.size(history) / _CHUNK).cast("int")), chunk)
+
+
+def _sums_before_chunks() -> Column:
+    """The same sums over all chunks before each."""
+
+    def step(done: Column, chunk: Column) -> Column:
+        last, own = F.element_at(done, -1), F.element_at(chunk, -1)
+        return F.array_append(done, _sum(*(last[name] + own[name] for name in ("total", "nulls", "odd"))))
+
+    return F.aggregate("_chunks", _nothing(), step)
+
+
+def _mean(position: Column, window: int) -> Column:
+    """The mean of the ``window`` entries before a position; null unless all are there and not null."""
+
+    def before(place: Column, name: str) -> Column:
+        chunk = F.floor(place / _CHUNK).cast("int")
+        return F.get(F.col("_before"), chunk)[name] + F.get(F.get(F.col("_chunks"), chunk), place % _CHUNK)[name]
+
+    def difference(name: str) -> Column:
+        return before(position, name) - before(position - window, name)
 
-    return F.transform(F.sequence(F.lit(0), F.size(history) - 1), mean)
+    direct = F.aggregate(F.slice("history", position - window + 1, F.lit(window)), F.lit(0.0), lambda total, value: total + value)
+    total = F.when(difference("odd") > 0, direct).otherwise(difference("total"))
+    whole = (position >= window) & (position <= F.size("history")) & (difference("nulls") == 0)
+    return F.when(whole, total / F.lit(float(window)))

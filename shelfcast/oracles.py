@@ -232,6 +232,9 @@ FROM panel_long""",
     "panel_union": f"{_PANEL} SELECT id, d, sales FROM panel_long",
     "lag_features": f"{_PANEL} SELECT id, day_number, lag_7, lag_14, lag_28 FROM history",
     "trailing_means": f"{_PANEL} SELECT id, day_number, rolling_mean_7, rolling_mean_28 FROM history",
+    "trailing_mean_quarter": f"""{_PANEL}
+      SELECT id, day_number, CASE WHEN day_number > 90 THEN round(sum(sales) OVER (PARTITION BY id ORDER BY day_number
+        RANGE BETWEEN 90 PRECEDING AND 1 PRECEDING) / CAST(90 AS DOUBLE), 6) END AS rolling_mean_90 FROM panel_long""",
     "history_wide": f"{_PANEL} SELECT {_HISTORY} FROM history",
     "history_long": f"{_PANEL} SELECT {_HISTORY} FROM history",
     "price_week_prune": f"""{_PANEL}
@@ -247,6 +250,15 @@ ON p.store_id = l.store_id AND p.item_id = l.item_id AND p.wm_yr_wk = c.wm_yr_wk
     "feature_table": f"{_FEATURES} SELECT {_TABLE} FROM features",
     "feature_table_recent": f"""{_FEATURES}
 SELECT {_TABLE} FROM features WHERE day_number > {_LAST} - 128""",
+    "feature_table_days": f"""{_FEATURES}
+        SELECT {_TABLE} FROM features
+        WHERE day_number IN (5, 29, 30, 31, 365, 366, 900, 1001, 1002, 1003, 1004, 1800, 2200, 2201, 2499)""",
+    "feature_table_repeated": f"""{_FEATURES},
+      recent AS (SELECT {_TABLE} FROM features WHERE day_number > {_LAST} - 128)
+      SELECT * FROM recent
+      UNION ALL
+      SELECT recent.* REPLACE (p.sell_price * 2 AS sell_price)
+      FROM recent JOIN prices p USING (store_id, item_id, wm_yr_wk) WHERE wm_yr_wk % 2 = 0""",
     "max_day": f"{_PANEL} SELECT max(day_number) AS max_day FROM panel_base",
     "selected_weeks": f"""{_PANEL}
 SELECT DISTINCT wm_yr_wk FROM calendar WHERE day_number > {_LAST} - 128""",
@@ -275,6 +287,8 @@ FROM latest WHERE stage <> 'other'""",
         f"({_indexes(c)})" for c in ("dept_id", "cat_id", "store_id", "state_id")
     ),
     "feature_vector": _vector(),
+    "forest_stable": f"""{_FEATURES}
+SELECT id, d, TRUE AS equal FROM features WHERE day_number > {_LAST} - 28""",
     "forest_forecast_bounds": f"""{_FEATURES}
 SELECT id, d, TRUE AS inside FROM features WHERE day_number > {_LAST} - 28""",
     "forest_fit_rows": f"""{_FEATURES}, mean AS (

@@ -16,15 +16,25 @@ from shelfcast.operators.calendar import (
     selected_weeks,
 )
 from shelfcast.operators.history import history_rows
-from shelfcast.operators.packed import PackedPanel, pack_long, pack_wide, spread_series
+from shelfcast.operators.packed import (
+    PackedPanel,
+    lay_out_series,
+    output_partitions,
+    pack_long,
+    pack_wide,
+    spread_series,
+)
 from shelfcast.operators.prices import (
     FOLDED,
+    MOST_COPIES,
+    WEEK,
+    dated_weeks,
     fill_missing,
     fold_prices,
     join_prices,
     look_up_price,
+    most_copies,
     number_weeks,
-    prices_are_unique,
     prune_prices,
 )
 
@@ -35,12 +45,12 @@ def build_features(
     prices: DataFrame,
     config: FeatureConfig = FeatureConfig(),
     *,
-    unique_prices: bool | None = None,
+    unique_prices: bool = False,
 ) -> DataFrame:
     """Feature table of a wide panel with day columns ``d_1 ... d_N``.
 
-    ``unique_prices`` says whether each (store, item, week) has at most one price; if it is left
-    open, one job over the prices finds out.
+    ``unique_prices`` says that each (store, item, week) has at most one price; without this claim one job over
+    the prices finds out how many it has. Repeated ones repeat the row.
     """
     return assemble(pack_wide(sales, config), calendar, prices, config, unique_prices)
 
@@ -53,7 +63,7 @@ def build_features_from_long(
     *,
     last_day: Column | int | None = None,
     fill: float | None = None,
-    unique_prices: bool | None = None,
+    unique_prices: bool = False,
 ) -> DataFrame:
     """Feature table of long rows ``(ids, day_number, sales)``, unique per series and day."""
     panel = pack_long(sales, config, last_day, fill=fill)
@@ -65,19 +75,26 @@ def assemble(
     calendar: DataFrame,
     prices: DataFrame,
     config: FeatureConfig,
-    unique_prices: bool | None = None,
+    unique_prices: bool = False,
 ) -> DataFrame:
-    """Join history, calendar and prices and keep the complete rows."""
-    days = numbered_days(calendar_features(calendar)).where(panel.covers(F.col("day_number")))
-    if unique_prices is None:
-        unique_prices = prices_are_unique(prices)
+    """Join history, calendar and prices and keep the complete rows.
 
+    Rows come out in the partitions that the files of ``config`` ask for, unless a price has so many copies that rows
+    are joined to prices one by one.
+    """
     panel = panel.after_warm_up(config.reach)
-    if unique_prices:
-        days = number_weeks(days)
-        priced = spread_series(fold_prices(panel, prices, days))
-        rows = join_calendar(history_rows(priced, config, carry=[FOLDED]), days)
-        rows = look_up_price(complete_rows(rows, _nullable(config)))
+    days = number_weeks(numbered_days(calendar_features(calendar)).where(panel.covers(F.col("day_number"))))
+    copies = 1 if unique_prices else most_copies(prices)
+    if copies <= MOST_COPIES:
+        # the week is known where a day is generated, so prices are read there and go no further
+        priced, dated = fold_prices(panel, prices, days, repeated=copies > 1), dated_weeks(days)
+        files = output_partitions(priced.frame.sparkSession, config)
+        if files is None and not config.partition_by:
+            priced = spread_series(priced)
+        else:
+            priced = lay_out_series(priced, config, files, dated, lambda entry: entry["day_number"])
+        rows = look_up_price(history_rows(priced, config, [FOLDED], (dated, [WEEK])), repeated=copies > 1)
+        rows = complete_rows(join_calendar(rows, days, ["day_number", WEEK]), _nullable(config))
     else:
         prices = prune_prices(prices, selected_weeks(days))
         rows = join_calendar(history_rows(spread_series(panel), config), days)

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.config import CATEGORY_COLUMNS, FeatureConfig, ForestConfig
+from shelfcast.config import CATEGORY_COLUMNS, SERIES_KEY, FeatureConfig, ForestConfig
 from shelfcast.functions.columns import non_negative
 from shelfcast.operators.split import split_by_time
 from shelfcast.operators.summaries import score_values
@@ -18,14 +18,33 @@ from shelfcast.operators.summaries import score_values
 INDEX_COLUMNS = [f"{name}_idx" for name in CATEGORY_COLUMNS]
 
 
-def category_indexer() -> StringIndexer:
-    """Labels by falling frequency, ties by name; unseen and null share the index after the last.
+def category_counts(rows: DataFrame) -> DataFrame:
+    """Rows of each combination of labels, ``rows``: counted where the rows are made, before anything is moved."""
+    return rows.groupBy(*CATEGORY_COLUMNS).agg(F.count("*").alias("rows"))
 
-    One indexer for all categories: their labels are counted in a single pass.
+
+def label_counts(counts: DataFrame) -> DataFrame:
+    """``category, label, rows`` with the place of each label as ``index``: by falling rows, ties by name.
+
+    Takes ``category_counts``; a null is no label.
     """
-    return StringIndexer(
-        inputCols=list(CATEGORY_COLUMNS), outputCols=INDEX_COLUMNS, handleInvalid="keep"
-    )
+    labels = F.array(*(F.struct(F.lit(c).alias("category"), F.col(c).alias("label")) for c in CATEGORY_COLUMNS))
+    each = counts.select(F.inline(labels), "rows").where(F.col("label").isNotNull())
+    summed = each.groupBy("category", "label").agg(F.sum("rows").alias("rows"))
+    order = Window.partitionBy("category").orderBy(F.desc("rows"), "label")
+    return summed.withColumn("index", F.row_number().over(order) - 1)
+
+
+def category_indexer(rows: DataFrame) -> PipelineModel:
+    """One indexer for each category: the index of each label among those of ``rows``; unseen and null labels share the index after the last.
+
+    Only labels and their counts reach the driver, where a model holds them anyway.
+    """
+    found = label_counts(category_counts(rows)).orderBy("category", "index").collect()
+    labels = {c: [r["label"] for r in found if r["category"] == c] for c in CATEGORY_COLUMNS}
+    return PipelineModel(stages=[
+        StringIndexerModel.from_labels(labels[c], c, index, "keep") for c, index in zip(CATEGORY_COLUMNS, INDEX_COLUMNS)
+    ])
 
 
 def vector_inputs(config: FeatureConfig) -> list[str]:
@@ -39,21 +58,25 @@ def vector_assembler(config: FeatureConfig) -> VectorAssembler:
     )
 
 
-def forest_stages(config: FeatureConfig, forest: ForestConfig) -> Pipeline:
-    regressor = RandomForestRegressor(
+def forest_regressor(forest: ForestConfig) -> RandomForestRegressor:
+    return RandomForestRegressor(
         labelCol="sales",
         maxBins=forest.max_bins,
         maxDepth=forest.max_depth,
         numTrees=forest.num_trees,
         seed=forest.seed,
     )
-    return Pipeline(stages=[category_indexer(), vector_assembler(config), regressor])
 
 
-def most_labels(features: DataFrame) -> int:
-    """The largest number of labels of a category; the index for unseen labels is one more bin."""
-    counts = features.agg(*(F.count_distinct(name).alias(name) for name in CATEGORY_COLUMNS)).first()
-    return max(counts)
+def placed_rows(rows: DataFrame, config: FeatureConfig, partitions: int) -> DataFrame:
+    """The columns that a fit reads, each row in a place that follows from its content alone.
+
+    Trees draw rows by partition and order, so rows go to partitions by hash of series and day and are sorted
+    there. Only model inputs, labels and the series move.
+    """
+    columns = [SERIES_KEY, *dict.fromkeys([*config.feature_columns, *CATEGORY_COLUMNS, "sales"])]
+    needed = rows.select(*columns)
+    return needed.repartition(partitions, SERIES_KEY, "day_number").sortWithinPartitions(SERIES_KEY, "day_number", *columns)
 
 
 def fit_and_score(
@@ -61,11 +84,16 @@ def fit_and_score(
 ) -> tuple[PipelineModel, dict[str, float]]:
     """Fit on all but the last ``validation_days`` days and score those.
 
-    ``max_bins`` grows to the number of labels where a category has more than that.
+    ``max_bins`` grows to the number of labels where a category has more than that. Two tables of the same rows give
+    the same model, however they are stored.
     """
     training, validation = split_by_time(features, config.validation_days, last_day)
-    forest = replace(forest, max_bins=max(forest.max_bins, most_labels(training) + 1))
-    model = forest_stages(config, forest).fit(training)
+    indexer, assembler = category_indexer(training), vector_assembler(config)
+    most_labels = max(len(stage.labels) for stage in indexer.stages)
+    forest = replace(forest, max_bins=max(forest.max_bins, most_labels + 1))
+    placed = placed_rows(training, config, forest.partitions)
+    fitted = forest_regressor(forest).fit(assembler.transform(indexer.transform(placed)))
+    model = PipelineModel(stages=[indexer, assembler, fitted])
     return model, score_values(model.transform(validation))
 
 

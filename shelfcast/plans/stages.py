@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Iterable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from shelfcast.plans.forest import fit_and_score, forecast
 from shelfcast.plans.reports import read_reports, reported, stage_time_rollup
 from shelfcast.sources.raw_panel import read_raw_panel
 from shelfcast.sources.saved import (
+    BY_DAY,
     load_model,
     read_features,
     save_model,
@@ -24,12 +27,18 @@ from shelfcast.sources.saved import (
 )
 
 
+def _day_of(day: int | str) -> int:
+    """``7`` and ``'d_7'`` -> ``7``."""
+    return int(day.removeprefix("d_")) if isinstance(day, str) else day
+
+
 def prepare(
     spark: SparkSession,
     data_dir: str,
     features_dir: str,
     config: FeatureConfig = FeatureConfig(),
     *,
+    days: Iterable[int | str] | None = None,
     day_type: str = "int",
     infer: bool = False,
     reports: str | None = None,
@@ -37,16 +46,22 @@ def prepare(
 ) -> None:
     """Raw CSV panel -> feature table as Parquet.
 
+    With ``days`` (numbers, or labels such as ``d_7``) only the features of those days are built, and replace what a
+    table with ``partition_by=("day_number",)`` has of them; a table of another layout is refused.
     ``day_type`` is the type of the day columns; ``infer`` leaves all types to Spark. With ``reports``, the path of a
     report table, this and every other stage adds its row there.
     """
+    if days is not None:
+        if config.partition_by != BY_DAY:
+            raise ValueError(f"single days can only be replaced in a table with partition_by={BY_DAY}")
+        config = replace(config, days=tuple(map(_day_of, days)), limit_days=None)
     details = {
-        "inputs": {"data_dir": data_dir, "limit_days": config.limit_days},
+        "inputs": {"data_dir": data_dir, "limit_days": config.limit_days, "days": config.days},
         "outputs": {"features_dir": features_dir},
     }
     with reported(spark, reports, run_id, "prepare", **details):
         raw = read_raw_panel(spark, data_dir, day_type=day_type, infer=infer)
-        write_features(build_features(*raw, config), features_dir, config)
+        write_features(build_features(*raw, config), features_dir, config, laid_out=True)
 
 
 def train(

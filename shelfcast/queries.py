@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.config import CATEGORY_COLUMNS, ID_COLUMNS, FeatureConfig, ForestConfig
+from shelfcast.config import ID_COLUMNS, FeatureConfig, ForestConfig
 from shelfcast.functions import columns as col_of
 from shelfcast.operators import calendar as calendars
 from shelfcast.operators import prices as price_ops
@@ -16,10 +16,11 @@ from shelfcast.operators.history import history_long, history_rows, history_wide
 from shelfcast.operators.reshape import day_columns, union_by_name, unpivot_sales
 from shelfcast.plans.features import assemble, complete_rows, required_columns
 from shelfcast.plans.forest import (
-    INDEX_COLUMNS,
+    category_counts,
     category_indexer,
     fit_and_score,
     forecast,
+    label_counts,
     vector_assembler,
     vector_inputs,
 )
@@ -27,6 +28,7 @@ from shelfcast.plans.reports import stage_listing, stage_time_rollup
 from shelfcast.sources.order_lines import OrderLinePanel
 from shelfcast.sources.raw_panel import CALENDAR_FILE, PRICES_FILE, SALES_FILE, read_raw_panel, read_raw_sales
 from shelfcast.sources.saved import (
+    BY_DAY,
     load_model,
     read_features,
     read_predictions,
@@ -39,6 +41,9 @@ from shelfcast.sources.saved import (
 CONFIG = FeatureConfig()
 RECENT = FeatureConfig(limit_days=128)
 HORIZON = FeatureConfig(limit_days=28)
+#: Some days by themselves, some in a row, one before any history is complete.
+CHOSEN_DAYS = (5, 29, 30, 31, 365, 366, 900, 1001, 1002, 1003, 1004, 1800, 2200, 2201, 2499)
+QUARTER = FeatureConfig(lags=(), rolling_windows=(90,))
 STORED = FeatureConfig(auto_partitions=True)
 HISTORY = ["id", "d", "day_number", "sales", *CONFIG.history_columns]
 
@@ -54,7 +59,7 @@ def features_of(panel: OrderLinePanel, config: FeatureConfig = CONFIG) -> DataFr
 
 def _stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "features")
-    write_features(features_of(OrderLinePanel(spark, sf_dir)), path, STORED)
+    write_features(features_of(OrderLinePanel(spark, sf_dir), STORED), path, STORED, laid_out=True)
     return read_features(spark, path)
 
 
@@ -205,6 +210,12 @@ def trailing_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _history(spark, sf_dir).select("id", "day_number", "rolling_mean_7", "rolling_mean_28")
 
 
+def trailing_mean_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mean over 90 days costs as much as one over 7."""
+    history = history_rows(OrderLinePanel(spark, sf_dir).packed(QUARTER), QUARTER)
+    return history.select("id", "day_number", F.round("rolling_mean_90", 6).alias("rolling_mean_90"))
+
+
 def history_wide_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history_wide(_raw_sales(spark, sf_dir), CONFIG).select(*HISTORY)
 
@@ -246,6 +257,23 @@ def feature_table_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features_of(OrderLinePanel(spark, sf_dir), RECENT)
 
 
+def feature_table_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of the chosen days by day, of which some are written again over what is there of them."""
+    path = scratch_path(spark, "features-by-day")
+    for days in (CHOSEN_DAYS, CHOSEN_DAYS[1::3]):
+        config = FeatureConfig(days=days, partition_by=BY_DAY)
+        write_features(features_of(OrderLinePanel(spark, sf_dir), config), path, config, laid_out=True)
+    return read_features(spark, path).select(*CONFIG.table_columns)
+
+
+def feature_table_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The features of the last 128 days with two prices in each even week: every row of such a week comes twice."""
+    panel = OrderLinePanel(spark, sf_dir)
+    prices = panel.prices()
+    even = prices.where(F.col("wm_yr_wk") % 2 == 0).withColumn("sell_price", F.col("sell_price") * 2)
+    return assemble(panel.packed(RECENT), panel.calendar(), prices.unionByName(even), RECENT)
+
+
 # --- aggregations ---
 
 
@@ -293,31 +321,16 @@ def stage_listing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def category_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each label of each category with its rows and index, learned from the feature table."""
-    path = scratch_path(spark, "categories")
-    feature_table(spark, sf_dir).select(*CATEGORY_COLUMNS).write.parquet(path)
-    features = spark.read.parquet(path)
-    indexed = category_indexer().fit(features).transform(features)
-    labels = F.array(*(
-        F.struct(
-            F.lit(name).alias("category"),
-            F.col(name).alias("label"),
-            F.col(index).cast("int").alias("index"),
-        )
-        for name, index in zip(CATEGORY_COLUMNS, INDEX_COLUMNS)
-    ))
-    return indexed.select(F.inline(labels)).groupBy("category", "label", "index").agg(
-        F.count("*").alias("rows")
-    )
+    found = label_counts(category_counts(feature_table(spark, sf_dir)))
+    return found.select("category", "label", "index", "rows")
 
 
 def feature_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The assembled vector of each row, spelled out by position."""
     from pyspark.ml.functions import vector_to_array
 
-    path = scratch_path(spark, "features")
-    write_features(feature_table(spark, sf_dir), path, CONFIG)
-    features = read_features(spark, path)
-    indexed = category_indexer().fit(features).transform(features)
+    features = feature_table(spark, sf_dir)
+    indexed = category_indexer(features).transform(features)
     vectors = vector_assembler(CONFIG).transform(indexed)
     entries = vector_to_array("features")
 
@@ -347,8 +360,23 @@ def forest_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def forest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RMSE and MAE of the forest on the held-out days."""
-    scores = _fitted(spark, sf_dir)[3]
-    return spark.createDataFrame([(scores["rmse"], scores["mae"])], "rmse double, mae double")
+    features, last, model, _ = _fitted(spark, sf_dir)
+    _, validation = split.split_by_time(features, CONFIG.validation_days, last)
+    return summaries.regression_scores(model.transform(validation), "sales", "prediction").select("rmse", "mae")
+
+
+def forest_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecasts of the last 28 days by two forests, and whether they are equal row by row.
+
+    The second learns from the same rows in another layout: other files, other order, other tasks.
+    """
+    features, last, model, _ = _fitted(spark, sf_dir)
+    path = scratch_path(spark, "shuffled")
+    features.repartition(7, "sales").sortWithinPartitions(F.desc("day_number")).write.parquet(path)
+    other, _ = fit_and_score(read_features(spark, path), last, CONFIG, ForestConfig())
+    rows = split.scoring_window(features, 28, last)
+    first, second = (forecast(m, rows).withColumnRenamed("prediction", n) for m, n in ((model, "a"), (other, "b")))
+    return first.join(second, ["id", "d"]).select("id", "d", F.col("a").eqNullSafe(F.col("b")).alias("equal"))
 
 
 def forest_forecast_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -398,6 +426,7 @@ QUERIES: dict[str, Query] = {
     "panel_union": panel_union,
     "lag_features": lag_features,
     "trailing_means": trailing_means,
+    "trailing_mean_quarter": trailing_mean_quarter,
     "history_wide": history_wide_query,
     "history_long": history_long_query,
     "price_week_prune": price_week_prune,
@@ -405,6 +434,8 @@ QUERIES: dict[str, Query] = {
     "panel_price_join": panel_price_join,
     "feature_table": feature_table,
     "feature_table_recent": feature_table_recent,
+    "feature_table_days": feature_table_days,
+    "feature_table_repeated": feature_table_repeated,
     "max_day": max_day,
     "selected_weeks": selected_weeks,
     "regression_scores": regression_scores,
@@ -417,6 +448,7 @@ QUERIES: dict[str, Query] = {
     "feature_vector": feature_vector,
     "forest_forecast": forest_forecast,
     "forest_scores": forest_scores,
+    "forest_stable": forest_stable,
     "forest_forecast_bounds": forest_forecast_bounds,
     "forest_fit_rows": forest_fit_rows,
 }

@@ -6,6 +6,8 @@ is the first ship date of the table, the last day its last one, and a day withou
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -110,7 +112,7 @@ class OrderLinePanel:
             "state_id",
             "history",
         )
-        return PackedPanel(frame, panel.start, panel.first, panel.last)
+        return replace(panel, frame=frame)
 
     def long(self) -> DataFrame:
         """``(ids, d, sales, day_number)`` for every series and day."""

@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import cache
 from typing import TypeVar
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from shelfcast.config import FeatureConfig
+from shelfcast.operators.packed import output_partitions
 
 T = TypeVar("T")
 
@@ -47,17 +49,53 @@ def read_features(spark: SparkSession, directory: str) -> DataFrame:
     return spark.read.schema(StructType(fields)).parquet(directory)
 
 
-def write_features(features: DataFrame, directory: str, config: FeatureConfig) -> None:
-    """One write for all days. Rows are only shuffled if the layout of the files asks for it.
+#: The layout in which single days can be replaced: a directory for each day.
+BY_DAY = ("day_number",)
 
-    A given number of files is filled by hash of series and day, which is even whatever series or day
-    is large. Directories without a number of files are balanced at run time: large ones are split
-    over several tasks, and no task writes a small file into each of them.
+
+def replace_days(features: DataFrame, directory: str, days: Sequence[int], *, laid_out: bool = False) -> None:
+    """Write the features of some days into a table with a directory for each day, in place of what it has of them.
+
+    Files of other days are not touched, and a second run leaves the same table. A day that has no rows any more
+    goes: of the days' directories, those that the write has left as they were are removed after it.
+    """
+    spark = features.sparkSession
+    before = _files_of_days(spark, directory, days)
+    features = features.where(F.col("day_number").isin(list(days)))
+    if not laid_out:
+        features = features.hint("rebalance", *BY_DAY)
+    features.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*BY_DAY).parquet(directory)
+    after = _files_of_days(spark, directory, days)
+    for day, files in before.items():
+        if files and after[day] == files:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{directory.rstrip('/')}/day_number={day}")
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _files_of_days(spark: SparkSession, directory: str, days: Sequence[int]) -> dict[int, set[str]]:
+    """The names of the data files of each day; names are never used again by a write."""
+    found = {}
+    for day in days:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{directory.rstrip('/')}/day_number={day}")
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        entries = system.listStatus(path) if system.exists(path) else []
+        found[day] = {entry.getPath().getName() for entry in entries}
+    return found
+
+
+def write_features(features: DataFrame, directory: str, config: FeatureConfig, *, laid_out: bool = False) -> None:
+    """One write for all days, or for the chosen days of a table by day, whose other days stay.
+
+    Features that ``assemble`` built with this ``config`` are ``laid_out``: its long rows come out in the task that
+    writes them. Other frames are shuffled if the files ask for it: a given number of files is filled by hash of series
+    and day, directories without a number of files are balanced at run time.
     """
+    if config.days is not None and config.partition_by == BY_DAY:
+        return replace_days(features, directory, config.days, laid_out=laid_out)
     files = output_partitions(features.sparkSession, config)
-    if files is not None:
+    if files is not None and not laid_out:
         features = features.repartition(files, "id", "day_number")
-    elif config.partition_by:
+    elif config.partition_by and not laid_out:
         features = features.hint("rebalance", *config.partition_by)
     writer = features.write.mode("overwrite")
     if config.partition_by:
@@ -65,15 +103,6 @@ def write_features(features: DataFrame, directory: str, config: FeatureConfig) -
     writer.parquet(directory)
 
 
-def output_partitions(spark: SparkSession, config: FeatureConfig) -> int | None:
-    """The number of files asked for; ``auto_partitions`` means four per core and at least 32."""
-    if config.output_partitions is not None:
-        return config.output_partitions
-    if config.auto_partitions:
-        return max(32, 4 * spark.sparkContext.defaultParallelism)
-    return None
-
-
 def load_model(spark: SparkSession, directory: str) -> PipelineModel:
     open_path(lambda: spark.read.text(f"{directory.rstrip('/')}/metadata"), directory, "train")
     return PipelineModel.load(directory)

@@ -113,6 +113,46 @@ def test_repeated_price_keys_repeat_rows(spark):
     assert sorted(hit) == pytest.approx([2.02, 3.02, 4.02])
 
 
+def test_repeated_prices_equal_a_row_by_row_join(spark, monkeypatch):
+    """Nulls, equal copies and weeks of several prices, against the form for very many copies."""
+    sales = random_sales(5, 60, 9)
+    prices = price_frame(spark, 4, 8, copies=lambda s, w: (s * w) % 4)
+    nulls = price_frame(spark, 2, 8).withColumn("sell_price", F.lit(None).cast("double"))
+    parts = wide_frame(spark, sales), calendar_frame(spark, 60, leave_out=(33,)), prices.unionByName(nulls).unionByName(prices)
+    folded = rows_of(build_features(*parts, SMALL))
+    monkeypatch.setattr("shelfcast.plans.features.MOST_COPIES", 0)
+    assert folded == rows_of(build_features(*parts, SMALL)) and len(folded) > 5 * 40
+
+
+def test_a_day_in_two_weeks_comes_with_both(spark, monkeypatch):
+    calendar = calendar_frame(spark, 30)
+    twice = calendar.unionByName(calendar.where("d = 'd_20'").withColumn("wm_yr_wk", F.lit(104)))
+    parts = wide_frame(spark, random_sales(3, 30, 9, nulls=0.0)), twice.unionByName(calendar.where("d = 'd_25'")), price_frame(spark, 3, 5)
+    folded = rows_of(build_features(*parts, SMALL))
+    monkeypatch.setattr("shelfcast.plans.features.MOST_COPIES", 0)
+    assert folded == rows_of(build_features(*parts, SMALL)) and len(folded) == 3 * (23 + 2)
+
+
+def test_prices_go_no_further_than_the_generated_rows(spark, tmp_path):
+    """Without broadcasts neither the folded prices nor a long row with copies is exchanged or sorted by a window."""
+    parts = {"wide": wide_frame(spark, random_sales(3, 60, 9)), "calendar": calendar_frame(spark, 60),
+             "prices": price_frame(spark, 3, 9, copies=lambda s, w: 2)}
+    for name, frame in parts.items():
+        frame.write.parquet(f"{tmp_path}/{name}")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        features = build_features(*(spark.read.parquet(f"{tmp_path}/{n}") for n in parts), SMALL)
+        plan = features._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "Window" not in plan
+    generates = plan.count("Generate")
+    above = plan.split("Generate")[0]
+    assert generates >= 2 and "_price_by_week" not in above
+    assert len(features.collect()) == 2 * len(build_features(*parts.values(), SMALL).dropDuplicates(["id", "d"]).collect())
+
+
 def test_prices_wrongly_called_unique_fail(spark):
     sales = random_sales(2, 20, 4, nulls=0.0)
     prices = price_frame(spark, 2, 3, copies=lambda s, w: 2 if (s, w) == (1, 2) else 1)

@@ -27,7 +27,7 @@ def categories(spark, rows):
 def test_index_by_frequency_then_name_with_unseen_last(spark):
     seen = categories(spark, [("b", "x", "s", "t")] * 2 + [("a", "x", "s", "t")] * 2
                       + [("c", "x", "s", "t")] * 3)
-    model = category_indexer().fit(seen)
+    model = category_indexer(seen)
     asked = categories(spark, [(v, "x", "s", "t") for v in ("c", "a", "b", "new", None)])
     found = [r["dept_id_idx"] for r in model.transform(asked).select(*INDEX_COLUMNS).collect()]
     assert found == [0.0, 1.0, 2.0, 3.0, 3.0]
@@ -67,6 +67,26 @@ def test_forest_beats_the_mean(spark, features):
     assert predictions.where("prediction < 0 OR prediction IS NULL").count() == 0
 
 
+def test_the_fit_does_not_depend_on_how_the_table_is_stored(spark, features):
+    frame, config = features
+    last, forest = last_day_value(frame), ForestConfig(max_depth=5, num_trees=8, partitions=5)
+    layouts = frame.repartition(3, "sales"), frame.orderBy(F.desc("day_number"), "id").coalesce(1)
+    found = []
+    for layout in layouts:
+        model, scores = fit_and_score(layout, last, config, forest)
+        found.append((sorted(map(tuple, forecast(model, frame).collect())), model.stages[-1].toDebugString.split("\n", 1)[1]))
+        assert scores["rmse"] > 0
+    assert found[0] == found[1]
+
+
+def test_the_indexer_equals_one_fitted_by_counting_rows(spark, features):
+    from pyspark.ml.feature import StringIndexer
+
+    frame, _ = features
+    fitted = StringIndexer(inputCols=list(CATEGORY_COLUMNS), outputCols=INDEX_COLUMNS, handleInvalid="keep").fit(frame)
+    assert [list(stage.labels) for stage in category_indexer(frame).stages] == [list(x) for x in fitted.labelsArray]
+
+
 def test_unseen_category_is_scored(spark, features):
     frame, config = features
     model, _ = fit_and_score(frame, last_day_value(frame), config, ForestConfig(2, 3))

@@ -5,6 +5,7 @@ from panels import DAYS, SERIES
 
 from shelfcast.config import FeatureConfig, ForestConfig
 from shelfcast.plans import reports, stages
+from shelfcast.plans.features import build_features
 from shelfcast.sources import saved
 from shelfcast.sources.raw_panel import child_path, read_raw_panel
 
@@ -46,6 +47,60 @@ def test_value_of_a_wrong_type_fails_the_job(spark, raw_dir, tmp_path):
         read_raw_panel(spark, str(tmp_path)).sales.collect()
 
 
+def day_files(path):
+    return {f: open(f, "rb").read() for f in glob.glob(f"{path}/day_number=*/part-*.parquet")}
+
+
+def test_chosen_days_replace_just_those_days(spark, raw_dir, tmp_path):
+    path = f"{tmp_path}/features"
+    by_day = FeatureConfig(lags=(1, 7), rolling_windows=(2,), partition_by=("day_number",))
+    stages.prepare(spark, raw_dir, path, by_day, days=[12, "d_9", 30])
+    whole = {tuple(r) for r in saved.read_features(spark, path).select(*by_day.table_columns).collect()}
+    assert {r[by_day.table_columns.index("day_number")] for r in whole} == {9, 12, 30} and len(whole) == 3 * SERIES
+    before = day_files(path)
+    stages.prepare(spark, raw_dir, path, by_day, days=["d_12", 20])
+    after = day_files(path)
+    assert {f for f in before if "=12/" not in f} <= after.keys()
+    assert all(before[f] == after[f] for f in before if "=12/" not in f)
+    assert not any(f in after for f in before if "=12/" in f)
+    again = saved.read_features(spark, path).select(*by_day.table_columns).collect()
+    assert whole <= {tuple(r) for r in again} and len(again) == 4 * SERIES
+    built = build_features(*read_raw_panel(spark, raw_dir), FeatureConfig(lags=(1, 7), rolling_windows=(2,)))
+    assert {tuple(r) for r in again} == {tuple(r) for r in built.where("day_number IN (9, 12, 20, 30)").collect()}
+
+
+def test_a_chosen_day_without_rows_goes(spark, raw_dir, tmp_path):
+    path = f"{tmp_path}/features"
+    by_day = FeatureConfig(lags=(1,), rolling_windows=(), partition_by=("day_number",))
+    stages.prepare(spark, raw_dir, path, by_day, days=[9, 12])
+    features = saved.read_features(spark, path)
+    saved.replace_days(features.where("false"), path, [12])
+    assert {r["day_number"] for r in saved.read_features(spark, path).select("day_number").distinct().collect()} == {9}
+
+
+def test_single_days_need_a_table_by_day(spark, raw_dir, tmp_path):
+    with pytest.raises(ValueError, match="partition_by"):
+        stages.prepare(spark, raw_dir, f"{tmp_path}/features", SMALL, days=[9])
+
+
+@pytest.mark.parametrize("layout", [
+    {"output_partitions": 3}, {"partition_by": ("state_id",)}, {"partition_by": ("day_number",)},
+    {"partition_by": ("store_id", "month")}, {"output_partitions": 4, "partition_by": ("cat_id",)}, {"auto_partitions": True},
+])
+def test_files_are_laid_out_before_the_long_rows_are_made(spark, raw_dir, tmp_path, layout):
+    config = FeatureConfig(lags=(1, 7), rolling_windows=(2,), **layout)
+    features = build_features(*read_raw_panel(spark, raw_dir), config)
+    above = features._jdf.queryExecution().executedPlan().toString().split("Generate")[0]
+    assert "Exchange" not in above.replace("BroadcastExchange", "")
+    plain = build_features(*read_raw_panel(spark, raw_dir), FeatureConfig(lags=(1, 7), rolling_windows=(2,)))
+    assert sorted(map(tuple, features.collect())) == sorted(map(tuple, plain.collect()))
+    saved.write_features(features, f"{tmp_path}/f", config, laid_out=True)
+    assert saved.read_features(spark, f"{tmp_path}/f").count() == features.count()
+    if layout == {"partition_by": ("day_number",)}:
+        files = glob.glob(f"{tmp_path}/f/day_number=*/part-*.parquet")
+        assert len(files) == len(glob.glob(f"{tmp_path}/f/day_number=*"))
+
+
 def test_output_partitions(spark, raw_dir, tmp_path):
     path = f"{tmp_path}/features"
     config = FeatureConfig(lags=(1,), rolling_windows=(), output_partitions=3)

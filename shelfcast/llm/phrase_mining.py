@@ -31,6 +31,8 @@ _FILTER_PART = 1 << 16  # bytes of the filter in a row
 MOST_GROUPS = 500_000
 #: Shares of a language's phrases that are ranked by themselves first.
 SHARES = 256
+#: Characters of one language's texts that a task works on at once, and of all texts that wait for that.
+UNIT_CHARS, WAITING_CHARS = 4_000_000, 24_000_000
 
 _KIND = np.zeros(256, dtype=np.uint8)
 _KIND[list(WORD_ENDS)], _KIND[list(PIECE_ENDS)] = 1, 2
@@ -48,7 +50,11 @@ class PhraseConfig:
     least: int = 100
     top: int = 2000
     share: int = 100
-    budget: int = 2_000_000
+    budget: int = 1_000_000
+
+    def __post_init__(self) -> None:
+        if not 2 <= self.words <= 15 or self.least < 1:
+            raise ValueError("phrases have 2 to 15 words and are counted at least once")
 
 
 @dataclass
@@ -74,16 +80,27 @@ def split_words(texts: list[str]) -> Words:
 
 
 def by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Words]]:
-    """Slices of texts of one language."""
+    """Texts of one language, about ``UNIT_CHARS`` at a time."""
+    waiting: dict[str, list[str]] = {}
+    chars: dict[str, int] = {}
+
+    def taken(lang: str) -> Iterator[tuple[str, Words]]:
+        del chars[lang]
+        found = split_words(waiting.pop(lang))
+        if found.distinct:
+            yield lang, found
+
     for batch, texts in text_slices(batches):
-        langs: dict[str, list[str]] = {}
         for lang, text in zip(batch.column("lang").to_pylist(), texts):
             if text:
-                langs.setdefault(lang, []).append(text)
-        for lang, own in langs.items():
-            found = split_words(own)
-            if found.distinct:
-                yield lang, found
+                waiting.setdefault(lang, []).append(text)
+                chars[lang] = chars.get(lang, 0) + len(text)
+                if chars[lang] >= UNIT_CHARS:
+                    yield from taken(lang)
+        while sum(chars.values()) > WAITING_CHARS:
+            yield from taken(max(chars, key=chars.__getitem__))
+    for lang in list(chars):
+        yield from taken(lang)
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -100,8 +117,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "lang string, phrase string, a long").groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
 
 
-class WordFilter:
-    """Lets all frequent words through, and few others: one bit for the hash of each. Its size is fixed."""
+class PhraseFilter:
+    """Lets all phrases of a table through, and few others: one bit for the hash of each. Its size is fixed."""
 
     def __init__(self, bits: np.ndarray):
         self.bits = bits
@@ -116,7 +133,7 @@ class WordFilter:
         return (self.bits[place >> 3] >> (place & 7) & 1).astype(bool)
 
     @classmethod
-    def of(cls, frequent: DataFrame) -> WordFilter:
+    def of(cls, frequent: DataFrame) -> PhraseFilter:
         """Parts of the filter are put together by Spark; as many bytes as it has come to the driver."""
 
         def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +159,7 @@ def suffixes(found: Words, frequent: np.ndarray, length: int) -> tuple[np.ndarra
     good = frequent[found.ids]
     goes_on = good[:-1] & good[1:] & (found.piece[:-1] == found.piece[1:])
     own = np.flatnonzero(goes_on)
-    rows = np.zeros((len(own), length), dtype=np.int64)
+    rows = np.zeros((len(own), length), dtype=np.int32)
     rows[:, 0] = found.ids[own] + 1
     live = np.ones(len(own), dtype=bool)
     last = len(goes_on) - 1
@@ -157,7 +174,7 @@ def merged(rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(rows):
         return rows, n
     # two ids below 2^31 make one key
-    keys = [rows[:, k] << 31 | rows[:, k + 1] if k + 1 < rows.shape[1] else rows[:, k] for k in range(0, rows.shape[1], 2)]
+    keys = [rows[:, k].astype(np.int64) << 31 | rows[:, k + 1] if k + 1 < rows.shape[1] else rows[:, k] for k in range(0, rows.shape[1], 2)]
     order = np.lexsort(keys[::-1])
     rows = rows[order]
     first = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)]))
@@ -170,13 +187,18 @@ def phrase_key(lang: str, words: list[bytes]) -> bytes:
 
 @dataclass
 class Partition:
-    """The first prefix of each group, and the prefixes that are too frequent for one and therefore extended."""
+    """The first prefix of each group, the prefixes that are too frequent for one and therefore extended, and with what."""
 
     bounds: list[bytes]
     extended: set[bytes]
+    extensions: PhraseFilter
 
     def groups(self, lang: str, distinct: list[bytes], rows: np.ndarray) -> np.ndarray:
-        """The group of each suffix of sorted ``rows``; -1 for one that is no longer than an extended prefix."""
+        """The group of each suffix of sorted ``rows``.
+
+        It is -1 for one that is no longer than an extended prefix, or extends it into an infrequent one: neither
+        holds a frequent phrase that is not counted yet.
+        """
         out = np.full(len(rows), -1, dtype=np.int64)
         open_rows, head = np.arange(len(rows)), lang.encode() + b"\n"
         prefix = [head] * len(rows)
@@ -190,7 +212,10 @@ class Partition:
             longer = np.array([k in self.extended for k in keys], dtype=bool)
             group = np.array([bisect_right(self.bounds, k) - 1 for k in keys], dtype=np.int64)
             again = np.repeat(longer, sizes)
-            out[open_rows[~again]] = np.maximum(np.repeat(group, sizes)[~again], 0)
+            group = np.maximum(group, 0)
+            if depth:
+                group[~self.extensions.passes(lang, [k[len(head) :] for k in keys])] = -1
+            out[open_rows[~again]] = np.repeat(group, sizes)[~again]
             if depth + 1 == rows.shape[1]:
                 break
             again &= rows[open_rows, depth + 1] > 0
@@ -201,7 +226,7 @@ class Partition:
         return out
 
 
-def prefix_counts(docs: DataFrame, frequent: WordFilter, extended: set[bytes], depth: int) -> DataFrame:
+def prefix_counts(docs: DataFrame, frequent: PhraseFilter, extended: set[bytes], depth: int) -> DataFrame:
     """Rows (lang, phrase, a) of all phrases of ``depth`` words that go on from an extended prefix by one word."""
     extended_, frequent_ = docs.sparkSession.sparkContext.broadcast(extended), docs.sparkSession.sparkContext.broadcast(frequent)
 
@@ -231,10 +256,10 @@ def _key() -> Column:
     return F.concat("lang", F.lit("\n"), "phrase")
 
 
-def partition_prefixes(docs: DataFrame, words: DataFrame, frequent: WordFilter, config: PhraseConfig, budget: int) -> tuple[Partition, list[DataFrame]]:
+def partition_prefixes(docs: DataFrame, words: DataFrame, frequent: PhraseFilter, config: PhraseConfig, budget: int) -> tuple[Partition, list[DataFrame]]:
     """Groups of prefixes within the budget, and the tables of counts of extended prefixes with more than one word."""
     extended: set[bytes] = set()
-    whole, known, level = [], [], words
+    whole, known, longer, level = [], [], [], words
     for depth in range(1, config.words + 1):
         whole.append(level.where(F.col("a") <= budget) if depth < config.words else level)
         over = level.where(F.col("a") > budget) if depth < config.words else None
@@ -245,6 +270,7 @@ def partition_prefixes(docs: DataFrame, words: DataFrame, frequent: WordFilter,
             known.append(over)
         extended |= fresh
         level = stored(prefix_counts(docs, frequent, fresh, depth + 1).where(F.col("a") >= config.least), "prefixes")
+        longer.append(level)
 
     def bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A group begins with a task and wherever the next prefix would pass the budget."""
@@ -260,16 +286,19 @@ def partition_prefixes(docs: DataFrame, words: DataFrame, frequent: WordFilter,
 
     prefixes = union_all(whole).select(_key().alias("key"), "a")
     rows = prefixes.repartitionByRange("key").sortWithinPartitions("key").mapInArrow(bounds, "key string")
-    return Partition(sorted(row["key"].encode() for row in rows.collect()), extended), known
+    extensions = PhraseFilter.of(union_all(longer or [words.limit(0)]))
+    return Partition(sorted(row["key"].encode() for row in rows.collect()), extended, extensions), known
 
 
-_BLOCK = "group long, lang string, words array<binary>, rows binary, n binary"
+_BLOCK = "group long, lang string, words array<binary>, width int, heads binary, tails binary, n binary"
 
 
-def suffix_blocks(docs: DataFrame, frequent: WordFilter, partition: Partition, length: int) -> DataFrame:
-    """Rows (group, lang, words, rows, n): the suffixes of a slice of texts that belong to one group.
+def suffix_blocks(docs: DataFrame, frequent: PhraseFilter, partition: Partition, length: int) -> DataFrame:
+    """Rows (group, lang, words, width, heads, tails, n): the suffixes of some texts that belong to one group.
 
-    ``rows`` holds 32-bit numbers, ``length`` for each suffix: places in ``words`` from 1 on, 0 behind its end.
+    They are in order, and each is written as what it changes of the one before: a byte of ``heads`` holds how many
+    words it shares with that (4 bits) and how many it has; ``tails`` holds the others, places in ``words`` as numbers
+    of ``width`` bytes. ``n`` holds how often each suffix comes, in 32-bit numbers.
     """
     context = docs.sparkSession.sparkContext
     frequent_, partition_ = context.broadcast(frequent), context.broadcast(partition)
@@ -292,26 +321,49 @@ def _blocks(lang: str, distinct: list[bytes], rows: np.ndarray, n: np.ndarray, g
     which = np.cumsum(np.diff(group, prepend=-1) != 0) - 1
     used, place = np.unique(which[:, None] << 32 | rows, return_inverse=True)
     word, of = used & (1 << 32) - 1, used >> 32
-    ended = word == 0
-    # places count from 1 in each group; the end sorts first in its group, if it is there
-    begins = np.searchsorted(of, np.arange(len(first)))
-    has_end = ended[begins].astype(np.int64)
-    local = np.arange(len(used)) - begins[of] + 1 - has_end[of]
-    real = np.flatnonzero(~ended)
-    word_ends = np.searchsorted(of[real], np.arange(len(first) + 1)).astype(np.int32)
-    words = pa.ListArray.from_arrays(pa.array(word_ends), pa.array(distinct, pa.binary()).take(pa.array(word[real] - 1)))
-    bounds = np.append(first, len(rows)).astype(np.int32)
-
-    def packed(values: np.ndarray, each: int) -> pa.Array:
+    real = np.flatnonzero(word)
+    # numbers count from 0 in each group, without the mark of an ended suffix
+    local = np.zeros(len(used), dtype=np.int64)
+    word_ends = np.searchsorted(of[real], np.arange(len(first) + 1))
+    local[real] = np.arange(len(real)) - word_ends[of[real]]
+    words = pa.ListArray.from_arrays(pa.array(word_ends, pa.int32()), pa.array(distinct, pa.binary()).take(pa.array(word[real] - 1)))
+    sizes = (rows > 0).sum(axis=1)
+    shared = np.zeros(len(rows), dtype=np.int64)
+    shared[1:] = np.cumprod(rows[1:] == rows[:-1], axis=1).sum(axis=1)
+    shared[first] = 0
+    shared = np.minimum(shared, sizes)
+    column = np.arange(rows.shape[1])
+    written = (column >= shared[:, None]) & (column < sizes[:, None])
+    tails = local[place.reshape(rows.shape)[written]]
+    width = 2 if not len(tails) or tails.max() < 1 << 16 else 4
+    bounds = np.append(first, len(rows))
+    tail_bounds = np.concatenate([[0], np.cumsum(sizes - shared)])[bounds]
+
+    def cut(data: np.ndarray, ends: np.ndarray) -> pa.Array:
         return pa.Array.from_buffers(
-            pa.binary(), len(first), [None, pa.py_buffer((bounds * (4 * each)).astype(np.int32)), pa.py_buffer(values.astype("<u4").tobytes())]
+            pa.binary(), len(first), [None, pa.py_buffer((ends * data.itemsize).astype(np.int32)), pa.py_buffer(data.tobytes())]
         )
 
-    local[ended] = 0
     return pa.RecordBatch.from_arrays(
-        [pa.array(group[first]), pa.array([lang] * len(first)), words, packed(local[place.reshape(rows.shape)], rows.shape[1]), packed(n, 1)],
-        names=["group", "lang", "words", "rows", "n"],
-    )
+        [
+            pa.array(group[first]), pa.array([lang] * len(first)), words, pa.array([width] * len(first), pa.int32()),
+            cut((shared << 4 | sizes).astype(np.uint8), bounds), cut(tails.astype(f"<u{width}"), tail_bounds), cut(n.astype("<u4"), bounds),
+        ],
+        names=["group", "lang", "words", "width", "heads", "tails", "n"],
+    )
+
+
+def block_rows(heads: bytes, tails: bytes, width: int, numbers: np.ndarray, length: int) -> np.ndarray:
+    """The suffixes of a block as rows of ``numbers``, one for each of its words; 0 behind their ends."""
+    heads_ = np.frombuffer(heads, dtype=np.uint8)
+    shared, sizes = heads_ >> 4, heads_ & 15
+    column = np.arange(length)
+    written = (column >= shared[:, None]) & (column < sizes[:, None])
+    rows = np.zeros((len(heads_), length), dtype=np.int32)
+    rows[written] = numbers[np.frombuffer(tails, dtype=f"<u{width}")]
+    # a shared word is the last one written in its column
+    last = np.maximum.accumulate(np.where(written, np.arange(len(rows), dtype=np.int32)[:, None], 0), axis=0)
+    return np.where(column < sizes[:, None], rows[last, column], 0)
 
 
 def subtree_counts(blocks: pa.Table, length: int, least: int) -> list[tuple[str, bytes, int]]:
@@ -321,10 +373,12 @@ def subtree_counts(blocks: pa.Table, length: int, least: int) -> list[tuple[str,
         own = blocks.filter(pa.compute.equal(blocks.column("lang"), lang))
         lists = own.column("words").combine_chunks()
         coded = lists.flatten().dictionary_encode()
-        words, numbers = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        words, numbers = coded.dictionary.to_pylist(), coded.indices.to_numpy()
         begins = np.cumsum([0, *pa.compute.list_value_length(lists).to_pylist()])
-        rows = [np.frombuffer(x, dtype="<u4").astype(np.int64).reshape(-1, length) for x in own.column("rows").to_pylist()]
-        rows = np.concatenate([np.where(r > 0, numbers[np.maximum(r + b - 1, 0)] + 1, 0) for r, b in zip(rows, begins)])
+        encoded = zip(*(own.column(c).to_pylist() for c in ("heads", "tails", "width")))
+        rows = np.concatenate([
+            block_rows(*x, numbers[b:c] + 1, length) for x, b, c in zip(encoded, begins, begins[1:])
+        ])
         n = np.concatenate([np.frombuffer(x, dtype="<u4") for x in own.column("n").to_pylist()]).astype(np.int64)
         rows, n = merged(rows, n)
         same = np.ones(len(rows), dtype=bool)
@@ -348,7 +402,7 @@ def phrase_counts(docs: DataFrame, config: PhraseConfig) -> tuple[DataFrame, Dat
     most = words.agg(F.coalesce(F.sum("a"), F.lit(0))).first()[0]
     budget = max(config.budget, most // MOST_GROUPS)
     frequent_words = words.where(F.col("a") >= config.least)
-    frequent = WordFilter.of(frequent_words)
+    frequent = PhraseFilter.of(frequent_words)
     partition, known = partition_prefixes(docs, frequent_words, frequent, config, budget)
     length, least, extended = config.words, config.least, docs.sparkSession.sparkContext.broadcast(partition.extended)
 

@@ -15,11 +15,14 @@ import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
+#: Digits or letters of one value that are permuted as a single number; more are permuted in two halves.
+LONG = 64
 DIGITS, LETTERS = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 #: Dates are permuted among all days from the first to the last.
 FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1), dt.date(2099, 12, 31)
@@ -46,6 +49,22 @@ def permuted(value: int, size: int, key: bytes, tweak: str, back: bool = False)
             return value
 
 
+def permuted_symbols(values: bytes, radix: int, key: bytes, tweak: str, back: bool = False) -> bytes:
+    """A permutation of all sequences of numbers below ``radix``, for sequences of any length, or its inverse.
+
+    The two halves of the sequence take turns: to each number of one half, noise from a hash of the other is added
+    modulo ``radix``. Time and memory grow with the length.
+    """
+    half = len(values) // 2
+    parts = [np.frombuffer(values[:half], dtype=np.uint8).astype(np.int64), np.frombuffer(values[half:], dtype=np.uint8).astype(np.int64)]
+    head = key + f"|{tweak}|{radix}|{len(values)}|".encode()
+    for i in reversed(range(ROUNDS)) if back else range(ROUNDS):
+        changed, known = parts[i % 2], parts[1 - i % 2].astype(np.uint8).tobytes()
+        noise = np.frombuffer(hashlib.shake_256(head + f"{i}|".encode() + known).digest(2 * len(changed)), dtype="<u2").astype(np.int64)
+        parts[i % 2] = (changed - noise if back else changed + noise) % radix
+    return np.concatenate(parts).astype(np.uint8).tobytes()
+
+
 class Pseudonymizer:
     """Replaces values in texts under one key. ``back`` turns pseudonyms into the values again."""
 
@@ -62,7 +81,11 @@ class Pseudonymizer:
         out = list(text)
         for alphabet in alphabets:
             at = [i for i, c in enumerate(out) if c.lower() in alphabet and c.isascii()]
-            if at:
+            if len(at) > LONG:
+                values = bytes(alphabet.index(out[i].lower()) for i in at)
+                for i, digit in zip(at, permuted_symbols(values, len(alphabet), self.key, kind, self.back)):
+                    out[i] = alphabet[digit].upper() if out[i].isupper() else alphabet[digit]
+            elif at:
                 value = 0
                 for i in at:
                     value = value * len(alphabet) + alphabet.index(out[i].lower())
@@ -140,22 +163,29 @@ class Pseudonymizer:
         return f"{self.symbols(name, 'email')}@{domain}"
 
     def secret(self, text: str) -> str | None:
-        head = re.match(r"AKIA|.*?[=:]\s*[\"']?", text, re.DOTALL).group()
+        head = re.match(r"AKIA|gh[a-z]_|(?i:bearer)\s+|.*?[=:]\s*[\"']?", text, re.DOTALL).group()
         body = text[len(head) :]
         if re.fullmatch("[0-9a-f]+", body):
             return head + self.symbols(body, "secret", (DIGITS + LETTERS[:6],))
         return head + self.symbols(body, "secret")
 
+    def block(self, text: str) -> str | None:
+        """A private key: the lines that frame it stay."""
+        first, body, last = re.fullmatch(r"(-+[^-]+-+)(.*?)(-+[^-]+-+)", text, re.DOTALL).groups()
+        return first + self.symbols(body, "block") + last
+
     def replace(self, text: str) -> tuple[str, list[dict]]:
         """The text with pseudonyms, and what was replaced where (places in the text given)."""
         found: list[tuple[int, int, str, str]] = []
+        taken = bytearray(len(text))
         for pattern, hint in _PATTERNS:
             if hint(text):
                 for m in pattern.finditer(text):
                     kind = m.lastgroup
-                    new = getattr(self, kind)(m.group())
-                    if new is not None and not any(m.start() < b and a < m.end() for a, b, *_ in found):
+                    new = getattr(self, kind)(m.group()) if taken.find(1, m.start(), m.end()) < 0 else None
+                    if new is not None:
                         found.append((m.start(), m.end(), kind, new))
+                        taken[m.start() : m.end()] = b"\1" * (m.end() - m.start())
         out, at = [], 0
         for a, b, _, new in sorted(found):
             out += [text[at:a], new]
@@ -188,11 +218,16 @@ _NUMBERS = re.compile(
 _ACCOUNTS = re.compile(r"(?<!\w)(?P<account>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?!\w)", re.ASCII)
 _EMAILS = re.compile(r"(?<![\w.+%-])(?P<email>[\w.+%-]+@[\w-]+(?:\.[\w-]+)+)", re.ASCII)
 _SECRETS = re.compile(
-    r"(?<!\w)(?P<secret>AKIA[0-9A-Z]{16}(?!\w)|(?i:token|password|passwd|secret|api[_-]?key)\s*[=:]\s*[\"']?[A-Za-z0-9_/+-]{8,})", re.ASCII
+    r"(?<!\w)(?P<secret>AKIA[0-9A-Z]{16}(?!\w)|gh[opsur]_[A-Za-z0-9]{20,}(?!\w)"
+    r"|(?i:bearer)\s+(?=[A-Za-z._~+/-]*\d)[A-Za-z0-9._~+/-]{16,}"
+    r"|(?i:token|password|passwd|secret|api[_-]?key)[\"']?\s*[=:]\s*[\"']?[A-Za-z0-9_/+-]{8,})",
+    re.ASCII,
 )
+_BLOCKS = re.compile(r"(?P<block>-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----[^-]+-----END (?:[A-Z0-9]+ )*PRIVATE KEY-----)", re.ASCII)
 _RUN = re.compile(r"\d[\d .()/-]{4,}\d")
 _PATTERNS: list[tuple[re.Pattern[str], Callable[[str], object]]] = [
-    (_SECRETS, lambda t: any(x in t for x in ("AKIA", "=", ":"))),
+    (_BLOCKS, lambda t: "PRIVATE KEY-----" in t),
+    (_SECRETS, lambda t: any(x in t for x in ("AKIA", "=", ":", "_")) or "bearer" in t.lower()),
     (_EMAILS, lambda t: "@" in t),
     (_ACCOUNTS, re.compile(r"[A-Z]{2}\d{2}[ A-Z0-9]").search),
     (_NUMBERS, _RUN.search),
@@ -203,8 +238,10 @@ def pseudonymize(docs: DataFrame, key: bytes, spans: str | None = None, back: bo
     """The rows and columns of ``docs`` with pseudonyms in ``text``; ``spans`` names a column for what was replaced.
 
     Found are payment cards (Luhn), IBANs (mod 97), social security numbers, dates, phone numbers, IPv4 addresses,
-    e-mail addresses and credentials behind their usual names. What fails its check stays. A null text stays null,
-    an empty one empty. Whole texts are searched, row by row, without a shuffle; copies get the same result.
+    e-mail addresses, credentials behind their usual names or with their usual beginnings, and private keys. What fails
+    its check stays. A null text stays null, an empty one empty, an empty table empty; a column named as ``spans``
+    is replaced. Whole texts are searched, row by row, without a shuffle; copies get the same result. A value of any
+    length takes time in proportion.
     """
     @F.pandas_udf("text string, spans array<struct<kind:string,start:int,end:int>>")
     def replaced(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

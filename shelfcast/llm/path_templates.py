@@ -21,15 +21,13 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 @dataclass(frozen=True)
 class TreeConfig:
     """``min_rows``, ``min_share``: rows a branch needs, in number and as a share of its parent, to stay apart.
-    ``min_z``: standard errors between its share of bad labels and its siblings'. Segments from ``max_depth`` on
-    form one last segment. ``prior``: labels' worth of the host's share that smooths a template's, and of the
+    ``min_z``: standard errors between its share of bad labels and its siblings'. ``prior``: labels' worth of the host's share that smooths a template's, and of the
     overall share that smooths a host's. ``min_purity``: smoothed share of good labels below which is rejected.
     """
 
     min_rows: int = 5
     min_share: float = 0.02
     min_z: float = 1.96
-    max_depth: int = 6
     prior: float = 5.0
     min_purity: float = 0.5
 
@@ -67,7 +65,8 @@ def path_tree(urls: DataFrame, config: TreeConfig = TreeConfig()) -> DataFrame:
 
     ``urls`` has host, path and bad (boolean, null: not labelled). Equal paths are counted first; after that
     each level groups and joins counts by host, parent and segment, so a host with a third of all rows is
-    many groups, and its sums are combined before the shuffle.
+    many groups, and its sums are combined before the shuffle. Levels go on as long as a parent has the rows that
+    a branch needs; below, every segment is a wildcard whatever its depth, so what is left is named at once.
     """
     paths = stored(
         urls.groupBy("host", "path").agg(
@@ -75,17 +74,20 @@ def path_tree(urls: DataFrame, config: TreeConfig = TreeConfig()) -> DataFrame:
             F.coalesce(F.sum(F.col("bad").cast("long")), F.lit(0)).alias("bad"),
         ), "paths",
     )
-    split = F.split(F.regexp_replace("path", "^/", ""), "/", config.max_depth)
+    split = F.split(F.regexp_replace("path", "^/", ""), "/", -1)
     work = paths.select("*", F.when(F.col("path") == "", F.array().cast("array<string>")).otherwise(split).alias("segments"), F.lit("").alias("template"))
-    depth = paths.agg(F.max(F.size(F.split("path", "/")))).first()[0] or 0
-    done = []
-    for level in range(min(depth, config.max_depth)):
+    done, level = [], 0
+    while True:
         done.append(work.where(F.size("segments") <= level))
         current = work.where(F.size("segments") > level).withColumn("segment", F.col("segments")[level])
         branches = stored(current.groupBy("host", "template", "segment").agg(*_counts()), "branches")
         parents = stored(
             branches.groupBy("host", "template").agg(*[F.sum(c).alias(f"all_{c}") for c in ("n", "labelled", "bad")]), "parents"
         )
+        if (parents.agg(F.max("all_n")).first()[0] or 0) < config.min_rows:
+            rest = F.transform(F.slice("segments", level + 1, F.size("segments")), lambda segment: F.concat(F.lit("/"), wildcard(segment)))
+            done.append(current.withColumn("template", F.concat("template", F.array_join(rest, ""))).drop("segment"))
+            break
         others, others_bad = F.col("all_labelled") - F.col("labelled"), F.col("all_bad") - F.col("bad")
         pooled = F.col("all_bad") / F.col("all_labelled")
         spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col("labelled") + 1 / others))
@@ -104,7 +106,8 @@ def path_tree(urls: DataFrame, config: TreeConfig = TreeConfig()) -> DataFrame:
             current.join(kept, ["host", "template", "segment"], "left")
             .withColumn("template", F.concat("template", F.lit("/"), name)).drop("literal", "segment"), "tree",
         )
-    return union_all([*done, work]).select("host", "path", "template", "n", "labelled", "bad")
+        level += 1
+    return union_all(done).select("host", "path", "template", "n", "labelled", "bad")
 
 
 def judged_templates(tree: DataFrame, config: TreeConfig = TreeConfig()) -> DataFrame:

@@ -37,14 +37,16 @@ class PivotConfig:
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
-    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    """Vectors of length 1; they are scaled first, as squares of very large or small components leave the range."""
+    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
 def usable(vector: np.ndarray | None) -> bool:
     if vector is None or len(vector) == 0:
         return False
     v = np.asarray(vector, dtype=np.float64)
-    return bool(np.isfinite(v).all() and np.linalg.norm(v) > 0)
+    return bool(np.isfinite(v).all() and v.any())
 
 
 def reference_points(vectors: DataFrame, config: PivotConfig) -> dict[int, np.ndarray]:

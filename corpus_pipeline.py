@@ -4,7 +4,7 @@ Each stage takes (spark, docs, sf_dir) and returns what it keeps of ``docs``. Al
 of the documents table (``n_chars`` follows the text); the last returns packed pieces.
 
 Rows with nulls: a null text has no language and goes in the first stage. A null doc_id is a document of its
-own. Extra columns pass through the first four stages.
+own. Extra columns pass through the first four stages. An empty table gives empty tables.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm import language_id, minmax_dedup, prefix_free, pseudonyms, slack_packing
@@ -47,15 +47,21 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that of the smallest doc_id; of its repeated rows one."""
-    found = minmax_dedup.near_duplicates(docs, minmax_dedup.MinMaxConfig(words=5, percent=80))
-    kept = found.where("kept and doc_id is not null").select("doc_id").distinct()
-    order, place = Window.partitionBy("doc_id").orderBy("text"), _free_name(docs, "place")
-    one = (
-        docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
-        .withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place)
-    )
-    return one.unionByName(docs.where("doc_id is null")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """One document of each group of near duplicates, that of the smallest doc_id, and one of equal rows.
+
+    Rows without a doc_id, and unlike texts of one doc_id, are documents of their own: they are compared and kept by
+    a hash of doc_id and text.
+    """
+    key, text = _free_name(docs, "row"), F.xxhash64("text")
+    unlike = docs.groupBy("doc_id").agg(F.min(text).alias("least"), F.max(text).alias("most")).where("doc_id is not null and least <> most")
+    own = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2).bitwiseOR(F.lit(1 << 62))  # above the numbers of documents
+    marked = docs.join(unlike.select("doc_id", F.lit(True).alias(f"{key}_unlike")), "doc_id", "left")
+    whole = F.col("doc_id").isNotNull() & F.col(f"{key}_unlike").isNull()
+    keyed = marked.withColumn(key, F.when(whole, F.col("doc_id").cast("long")).otherwise(own))
+    rows = keyed.select(F.col(key).alias("doc_id"), "text")
+    found = minmax_dedup.near_duplicates(rows, minmax_dedup.MinMaxConfig(words=5, percent=80))
+    kept = found.where("kept").select(F.col("doc_id").alias(key)).distinct()
+    return keyed.join(kept, key, "left_semi").dropDuplicates([key]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

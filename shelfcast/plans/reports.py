@@ -78,17 +78,25 @@ def stage_listing(reports: DataFrame, run_id: str | None = None) -> DataFrame:
     return listed.withColumn("place", place).orderBy("run_id", "place")
 
 
+def _folder_of(table: str) -> str:
+    return table.rstrip("/").rpartition("/")[0] or table
+
+
 @contextmanager
 def reported(
     spark: SparkSession, table: str | None, run_id: str | None, stage: str, **details: dict
 ) -> Iterator[dict[str, float]]:
-    """Time a stage and add its report to ``table``, if there is one; metrics go into the dict given."""
+    """Time a stage and add its report to ``table``, if there is one; metrics go into the dict given.
+
+    Without a ``run_id`` the run is named after the folder of the table, so stages that are run one by one and report to
+    one table are one run.
+    """
     metrics: dict[str, float] = {}
     started = time.perf_counter()
     yield metrics
     if table is not None:
         seconds = time.perf_counter() - started
-        append_report(spark, table, run_id or stage, stage, seconds, metrics=metrics, **details)
+        append_report(spark, table, run_id or _folder_of(table), stage, seconds, metrics=metrics, **details)
 
 
 def stage_time_rollup(reports: DataFrame) -> DataFrame:

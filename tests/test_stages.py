@@ -101,6 +101,15 @@ def test_files_are_laid_out_before_the_long_rows_are_made(spark, raw_dir, tmp_pa
         assert len(files) == len(glob.glob(f"{tmp_path}/f/day_number=*"))
 
 
+def test_stages_run_one_by_one_share_the_folder_of_their_reports(spark, raw_dir, tmp_path):
+    table, features = f"{tmp_path}/run_reports", f"{tmp_path}/features"
+    stages.prepare(spark, raw_dir, features, SMALL, reports=table)
+    stages.train(spark, features, f"{tmp_path}/model", SMALL, FOREST, reports=table)
+    total = reports.stage_time_rollup(reports.read_reports(spark, table)).collect()
+    assert [r["run_id"] for r in total] == [str(tmp_path)]
+    assert total[0]["prepare_train_seconds"] == total[0]["prepare_train_predict_seconds"] > 0
+
+
 def test_output_partitions(spark, raw_dir, tmp_path):
     path = f"{tmp_path}/features"
     config = FeatureConfig(lags=(1,), rolling_windows=(), output_partitions=3)

@@ -2,8 +2,8 @@
 
 A path is taken apart into segments. Level by level, a segment of a host and parent template keeps its own
 branch only if it is frequent there and its share of bad labels differs from its siblings'; all variable
-segments, and branches whose labels are statistically alike, become one wildcard. A template is rejected if
-its smoothed share of good labels is too small.
+segments become one wildcard. Branches that were kept but whose labels are statistically alike are merged into
+one, which is named after all of them. A template is rejected if its smoothed share of good labels is too small.
 """
 
 from __future__ import annotations
@@ -60,6 +60,34 @@ def _counts() -> list[Column]:
     return [F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
 
 
+def merged_branches(kept: DataFrame, config: TreeConfig) -> DataFrame:
+    """Rows (host, template, segment, literal): the name that each kept branch goes on under.
+
+    Siblings are walked through in order of their share of bad labels; one that does not differ from the branches
+    merged so far joins them. A merged branch has the names of all with ``#`` between, which no path holds. A parent
+    has at most 1 / ``min_share`` kept branches, so what is gathered is bounded.
+    """
+    share = F.col("bad") / F.col("labelled")
+    sibling = F.struct(share.alias("share"), F.array("segment").alias("names"), "labelled", "bad")
+    gathered = kept.groupBy("host", "template").agg(F.sort_array(F.collect_list(sibling)).alias("siblings"))
+
+    def step(done: Column, one: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        labelled, bad = last["labelled"] + one["labelled"], last["bad"] + one["bad"]
+        pooled = bad / labelled
+        spread = F.sqrt(pooled * (1 - pooled) * (1 / last["labelled"] + 1 / one["labelled"]))
+        alike = F.abs(one["bad"] / one["labelled"] - last["bad"] / last["labelled"]) < config.min_z * spread
+        alike = F.coalesce(alike | (last["bad"] * one["labelled"] == one["bad"] * last["labelled"]), F.lit(False))
+        both = F.struct(F.concat(last["names"], one["names"]).alias("names"), labelled.alias("labelled"), bad.alias("bad"))
+        own = F.struct(one["names"].alias("names"), one["labelled"].alias("labelled"), one["bad"].alias("bad"))
+        return F.when(alike, F.array_append(F.slice(done, 1, F.size(done) - 1), both)).otherwise(F.array_append(done, own))
+
+    nothing = F.array().cast("array<struct<names:array<string>,labelled:bigint,bad:bigint>>")
+    merged = gathered.select("host", "template", F.explode(F.aggregate("siblings", nothing, step)).alias("merged"))
+    name = F.array_join(F.array_sort("merged.names"), "#")
+    return merged.select("host", "template", F.explode("merged.names").alias("segment"), name.alias("literal"))
+
+
 def path_tree(urls: DataFrame, config: TreeConfig = TreeConfig()) -> DataFrame:
     """Rows (host, path, template, n, labelled, bad), one for each distinct host and path of ``urls``.
 
@@ -99,11 +127,11 @@ def path_tree(urls: DataFrame, config: TreeConfig = TreeConfig()) -> DataFrame:
         kept = (
             branches.join(parents, ["host", "template"])
             .where((F.col("n") >= config.min_rows) & (F.col("n") >= config.min_share * F.col("all_n")) & apart)
-            .select("host", "template", "segment", F.lit(True).alias("literal"))
+            .select("host", "template", "segment", "labelled", "bad")
         )
-        name = F.when(F.col("literal"), F.col("segment")).otherwise(wildcard(F.col("segment")))
+        name = F.coalesce("literal", wildcard(F.col("segment")))
         work = stored(
-            current.join(kept, ["host", "template", "segment"], "left")
+            current.join(merged_branches(kept, config), ["host", "template", "segment"], "left")
             .withColumn("template", F.concat("template", F.lit("/"), name)).drop("literal", "segment"), "tree",
         )
         level += 1

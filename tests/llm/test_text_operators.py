@@ -143,6 +143,12 @@ def test_hosts_paths_and_rules(spark, url, host, path, rule):
     assert tuple(named.select("h", "p", path_templates.rule_for(F.col("h"), F.col("p"), RULES)).first()) == (host, path, rule)
 
 
+def alike(one, other, config):
+    (n, k), (m, j) = one, other
+    share = (k + j) / (n + m)
+    return k / n == j / m or abs(k / n - j / m) < config.min_z * math.sqrt(share * (1 - share) * (1 / n + 1 / m))
+
+
 def brute_tree(rows, config):
     """Templates by host and path, one host and level after the other."""
     out = {}
@@ -155,7 +161,7 @@ def brute_tree(rows, config):
             branches = {}
             for p, b in live:
                 branches.setdefault((template[p], segments[p][level]), []).append(b)
-            named = {}
+            named, staying = {}, {}
             for (parent, segment), labels in branches.items():
                 family = [b for (q, _), x in branches.items() if q == parent for b in x]
                 known, all_known = [b for b in labels if b is not None], [b for b in family if b is not None]
@@ -167,7 +173,20 @@ def brute_tree(rows, config):
                     apart = abs(sum(known) / len(known) - (bad - sum(known)) / others) >= config.min_z * spread
                 stays = apart and len(labels) >= max(config.min_rows, config.min_share * len(family))
                 ending = segment[segment.rindex(".") :] if "." in segment and segment.rsplit(".", 1)[1].isalpha() and len(segment.rsplit(".", 1)[1]) < 6 else ""
-                named[parent, segment] = segment if stays else f"*{ending}"
+                named[parent, segment] = f"*{ending}"
+                if stays:
+                    staying.setdefault(parent, []).append((sum(known) / len(known), segment, len(known), sum(known)))
+            for parent, siblings in staying.items():
+                groups = []
+                for share, segment, n, k in sorted(siblings):
+                    if groups and alike(groups[-1][1:], (n, k), config):
+                        names, m, j = groups[-1]
+                        groups[-1] = ([*names, segment], m + n, j + k)
+                    else:
+                        groups.append(([segment], n, k))
+                for names, *_ in groups:
+                    for segment in names:
+                        named[parent, segment] = "#".join(sorted(names))
             for p in {p for p, _ in live}:
                 template[p] += "/" + named[template[p], segments[p][level]]
         out |= {(host, p): t for p, t in template.items()}
@@ -186,6 +205,17 @@ def test_branches_far_down_a_path_have_their_own_verdicts(spark):
     assert found[400]["template"] == "/*" * 2_000 + ".txt"
 
 
+def test_alike_branches_are_merged(spark):
+    """Two good sections and two bad ones: each differs from the rest, but not from its like."""
+    sections = {"good": 0.0, "fine": 0.0, "bad": 1.0, "worse": 1.0}
+    pages = [(i, f"http://h.org/{s}/{i}") for i in range(400) for s in [list(sections)[i % 4]]]
+    labels = [(i, bool(sections[url.split("/")[3]])) for i, url in pages]
+    found = path_templates.filter_urls(
+        spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "page_id long, bad boolean"), {}
+    )
+    assert {(r["template"], r["verdict"]) for r in found.collect()} == {("/fine#good/*", "allow"), ("/bad#worse/*", "block")}
+
+
 def test_verdicts_match_brute_force(spark):
     rng = random.Random(6)
     pages, labels = [], []

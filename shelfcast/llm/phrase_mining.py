@@ -154,11 +154,13 @@ class PhraseFilter:
         return cls(whole)
 
 
-def suffixes(found: Words, frequent: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct suffixes of at least two frequent words as sorted rows of word ids plus 1 (0: ended), and their numbers."""
-    good = frequent[found.ids]
-    goes_on = good[:-1] & good[1:] & (found.piece[:-1] == found.piece[1:])
-    own = np.flatnonzero(goes_on)
+def suffixes(found: Words, first: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct suffixes of at least two words as sorted rows of word ids plus 1 (0: ended), and their numbers.
+
+    ``first`` says of each distinct word whether suffixes that begin with it are wanted.
+    """
+    goes_on = found.piece[:-1] == found.piece[1:]
+    own = np.flatnonzero(goes_on & first[found.ids[:-1]])
     rows = np.zeros((len(own), length), dtype=np.int32)
     rows[:, 0] = found.ids[own] + 1
     live = np.ones(len(own), dtype=bool)
@@ -187,17 +189,18 @@ def phrase_key(lang: str, words: list[bytes]) -> bytes:
 
 @dataclass
 class Partition:
-    """The first prefix of each group, the prefixes that are too frequent for one and therefore extended, and with what."""
+    """The first prefix of each group, the prefixes that are too frequent for one and therefore extended, and a filter
+    of all that are frequent."""
 
     bounds: list[bytes]
     extended: set[bytes]
-    extensions: PhraseFilter
+    frequent: PhraseFilter
 
     def groups(self, lang: str, distinct: list[bytes], rows: np.ndarray) -> np.ndarray:
         """The group of each suffix of sorted ``rows``.
 
-        It is -1 for one that is no longer than an extended prefix, or extends it into an infrequent one: neither
-        holds a frequent phrase that is not counted yet.
+        It is -1 for one that has no frequent prefix, or is no longer than an extended one: neither holds a frequent
+        phrase that is not counted yet.
         """
         out = np.full(len(rows), -1, dtype=np.int64)
         open_rows, head = np.arange(len(rows)), lang.encode() + b"\n"
@@ -213,8 +216,7 @@ class Partition:
             group = np.array([bisect_right(self.bounds, k) - 1 for k in keys], dtype=np.int64)
             again = np.repeat(longer, sizes)
             group = np.maximum(group, 0)
-            if depth:
-                group[~self.extensions.passes(lang, [k[len(head) :] for k in keys])] = -1
+            group[~self.frequent.passes(lang, [k[len(head) :] for k in keys])] = -1
             out[open_rows[~again]] = np.repeat(group, sizes)[~again]
             if depth + 1 == rows.shape[1]:
                 break
@@ -226,22 +228,21 @@ class Partition:
         return out
 
 
-def prefix_counts(docs: DataFrame, frequent: PhraseFilter, extended: set[bytes], depth: int) -> DataFrame:
+def prefix_counts(docs: DataFrame, extended: set[bytes], depth: int) -> DataFrame:
     """Rows (lang, phrase, a) of all phrases of ``depth`` words that go on from an extended prefix by one word."""
-    extended_, frequent_ = docs.sparkSession.sparkContext.broadcast(extended), docs.sparkSession.sparkContext.broadcast(frequent)
+    extended_ = docs.sparkSession.sparkContext.broadcast(extended)
+    heads_ = docs.sparkSession.sparkContext.broadcast({key.split(b" ", 1)[0] for key in extended})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, found in by_language(batches):
-            rows, n = suffixes(found, frequent_.value.passes(lang, found.distinct), depth)
-            heads = [phrase_key(lang, [w]) in extended_.value for w in found.distinct] if depth == 2 else None
+            heads = np.array([phrase_key(lang, [w]) in heads_.value for w in found.distinct], dtype=bool)
+            rows, n = suffixes(found, heads, depth)
             own = rows[:, -1] > 0
-            if heads is not None:
-                own &= np.array(heads, dtype=bool)[rows[:, 0] - 1]
             rows, n = rows[own], n[own]
             phrases, counts = [], []
             for row, a in zip(rows.tolist(), n.tolist()):
                 words = [found.distinct[w - 1] for w in row]
-                if heads is not None or phrase_key(lang, words[:-1]) in extended_.value:
+                if phrase_key(lang, words[:-1]) in extended_.value:
                     phrases.append(b" ".join(words))
                     counts.append(a)
             yield pa.RecordBatch.from_arrays(
@@ -256,7 +257,7 @@ def _key() -> Column:
     return F.concat("lang", F.lit("\n"), "phrase")
 
 
-def partition_prefixes(docs: DataFrame, words: DataFrame, frequent: PhraseFilter, config: PhraseConfig, budget: int) -> tuple[Partition, list[DataFrame]]:
+def partition_prefixes(docs: DataFrame, words: DataFrame, config: PhraseConfig, budget: int) -> tuple[Partition, list[DataFrame]]:
     """Groups of prefixes within the budget, and the tables of counts of extended prefixes with more than one word."""
     extended: set[bytes] = set()
     whole, known, longer, level = [], [], [], words
@@ -269,7 +270,7 @@ def partition_prefixes(docs: DataFrame, words: DataFrame, frequent: PhraseFilter
         if depth > 1:
             known.append(over)
         extended |= fresh
-        level = stored(prefix_counts(docs, frequent, fresh, depth + 1).where(F.col("a") >= config.least), "prefixes")
+        level = stored(prefix_counts(docs, fresh, depth + 1).where(F.col("a") >= config.least), "prefixes")
         longer.append(level)
 
     def bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,26 +287,25 @@ def partition_prefixes(docs: DataFrame, words: DataFrame, frequent: PhraseFilter
 
     prefixes = union_all(whole).select(_key().alias("key"), "a")
     rows = prefixes.repartitionByRange("key").sortWithinPartitions("key").mapInArrow(bounds, "key string")
-    extensions = PhraseFilter.of(union_all(longer or [words.limit(0)]))
-    return Partition(sorted(row["key"].encode() for row in rows.collect()), extended, extensions), known
+    frequent = PhraseFilter.of(union_all([words, *longer]))
+    return Partition(sorted(row["key"].encode() for row in rows.collect()), extended, frequent), known
 
 
 _BLOCK = "group long, lang string, words array<binary>, width int, heads binary, tails binary, n binary"
 
 
-def suffix_blocks(docs: DataFrame, frequent: PhraseFilter, partition: Partition, length: int) -> DataFrame:
+def suffix_blocks(docs: DataFrame, partition: Partition, length: int) -> DataFrame:
     """Rows (group, lang, words, width, heads, tails, n): the suffixes of some texts that belong to one group.
 
     They are in order, and each is written as what it changes of the one before: a byte of ``heads`` holds how many
     words it shares with that (4 bits) and how many it has; ``tails`` holds the others, places in ``words`` as numbers
     of ``width`` bytes. ``n`` holds how often each suffix comes, in 32-bit numbers.
     """
-    context = docs.sparkSession.sparkContext
-    frequent_, partition_ = context.broadcast(frequent), context.broadcast(partition)
+    partition_ = docs.sparkSession.sparkContext.broadcast(partition)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, found in by_language(batches):
-            rows, n = suffixes(found, frequent_.value.passes(lang, found.distinct), length)
+            rows, n = suffixes(found, partition_.value.frequent.passes(lang, found.distinct), length)
             group = partition_.value.groups(lang, found.distinct, rows)
             order = np.argsort(group, kind="stable")
             order = order[np.searchsorted(group[order], 0) :]
@@ -402,8 +402,7 @@ def phrase_counts(docs: DataFrame, config: PhraseConfig) -> tuple[DataFrame, Dat
     most = words.agg(F.coalesce(F.sum("a"), F.lit(0))).first()[0]
     budget = max(config.budget, most // MOST_GROUPS)
     frequent_words = words.where(F.col("a") >= config.least)
-    frequent = PhraseFilter.of(frequent_words)
-    partition, known = partition_prefixes(docs, frequent_words, frequent, config, budget)
+    partition, known = partition_prefixes(docs, frequent_words, config, budget)
     length, least, extended = config.words, config.least, docs.sparkSession.sparkContext.broadcast(partition.extended)
 
     def subtrees(key: tuple, blocks: pa.Table) -> pa.Table:
@@ -411,7 +410,7 @@ def phrase_counts(docs: DataFrame, config: PhraseConfig) -> tuple[DataFrame, Dat
         langs, phrases, counts = zip(*found) if found else ((), (), ())
         return pa.table({"lang": pa.array(langs, pa.string()), "phrase": pa.array(phrases, pa.binary()).cast(pa.string()), "a": pa.array(counts, pa.int64())})
 
-    blocks = suffix_blocks(docs, frequent, partition, length)
+    blocks = suffix_blocks(docs, partition, length)
     longer = blocks.groupBy("group").applyInArrow(subtrees, "lang string, phrase string, a long")
     return stored(union_all([frequent_words, longer, *known]), "phrases"), totals
 

@@ -74,11 +74,10 @@ def test_any_partition_gives_the_counts_of_brute_force(spark, seed, budget, shar
 def test_prefixes_over_the_budget_are_extended(spark):
     docs = spark.createDataFrame([("en", "a a a b a a c " * 200)], "lang string, text string")
     words = phrase_mining.word_counts(docs)
-    frequent = phrase_mining.PhraseFilter.of(words)
-    partition, known = phrase_mining.partition_prefixes(docs, words, frequent, PhraseConfig(least=10), 300)
+    partition, known = phrase_mining.partition_prefixes(docs, words, PhraseConfig(least=10), 300)
     assert {b"en\na", b"en\na a"} <= partition.extended and len(partition.bounds) > 3
     assert {r["phrase"]: r["a"] for frame in known for r in frame.collect()} == {"a a": 600 - 0}
-    assert frequent.passes("en", [b"a", b"b", b"c", b"d"]).tolist() == [True, True, True, False]
+    assert partition.frequent.passes("en", [b"a", b"b", b"c", b"d"]).tolist() == [True, True, True, False]
 
 
 def test_products_pass_64_bits(spark):

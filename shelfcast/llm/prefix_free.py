@@ -39,7 +39,6 @@ _IS_SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 #: A parse name with more full names than this is dealt to several groups, by the names of whole strings.
 LARGE_CLASS = 256
 _GROUPS = 64
-_NO_ID = -(1 << 63)
 _OUTPUT_BYTES = 4_000_000
 
 # A run as one number: 24 bits of the text's hash, 31 bits of its first position, a bit that says whether positions
@@ -199,7 +198,7 @@ def _positions(bodies: DataFrame, taken_apart: DataFrame, match: int, words: int
     def as_batch(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["parse", "whole", "deal", "name", "bit"])
 
-    return bodies.select("id", "body").join(taken_apart, "id").mapInArrow(
+    return bodies.select("id", "body").join(taken_apart, "id").dropDuplicates(["id"]).mapInArrow(
         expand, "parse long, whole long, deal long, name long, bit long"
     )
 
@@ -277,8 +276,10 @@ def remove_repeats(docs: DataFrame, match: int = 400, window: int = WINDOW, as_t
     if words is not None and words < 3:
         raise ValueError("a run has 3 words at least")
     rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
-    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("id"), rest.alias("rest"), "text")
-    places = repeated_runs(keyed, match, window, words).groupBy("id").agg(F.collect_list(F.struct("place", "low", "high")).alias("places"))
+    # a text is known by a hash of itself and its doc_id, with the tag of a run 88 bits; only equal rows share it, and
+    # their equal runs become one, so what is gathered is bounded by one text
+    keyed = docs.select(F.xxhash64("doc_id", "text").alias("id"), rest.alias("rest"), "text")
+    places = repeated_runs(keyed, match, window, words).groupBy("id").agg(F.collect_set(F.struct("place", "low", "high")).alias("places"))
     joined = _bodies(keyed).join(places, "id", "left").select("rest", "body", "places")
     schema = T.StructType([
         joined.schema["rest"], T.StructField("n_bytes", T.LongType()),

@@ -99,6 +99,22 @@ def test_repeats_match_all_strings(messy, match, window):
     assert sorted(found, key=str) == sorted(((r[0], *e) for r, e in zip(rows, expected)), key=str)
 
 
+def test_texts_without_a_doc_id_are_told_apart(spark):
+    """Thousands of them; some are equal, some share a passage, some repeat within themselves."""
+    rng = random.Random(4)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(60))
+    texts = []
+    for i in range(3_000):
+        own = "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(50, 140)))
+        texts.append(own + (passage if i % 7 == 0 else "") + (own if i % 11 == 0 else ""))
+    texts += texts[:200] + [None, "", ""]
+    frame = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string").repartition(6)
+    found = sorted(
+        (r["n_bytes"], len(r["spans"]), hashlib.sha256(r["kept"] or b"").hexdigest()) for r in prefix_free.remove_repeats(frame, 40, 16).collect()
+    )
+    assert found == sorted(tuple(e) for e in brute_cut([(t or "").encode() for t in texts], 40))
+
+
 def test_columns_pass_through_the_cut(messy):
     row = prefix_free.remove_repeats(messy).where("rest.doc_id = 73").first()
     assert row["rest"].asDict() == {**dict(zip([c.split()[0] for c in SCHEMA.replace("`a b.c`", "abc").split(", ")], messy_rows()[0])), **row["rest"].asDict()} or row["rest"]["kept"] == "k"
@@ -170,6 +186,14 @@ def test_linked_vectors_match_all_pairs(spark):
     assert embedding_pivots.linked_vectors(frame.where("false")).collect() == []
 
 
+def test_components_of_any_size_are_compared(spark):
+    """Squares of such components leave the range of doubles."""
+    rows = [(0, [1e200, 1e200]), (1, [2e200, 2e200]), (2, [1e-200, 1e-200]), (3, [1.0, 0.1]), (4, [0.1, 1.0]), (5, [5e-324, 5e-324]), (6, [1e308, -1e308]), (7, [0.0, 0.0])]
+    found = embedding_pivots.linked_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    links = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found.collect()}
+    assert links == {0: (3, 0), 1: (3, 0), 2: (3, 0), 5: (3, 0), 3: (0, 3), 4: (0, 4), 6: (0, 6), 7: (0, 7)}
+
+
 def test_few_reference_points_lose_no_links(spark):
     """The default settings on vectors of one cone, of which one is a reference point, and on two and three vectors."""
     rng = np.random.default_rng(9)

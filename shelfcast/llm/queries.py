@@ -98,6 +98,7 @@ def op9_prefix_free(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "rest.doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
         F.sha2(F.coalesce("kept", F.lit(b"")), 256).alias("kept_sha256"),
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
     )
 
 

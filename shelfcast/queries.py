@@ -211,7 +211,7 @@ def trailing_means(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trailing_mean_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A mean over 90 days costs as much as one over 7."""
+    """A window of more days than are unrolled."""
     history = history_rows(OrderLinePanel(spark, sf_dir).packed(QUARTER), QUARTER)
     return history.select("id", "day_number", F.round("rolling_mean_90", 6).alias("rolling_mean_90"))
 

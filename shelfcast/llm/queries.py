@@ -122,10 +122,8 @@ def op11_vertical_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_lockstep_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = token_alignment.align(table(spark, sf_dir, "documents"), BYTE_BPE, PIECES)
-    groups = token_alignment.groups_text(*(F.col(c) for c in ("a_ids", "b_ids", "a_in_group", "b_in_group")))
-    return found.withColumn("groups", groups).select(
-        "doc_id", *((F.length(f"{x}_ids") / 4).cast("long").alias(f"n_{x}") for x in "ab"),
-        "n_groups", "n_links", "n_best", "count_sum",
+    return found.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
         F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256"),
     )
 

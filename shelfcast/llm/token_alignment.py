@@ -13,35 +13,36 @@ unit counts its pairs, these counts are summed up by pair, and the sums go back
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from shelfcast.llm.common import release, resident, stored, text_slices
-from shelfcast.llm.tokens import TextEncoder
+from shelfcast.llm.tokens import TextEncoder, byte_characters
 from shelfcast.llm.words import EDGE_CODE, WordEncoder
 
 WORD_START = "▁"
 #: Characters and rows of the texts that share a table of pair counts.
-UNIT_CHARS, UNIT_ROWS = 5_000_000, 20_000
+UNIT_CHARS, UNIT_ROWS = 3_000_000, 20_000
 #: Characters of the texts that are merged side by side.
 LOCKSTEP_CHARS = 1_000_000
 #: Words that a worker keeps of each tokenizer, in each of two generations.
-KEPT_WORDS = 100_000
+KEPT_WORDS = 150_000
 #: Tokens of A after which a text goes on in a stretch of its own, and how many ends are tried for that.
 STRETCH, TRIED = 256, 16
 #: Bits of an id in a pair's number, and of a text's place in a unit.
 _BITS = 21
 
 _ALIGNED = "doc_id long, unit long, a_ids binary, b_ids binary, a_in_group binary, b_in_group binary, pairs binary, texts binary"
-_COUNTED = "doc_id long, a_ids binary, b_ids binary, a_in_group binary, b_in_group binary, n_groups long, n_links long, n_best long, count_sum long"
+_COUNTED = "doc_id long, groups string, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long"
 
 
 class SpaceSplitter:
@@ -54,6 +55,30 @@ class SpaceSplitter:
         return starts | edge | np.roll(edge, 1)
 
 
+def piece_bytes(model: sentencepiece.SentencePieceProcessor) -> list[bytes]:
+    """The bytes of each piece; a byte stands for itself and a start mark for a space."""
+    names = [model.id_to_piece(i) for i in range(model.get_piece_size())]
+    return [bytes([int(n[3:5], 16)]) if model.is_byte(i) else n.replace(WORD_START, " ").encode() for i, n in enumerate(names)]
+
+
+def byte_level_bytes(tokenizer: Tokenizer) -> list[bytes]:
+    """The bytes of each token of a byte-level vocabulary; an added token stands for its string."""
+    byte = {c: b for b, c in enumerate(byte_characters())}
+    vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+    of = [b""] * (max(vocabulary.values()) + 1)
+    for token, i in vocabulary.items():
+        of[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
+    return of
+
+
+@lru_cache(maxsize=1)
+def same_bytes(a_path: str, b_path: str) -> np.ndarray:
+    """For each id of A the id of B with the same bytes, -1 if there is none."""
+    model = sentencepiece.SentencePieceProcessor(model_file=b_path)
+    ids = {data: i for i, data in enumerate(piece_bytes(model)) if not (model.is_control(i) or model.is_unknown(i))}
+    return np.array([ids.get(data, -1) for data in byte_level_bytes(Tokenizer.from_file(a_path))], dtype=np.int64)
+
+
 class PieceEncoder:
     """Encodes texts with the sentencepiece model at ``path``, which puts a space before each text.
 
@@ -66,10 +91,7 @@ class PieceEncoder:
         size = self.model.get_piece_size()
         names = [self.model.id_to_piece(i) for i in range(size)]
         special = [self.model.is_control(i) or self.model.is_unknown(i) for i in range(size)]
-        self.bytes_of = [
-            bytes([int(name[3:5], 16)]) if self.model.is_byte(i) else name.replace(WORD_START, " ").encode()
-            for i, name in enumerate(names)
-        ]
+        self.bytes_of = piece_bytes(self.model)
         kept_as_is = self.model.normalize(" a  ﬁ ") == " a  ﬁ ".replace(" ", WORD_START).join((WORD_START, ""))
         crossing = any(WORD_START in name.lstrip(WORD_START) for name, no in zip(names, special) if not no)
         self.start = self.model.piece_to_id(WORD_START)
@@ -93,12 +115,8 @@ class Pair:
 
     def __init__(self, a_path: str, b_path: str):
         self.a, self.b = TextEncoder(a_path, plain=True, kept=KEPT_WORDS), PieceEncoder(b_path)
-        byte = {c: b for b, c in self.a.characters.items()}
-        vocabulary = self.a.tokenizer.get_vocab(with_added_tokens=True)
-        a_bytes = [b""] * (max(vocabulary.values()) + 1)
-        for token, i in vocabulary.items():
-            a_bytes[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
-        self.a_bytes, self.b_bytes = TokenBytes(a_bytes), TokenBytes(self.b.bytes_of)
+        self.a_bytes, self.b_bytes = TokenBytes(byte_level_bytes(self.a.tokenizer)), TokenBytes(self.b.bytes_of)
+        self.same = same_bytes(a_path, b_path)
 
     def encode(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
         """The ids of both; none for a text whose bytes one of them does not give back."""
@@ -198,17 +216,53 @@ def _ids(parts: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(parts), dtype="<u4").astype(np.int64)
 
 
+def single_pairs(in_a: np.ndarray, in_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places in A and B of groups with one token of each, which have the same bytes."""
+    single = np.flatnonzero((in_a == 1) & (in_b == 1))
+    return (np.cumsum(in_a) - in_a)[single], (np.cumsum(in_b) - in_b)[single]
+
+
+def with_marks(columns: list[list[bytes]], same: np.ndarray) -> list[bytes]:
+    """B's ids plus 1, but 0 in a group with one token of each where B's id is that of A's bytes: most are 0."""
+    a, b, in_a, in_b = map(_ids, columns)
+    at_a, at_b = single_pairs(in_a, in_b)
+    told = at_b[same[a[at_a]] == b[at_b]]
+    marked = b + 1
+    marked[told] = 0
+    return _cut(marked, columns[1])
+
+
+def without_marks(columns: list[list[bytes]], same: np.ndarray) -> list[bytes]:
+    a, marked, in_a, in_b = map(_ids, columns)
+    at_a, at_b = single_pairs(in_a, in_b)
+    b = marked - 1
+    told = marked[at_b] == 0
+    b[at_b[told]] = same[a[at_a[told]]]
+    return _cut(b, columns[1])
+
+
+def _cut(values: np.ndarray, like: list[bytes]) -> list[bytes]:
+    """Numbers of many texts as those of each, which have as many as ``like``."""
+    data, cuts = values.astype("<u4").tobytes(), _cuts(list(map(len, like))).tolist()
+    return [data[c:d] for c, d in zip(cuts, cuts[1:])]
+
+
+@cache
+def _compressor() -> zstandard.ZstdCompressor:
+    return zstandard.ZstdCompressor(level=1)
+
+
 def packed(values: bytes) -> bytes:
     """32-bit numbers in as many bytes each as the largest needs, compressed: the form in which they are stored and moved."""
     numbers = np.frombuffer(values, dtype="<u4")
     if not numbers.size:
         return b""
     width = next(w for w in (1, 2, 4) if w == 4 or numbers.max() < 1 << 8 * w)
-    return bytes([width]) + zlib.compress(numbers.astype(f"<u{width}").tobytes(), 1)
+    return bytes([width]) + _compressor().compress(numbers.astype(f"<u{width}").tobytes())
 
 
 def unpacked(data: bytes) -> bytes:
-    return np.frombuffer(zlib.decompress(data[1:]), dtype=f"<u{data[0]}").astype("<u4").tobytes() if data else b""
+    return np.frombuffer(zstandard.decompress(data[1:]), dtype=f"<u{data[0]}").astype("<u4").tobytes() if data else b""
 
 
 def align_texts(pair: Pair, texts: list[str]) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
@@ -218,7 +272,7 @@ def align_texts(pair: Pair, texts: list[str]) -> tuple[list[list[bytes]], np.nda
     a_ids, b_ids = _ids(a), _ids(b)
     own = np.flatnonzero(np.diff(a_cuts))
     if not own.size:
-        return [[b""] * len(texts)] * 4, np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        return [[b""] * len(texts) for _ in range(4)], np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
     ends_a, ends_b = np.cumsum(pair.a_bytes.size[a_ids]), np.cumsum(pair.b_bytes.size[b_ids])
     whole = np.stack([a_cuts[own], a_cuts[own + 1], b_cuts[own], b_cuts[own + 1]], axis=1)
     groups, (x, y) = lockstep(ends_a, ends_b, stretches(ends_a, ends_b, whole))
@@ -252,7 +306,7 @@ _ARRAYS = ("a_ids", "b_ids", "a_in_group", "b_in_group")
 
 
 def aligned_tokens(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
-    """Rows (doc_id, unit, a_ids, b_ids, a_in_group, b_in_group, pairs, texts), one for each row of ``docs``; all packed.
+    """Rows (doc_id, unit, a_ids, b_ids, a_in_group, b_in_group, pairs, texts), one for each row of ``docs``; all packed, B's ids with marks.
 
     The first row of a slice of texts has the slice's linked pairs and in how many of its texts each is linked.
     """
@@ -268,6 +322,7 @@ def aligned_tokens(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
                 unit, chars, rows = unit + 1, 0, 0
             chars, rows = chars + more, rows + len(texts)
             columns, *pairs = align_texts(pair, texts)
+            columns[1] = with_marks(columns, pair.same)
             columns = [list(map(packed, c)) for c in columns]
             columns += [[x.astype("<i8").tobytes()] + [None] * (len(texts) - 1) for x in pairs]
             yield pa.RecordBatch.from_arrays(
@@ -307,13 +362,13 @@ def pair_counts(unit_pairs: DataFrame) -> DataFrame:
 
 
 def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
-    """Rows (doc_id, a_ids, b_ids, a_in_group, b_in_group, n_groups, n_links, n_best, count_sum), one for each row of ``docs``.
+    """Rows (doc_id, groups, n_a, n_b, n_groups, n_links, n_best, count_sum), one for each row of ``docs``.
 
     ``a_path`` is a byte-level tokenizer file, which encodes a space and the text, ``b_path`` a sentencepiece model,
-    which puts that space itself; strings of special tokens are plain text. ``a_ids`` and ``b_ids`` hold little-endian
-    unsigned 32-bit integers, and so do ``a_in_group`` and ``b_in_group``: the number of tokens in each group. A link
-    is a token of A and one of B in one group. The count of a pair of ids is the number of rows that link it;
-    ``n_best`` are links whose count is the highest of their A id, ``count_sum`` adds up the counts of all links.
+    which puts that space itself; strings of special tokens are plain text. ``groups`` holds the ids of A and B group
+    by group, as ``a1,a2|b1;a3|b2,b3``. A link is a token of A and one of B in one group. The count of a pair of ids
+    is the number of rows that link it; ``n_best`` are links whose count is the highest of their A id, ``count_sum``
+    adds up the counts of all links.
 
     A text that is null, empty, or not given back by the bytes of either tokenizer has no tokens, groups and links.
     Rows that repeat, or have no doc_id, are documents of their own; other columns of ``docs`` are not looked at. An
@@ -327,6 +382,7 @@ def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
 
     def sum_up(texts: pa.Table, pairs: pa.Table) -> pa.Table:
         columns = [list(map(unpacked, texts.column(c).to_pylist())) for c in _ARRAYS]
+        columns[1] = without_marks(columns, same_bytes(a_path, b_path))
         place, pair, times = grouped_pairs(*columns)
         key = pairs.column("a").to_numpy().astype(np.int64) << _BITS | pairs.column("b").to_numpy()
         order = np.argsort(key)
@@ -338,13 +394,13 @@ def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
             sums = _cuts(values)
             return sums[bounds[1:]] - sums[bounds[:-1]]
 
-        added = {c: pa.array(x, pa.binary()) for c, x in zip(_ARRAYS, columns)}
         sums = {
+            "n_a": [len(x) // 4 for x in columns[0]], "n_b": [len(x) // 4 for x in columns[1]],
             "n_groups": [len(x) // 4 for x in columns[2]], "n_links": total(times),
             "n_best": total(times * best), "count_sum": total(times * count),
         }
-        added |= {name: pa.array(values, pa.int64()) for name, values in sums.items()}
-        return pa.table({"doc_id": texts.column("doc_id"), **added})
+        numbers = {name: pa.array(values, pa.int64()) for name, values in sums.items()}
+        return pa.table({"doc_id": texts.column("doc_id"), "groups": pa.array(_texts(*columns), pa.string()), **numbers})
 
     texts = aligned.drop("pairs", "texts")
     return texts.groupBy("unit").cogroup(known.groupBy("unit")).applyInArrow(sum_up, _COUNTED)
@@ -360,24 +416,6 @@ def _power(largest: int) -> int:
     return 1 << int(largest).bit_length()
 
 
-def groups_text(a_ids: Column, b_ids: Column, a_in_group: Column, b_in_group: Column) -> Column:
-    """Groups written out as ``a1,a2|b1;a3|b2,b3``; empty without tokens."""
-
-    @F.arrow_udf("string")
-    def text(a: pa.Array, b: pa.Array, n_a: pa.Array, n_b: pa.Array) -> pa.Array:
-        a, b, n_a, n_b = (x.to_pylist() for x in (a, b, n_a, n_b))
-        out, start, size = [], 0, 0
-        for i in range(len(a)):
-            size += len(a[i]) + len(b[i])
-            if size > 1 << 21 or i + 1 == len(a):
-                some = slice(start, i + 1)
-                out += _texts(a[some], b[some], n_a[some], n_b[some])
-                start, size = i + 1, 0
-        return pa.array(out, pa.string())
-
-    return text(a_ids, b_ids, a_in_group, b_in_group)
-
-
 def _texts(a: list[bytes], b: list[bytes], n_a: list[bytes], n_b: list[bytes]) -> list[str]:
     a_ids, b_ids, in_a, in_b = map(_ids, (a, b, n_a, n_b))
     if not a_ids.size:

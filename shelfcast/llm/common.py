@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 from functools import reduce
 from typing import TypeVar
@@ -51,7 +52,7 @@ _resident: dict[object, object] = {}
 def resident(key: object, make: Callable[[], T]) -> T:
     """What a worker process keeps from batch to batch, one thing at a time."""
     if key not in _resident:
-        _resident.clear()
+        release()
         _resident[key] = make()
     return _resident[key]
 
@@ -59,6 +60,7 @@ def resident(key: object, make: Callable[[], T]) -> T:
 def release() -> None:
     """Let go of it at the end of a task: idle workers of an earlier stage would hold it beside those of the next."""
     _resident.clear()
+    gc.collect()  # an encoder and its parts refer to each other
     pa.default_memory_pool().release_unused()
 
 

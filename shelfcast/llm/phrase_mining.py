@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -291,15 +292,15 @@ def partition_prefixes(docs: DataFrame, words: DataFrame, config: PhraseConfig,
     return Partition(sorted(row["key"].encode() for row in rows.collect()), extended, frequent), known
 
 
-_BLOCK = "group long, lang string, words array<binary>, width int, heads binary, tails binary, n binary"
+_BLOCK = "group long, lang string, words binary, width int, heads binary, tails binary, n binary"
 
 
 def suffix_blocks(docs: DataFrame, partition: Partition, length: int) -> DataFrame:
     """Rows (group, lang, words, width, heads, tails, n): the suffixes of some texts that belong to one group.
 
     They are in order, and each is written as what it changes of the one before: a byte of ``heads`` holds how many
-    words it shares with that (4 bits) and how many it has; ``tails`` holds the others, places in ``words`` as numbers
-    of ``width`` bytes. ``n`` holds how often each suffix comes, in 32-bit numbers.
+    words it shares with that (4 bits) and how many it has; ``tails`` holds the others, places in ``words`` (one a line) as
+    numbers of ``width`` bytes. ``n`` holds how often each suffix comes, in 32-bit numbers.
     """
     partition_ = docs.sparkSession.sparkContext.broadcast(partition)
 
@@ -326,7 +327,8 @@ def _blocks(lang: str, distinct: list[bytes], rows: np.ndarray, n: np.ndarray, g
     local = np.zeros(len(used), dtype=np.int64)
     word_ends = np.searchsorted(of[real], np.arange(len(first) + 1))
     local[real] = np.arange(len(real)) - word_ends[of[real]]
-    words = pa.ListArray.from_arrays(pa.array(word_ends, pa.int32()), pa.array(distinct, pa.binary()).take(pa.array(word[real] - 1)))
+    lists = pa.ListArray.from_arrays(pa.array(word_ends, pa.int32()), pa.array(distinct, pa.binary()).take(pa.array(word[real] - 1)))
+    words = pc.binary_join(lists, b"\n")  # as one value: each element of an array would take 16 bytes more
     sizes = (rows > 0).sum(axis=1)
     shared = np.zeros(len(rows), dtype=np.int64)
     shared[1:] = np.cumprod(rows[1:] == rows[:-1], axis=1).sum(axis=1)
@@ -370,11 +372,11 @@ def subtree_counts(blocks: pa.Table, length: int, least: int) -> list[tuple[str,
     """The frequent phrases of a group, (lang, phrase, count), from its sorted suffixes."""
     out = []
     for lang in blocks.column("lang").unique().to_pylist():
-        own = blocks.filter(pa.compute.equal(blocks.column("lang"), lang))
-        lists = own.column("words").combine_chunks()
+        own = blocks.filter(pc.equal(blocks.column("lang"), lang))
+        lists = pc.split_pattern(own.column("words").combine_chunks(), "\n")
         coded = lists.flatten().dictionary_encode()
         words, numbers = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        begins = np.cumsum([0, *pa.compute.list_value_length(lists).to_pylist()])
+        begins = np.cumsum([0, *pc.list_value_length(lists).to_pylist()])
         encoded = zip(*(own.column(c).to_pylist() for c in ("heads", "tails", "width")))
         rows = np.concatenate([
             block_rows(*x, numbers[b:c] + 1, length) for x, b, c in zip(encoded, begins, begins[1:])

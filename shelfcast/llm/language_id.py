@@ -33,6 +33,7 @@ KEPT_WORDS = 200_000
 UNKNOWN = 1e-9
 _LETTERS = re.compile(r"[^\W\d_]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_MIX, _SLOT_BITS = np.uint64(0xD6E8FEB86659FD93), 19
 
 
 def words_of(text: str) -> list[str]:
@@ -46,6 +47,10 @@ def has_letter(text: str) -> bool:
     return any(map(str.isalpha, text))
 
 
+def _slot(keys: np.ndarray) -> np.ndarray:
+    return (keys * _MIX >> np.uint64(64 - _SLOT_BITS)).astype(np.intp)
+
+
 class Pieces:
     """The vocabulary of a sentencepiece model, looked up by hashes of whole columns of substrings."""
 
@@ -61,6 +66,8 @@ class Pieces:
         keys = np.array([self._key(n) for n in self.names], dtype=np.uint64)
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], order.astype(np.int64)
+        self.slots = np.full(1 << _SLOT_BITS, -1, dtype=np.int32)
+        self.slots[_slot(self.keys)] = np.arange(self.size)
 
     @staticmethod
     def _key(name: str) -> int:
@@ -74,14 +81,26 @@ class Pieces:
 
         ``size`` stands for a letter that is no piece, ``size + 1`` for no edge.
         """
-        n = len(words[0])
-        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4").reshape(len(words), n).astype(np.uint64)
+        return [e.T for e in self.edges("".join(words), len(words[0]))]
+
+    def edges(self, joined: str, n: int) -> list[np.ndarray]:
+        """The same as arrays (start, word), for words of ``n`` letters in a row.
+
+        Most substrings are no pieces; their slots in a table of places are empty. Pieces that share one are searched for.
+        """
+        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype="<u4").reshape(-1, n).T.astype(np.uint64, order="C")
         key, edges = np.zeros_like(codes), []
         for length in range(1, min(n, self.longest) + 1):
-            key = key[:, : n - length + 1] * _BASE + codes[:, length - 1 :] + np.uint64(1)
-            at = np.minimum(np.searchsorted(self.keys, key), self.size - 1)
-            missing = self.size if length == 1 else self.size + 1
-            edges.append(np.where(self.keys[at] == key, self.ids[at], missing))
+            key = key[: n - length + 1] * _BASE + codes[length - 1 :] + np.uint64(1)
+            found = np.full(key.shape, self.size if length == 1 else self.size + 1)
+            at = self.slots[_slot(key)].ravel()
+            asked = np.flatnonzero(at >= 0)
+            keys, at = key.ravel()[asked], at[asked]
+            other = np.flatnonzero(self.keys[at] != keys)
+            at[other] = np.minimum(np.searchsorted(self.keys, keys[other]), self.size - 1)
+            known = self.keys[at] == keys
+            found.ravel()[asked[known]] = self.ids[at[known]]
+            edges.append(found)
         return edges
 
 

@@ -13,12 +13,14 @@ with the smallest gap between their best and second score; only those are search
 
 from __future__ import annotations
 
+import bisect
 import heapq
 import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache, lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -29,10 +31,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcast.llm.common import resident, text_slices
-from shelfcast.llm.language_id import WORD_START, Pieces, by_length
+from shelfcast.llm.language_id import WORD_START, Pieces
 
 #: Chunks kept by a worker; all are let go when there are more, or longer ones.
-KEPT_CHUNKS, KEPT_LENGTH = 200_000, 64
+KEPT_CHUNKS, KEPT_LENGTH = 300_000, 64
 #: Characters of chunks that one lattice holds.
 LATTICE_CHARS = 40_000
 _BOUNDARY = re.compile(r"(?<=[^ ])(?= )")
@@ -72,6 +74,7 @@ class Vocabulary:
                 rank += 1
         if len(self.byte_ids) < 256:
             raise ValueError("the vocabulary must be able to spell bytes")
+        self.bytes_of = np.array([self.text_of.get(i) for i in range(size)], dtype=object)
         self.byte_score = min(self.scores.values(), default=-1.0)
         self.longest = max(map(len, self.scores), default=1)
         self.splits = not any(re.search("[^ ] ", x) for x in self.scores)
@@ -109,12 +112,14 @@ def edge_ids(v: Vocabulary, part: str) -> list[int]:
 
 def n_best(v: Vocabulary, text: str, n: int) -> list[tuple[float, list[int]]]:
     """The ``n`` best segmentations of a text, best first; of equal scores the one with the longer last pieces."""
-    size = len(text)
+    size, known = len(text), v.scores.get
     best = [0.0] + [-math.inf] * size
     into: list[list[tuple[int, float]]] = [[] for _ in range(size + 1)]
     for end in range(1, size + 1):
         for start in range(max(0, end - v.longest), end):
-            score = edge_score(v, text[start:end])
+            score = known(text[start:end])
+            if score is None and start == end - 1:
+                score = edge_score(v, text[start:end])
             if score is not None:
                 into[end].append((start, score))
                 best[end] = max(best[end], best[start] + score)
@@ -136,65 +141,97 @@ def n_best(v: Vocabulary, text: str, n: int) -> list[tuple[float, list[int]]]:
     return found
 
 
-def best_and_gap(v: Vocabulary, chunks: list[str]) -> list[tuple[bytes, float, float]]:
-    """For each chunk the ids of its best segmentation, their score and how far the second best is behind.
+@dataclass
+class Segmented:
+    """Chunks, one after the other: the ids of the best segmentation, its score and how far the second best is behind.
+
+    Those of chunk i are ``ids[starts[i] : starts[i + 1]]``.
+    """
+
+    ids: np.ndarray
+    starts: np.ndarray
+    scores: np.ndarray
+    gaps: np.ndarray
+
+    @classmethod
+    def of(cls, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> Segmented:
+        """From (ids, how many for each chunk, scores, gaps)."""
+        if not parts:
+            return cls(np.zeros(0, dtype="<u4"), np.zeros(1, dtype=np.int64), np.zeros(0), np.zeros(0))
+        ids, sizes, scores, gaps = (np.concatenate(x) for x in zip(*parts))
+        return cls(ids, np.concatenate([[0], np.cumsum(sizes)]), scores, gaps)
+
+    def with_others(self, other: Segmented) -> Segmented:
+        return Segmented.of([(x.ids, np.diff(x.starts), x.scores, x.gaps) for x in (self, other)])
+
+    def first(self, count: int) -> Segmented:
+        return Segmented(self.ids[: self.starts[count]].copy(), self.starts[: count + 1].copy(), self.scores[:count].copy(), self.gaps[:count].copy())
+
+    def take(self, at: np.ndarray) -> Segmented:
+        sizes = np.diff(self.starts)[at]
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        index = np.repeat(self.starts[at] - starts[:-1], sizes) + np.arange(starts[-1])
+        return Segmented(self.ids[index], starts, self.scores[at], self.gaps[at])
+
+
+def best_and_gap(v: Vocabulary, chunks: list[str]) -> Segmented:
+    """The best segmentation of each chunk. ``chunks`` go by length, those of one length are worked on together.
 
-    Chunks of one length are worked on together. The second best uses an edge that the best does not; through
-    each edge the best score is forward + edge + backward, so the largest of these is the second score.
+    The second best uses an edge that the best does not; through each edge the best score is forward + edge +
+    backward, so the largest of these is the second score. Arrays are (place, chunk), so that a step of all chunks is
+    a row.
     """
-    out: list[tuple[bytes, float, float]] = [(b"", 0.0, math.inf)] * len(chunks)
-    for own in by_length(chunks, LATTICE_CHARS):
-        texts = [chunks[i] for i in own]
-        marked = [t.replace(WORD_START, _LITERAL).replace(" ", WORD_START) for t in texts]
-        edges = v.lookup.lattice(marked)
-        scores = [v.column[e] for e in edges]
-        for w, s in np.argwhere(edges[0] == v.lookup.size):
-            scores[0][w, s] = v.byte_score * len(v.spelled(texts[w][s]))
-        words, n = edges[0].shape
-        ahead, back = np.full((words, n + 1), -np.inf), np.zeros((words, n + 1), dtype=np.int64)
-        ahead[:, 0] = 0
-        for end in range(1, n + 1):
-            for length in range(1, min(len(edges), end) + 1):
-                total = ahead[:, end - length] + scores[length - 1][:, end - length]
-                better = total >= ahead[:, end]
-                back[better, end] = length
-                ahead[:, end] = np.maximum(ahead[:, end], total)
-        behind = np.full((words, n + 1), -np.inf)
-        behind[:, n] = 0
-        for start in range(n - 1, -1, -1):
-            for length in range(1, min(len(edges), n - start) + 1):
-                np.maximum(behind[:, start], scores[length - 1][:, start] + behind[:, start + length], out=behind[:, start])
-        through = [ahead[:, : n + 1 - k] + s + behind[:, k:] for k, s in enumerate(scores, 1)]
-        at, steps = np.full(words, n), []
-        while (live := np.flatnonzero(at > 0)).size:
-            length = back[live, at[live]]
-            start = at[live] - length
-            piece = np.empty(len(live), dtype=np.int64)
-            for k in np.unique(length):
-                some = length == k
-                piece[some] = edges[k - 1][live[some], start[some]]
-                through[k - 1][live[some], start[some]] = -np.inf
-            steps.append((live, start, piece))
-            at[live] = start
-        second = np.max([x.max(axis=1) for x in through], axis=0)
-        word, start, piece = (np.concatenate(x) for x in zip(*steps))
-        order = np.lexsort((start, word))
-        word, start, piece = word[order], start[order], piece[order]
-        spelled = set(word[piece == v.lookup.size].tolist())
-        data = v.column_ids[np.minimum(piece, v.lookup.size - 1)].astype("<u4").tobytes()
-        cuts = np.searchsorted(word, np.arange(words + 1)).tolist()
-        best, gaps = ahead[:, n].tolist(), (ahead[:, n] - second).tolist()
-        for w, i in enumerate(own):
-            ids = data[4 * cuts[w] : 4 * cuts[w + 1]]
-            if w in spelled:
-                at_word = slice(cuts[w], cuts[w + 1])
-                parts = [
-                    [int(v.column_ids[p])] if p < v.lookup.size else v.spelled(texts[w][s])
-                    for p, s in zip(piece[at_word].tolist(), start[at_word].tolist())
-                ]
-                ids = np.array([x for part in parts for x in part], dtype="<u4").tobytes()
-            out[i] = (ids, best[w], gaps[w])
-    return out
+    found, begin = [], 0
+    while begin < len(chunks):
+        n = len(chunks[begin])
+        end = min(bisect.bisect_right(chunks, n, lo=begin, key=len), begin + max(1, LATTICE_CHARS // n))
+        found.append(_of_one_length(v, "".join(chunks[begin:end]), n))
+        begin = end
+    return Segmented.of(found)
+
+
+def _of_one_length(v: Vocabulary, joined: str, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    edges = v.lookup.edges(joined.replace(WORD_START, _LITERAL).replace(" ", WORD_START), n)
+    scores = [v.column[e] for e in edges]
+    words = edges[0].shape[1]
+    start, word = np.nonzero(edges[0] == v.lookup.size)
+    if len(start):
+        code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype="<u4")[word * n + start]
+        scores[0][start, word] = v.byte_score * (1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000))
+    ahead, back = np.full((n + 1, words), -np.inf), np.zeros((n + 1, words), dtype=np.int16)
+    ahead[0] = 0
+    for end in range(1, n + 1):
+        for length in range(1, min(len(edges), end) + 1):
+            total = ahead[end - length] + scores[length - 1][end - length]
+            np.putmask(back[end], total >= ahead[end], length)
+            np.maximum(ahead[end], total, out=ahead[end])
+    behind = np.full((n + 1, words), -np.inf)
+    behind[n] = 0
+    for start in range(n - 1, -1, -1):
+        for length in range(1, min(len(edges), n - start) + 1):
+            np.maximum(behind[start], scores[length - 1][start] + behind[start + length], out=behind[start])
+    through = [ahead[: n + 1 - k] + s + behind[k:] for k, s in enumerate(scores, 1)]
+    chosen, at = np.full((words, n), -1), np.full(words, n)
+    while (live := np.flatnonzero(at > 0)).size:
+        length = back[at[live], live].astype(np.int64)
+        start = at[live] - length
+        for k in np.unique(length):
+            some = length == k
+            chosen[live[some], start[some]] = edges[k - 1][start[some], live[some]]
+            through[k - 1][start[some], live[some]] = -np.inf
+        at[live] = start
+    second = np.max([x.max(axis=0) for x in through], axis=0)
+    word, start = np.nonzero(chosen >= 0)
+    piece = chosen[word, start]
+    ids = v.column_ids[np.minimum(piece, v.lookup.size - 1)].astype("<u4")
+    if (spelled := np.flatnonzero(piece == v.lookup.size)).size:
+        parts = [v.spelled(joined[i]) for i in (word[spelled] * n + start[spelled]).tolist()]
+        sizes = np.ones(len(piece), dtype=np.int64)
+        sizes[spelled] = [len(x) for x in parts]
+        of_bytes = np.repeat(piece == v.lookup.size, sizes)
+        ids, word = np.repeat(ids, sizes), np.repeat(word, sizes)
+        ids[of_bytes] = [x for part in parts for x in part]
+    return ids, np.bincount(word, minlength=words), ahead[n], ahead[n] - second
 
 
 def _found(path: str, chunk: str, n: int) -> tuple[tuple[float, tuple[int, ...]], ...]:
@@ -213,40 +250,48 @@ class Encoder:
 
     def __init__(self, path: str, n: int):
         self.v, self.path, self.n = vocabulary(path), path, n
-        self.kept: dict[str, tuple[bytes, float, float]] = {}
+        self.rows: dict[str, int] = {}
+        self.kept = Segmented.of([])
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, float, list[dict]]]:
         """For each text the ids of the best segmentation, its score, and the others as changes to it."""
-        parts, kept = [self.v.chunks(t) if t else [] for t in texts], self.kept
-        fresh = sorted(set().union(*parts) - kept.keys())
-        kept.update(zip(fresh, best_and_gap(self.v, fresh)))
-        found = [self._joined(own, list(map(kept.__getitem__, own))) for own in parts]
-        if len(kept) > KEPT_CHUNKS:
-            kept.clear()
-        else:
-            for chunk in fresh:
-                if len(chunk) > KEPT_LENGTH:
-                    del kept[chunk]
-        return found
-
-    def _joined(self, chunks: list[str], best: list[tuple[bytes, float, float]]) -> tuple[bytes, float, list[dict]]:
+        parts, rows = [self.v.chunks(t) if t else [] for t in texts], self.rows
+        chunks = list(chain.from_iterable(parts))
+        at = np.fromiter(map(rows.get, chunks, repeat(-1)), np.int64, len(chunks))
+        missing = np.flatnonzero(at < 0)
+        unknown = [chunks[i] for i in missing.tolist()]
+        fresh = sorted(set(unknown), key=len)
+        if fresh:
+            rows.update(zip(fresh, range(len(rows), len(rows) + len(fresh))))
+            at[missing] = [rows[c] for c in unknown]
+            self.kept = self.kept.with_others(best_and_gap(self.v, fresh))
+        best = self.kept.take(at)
+        if len(rows) > KEPT_CHUNKS:
+            rows.clear()
+            self.kept = Segmented.of([])
+        elif fresh and len(fresh[-1]) > KEPT_LENGTH:  # the longest come last
+            for chunk in fresh[bisect.bisect_right(fresh, KEPT_LENGTH, key=len) :]:
+                del rows[chunk]
+            self.kept = self.kept.first(len(rows))
+        ends = np.cumsum([len(own) for own in parts], dtype=np.int64).tolist()
+        return [self._joined(own, best, end - len(own), end) for own, end in zip(parts, ends)]
+
+    def _joined(self, chunks: list[str], best: Segmented, begin: int, end: int) -> tuple[bytes, float, list[dict]]:
+        """``best`` from ``begin`` to ``end`` is that of ``chunks``."""
         if not chunks:
             return b"", 0.0, []
-        parts, scores, gaps = zip(*best)
-        ids, score, size = b"".join(parts), math.fsum(scores), np.array(gaps)
-        nearest = np.argpartition(size, self.n - 2)[: self.n - 1] if 1 < self.n <= len(size) else np.arange(len(size) if self.n > 1 else 0)
+        sizes, gaps = best.starts[begin : end + 1], best.gaps[begin:end]
+        ids, score = best.ids[sizes[0] : sizes[-1]].tobytes(), math.fsum(best.scores[begin:end].tolist())
+        nearest = np.argpartition(gaps, self.n - 2)[: self.n - 1] if 1 < self.n <= len(gaps) else np.arange(len(gaps) if self.n > 1 else 0)
         open_chunks = sorted(i for i in nearest.tolist() if gaps[i] < math.inf)
         choices = [_searched(self.path, chunks[i], self.n) for i in open_chunks]
-        starts = {}
-        if open_chunks:
-            sizes = np.cumsum([0, *map(len, parts)]) // 4
-            starts = {i: int(sizes[i]) for i in open_chunks}
+        places = {i: (int(sizes[i] - sizes[0]), int(sizes[i + 1] - sizes[i])) for i in open_chunks}
         others = []
         heap, seen = [(0.0, (0,) * len(choices))], {(0,) * len(choices)}
         while heap and len(others) < self.n:
             loss, picked = heapq.heappop(heap)
             changes = [
-                {"start": starts[i], "length": len(best[i][0]) // 4, "ids": list(choice[k][1])}
+                {"start": places[i][0], "length": places[i][1], "ids": list(choice[k][1])}
                 for i, choice, k in zip(open_chunks, choices, picked) if k
             ]
             others.append({"score": score - loss, "changes": changes})
@@ -266,7 +311,7 @@ def encoder(path: str, n: int) -> Encoder:
 
 def decoded(v: Vocabulary, ids: np.ndarray) -> str:
     """The text of a segmentation: its pieces in a row without the space put before the text."""
-    text = b"".join(map(v.text_of.__getitem__, ids.tolist())).decode("utf-8", "surrogatepass")
+    text = b"".join(v.bytes_of[ids].tolist()).decode("utf-8", "surrogatepass")
     return text[1:] if text[:1] == " " else text
 
 

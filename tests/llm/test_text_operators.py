@@ -370,6 +370,31 @@ def test_a_long_text_without_spaces_needs_memory_for_its_places_only(letters):
     assert all(nbest_pieces.decoded(v, np.array(i)) == text[1:] for _, i in found)
 
 
+def test_few_substrings_are_searched_for_and_all_pieces_found(monkeypatch):
+    lookup, rng = nbest_pieces.vocabulary(PIECES).lookup, random.Random(8)
+    words = ["".join(rng.choice("▁theaninszoré日") for _ in range(12)) for _ in range(300)]
+    asked, search = [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda keys, x, *a, **b: (asked.append(np.size(x)), search(keys, x, *a, **b))[1])
+    edges = lookup.lattice(words)
+    assert sum(asked) < sum(e.size for e in edges) / 20
+    ids = {name: i for i, name in enumerate(lookup.names)}
+    for length, found in enumerate(edges, 1):
+        missing = lookup.size + (length > 1)
+        assert found.tolist() == [[ids.get(w[s : s + length], missing) for s in range(13 - length)] for w in words]
+
+
+def test_kept_chunks_are_rows_of_arrays_and_long_ones_go(monkeypatch):
+    monkeypatch.setattr(nbest_pieces, "KEPT_CHUNKS", 40)
+    encoder, rng = nbest_pieces.Encoder(PIECES, 3), random.Random(9)
+    texts = [" ".join("".join(rng.choice("aeinrst▁日ü") for _ in range(rng.choice([2, 5, 90]))) for _ in range(6)) for _ in range(30)]
+    whole = [nbest_pieces.Encoder(PIECES, 3).encode([t])[0] for t in texts]
+    for at in range(0, 30, 3):
+        assert encoder.encode(texts[at : at + 3]) == whole[at : at + 3]
+        assert all(len(c) <= nbest_pieces.KEPT_LENGTH for c in encoder.rows)
+        assert len(encoder.rows) == len(encoder.kept.scores) <= 40
+        assert encoder.kept.starts[-1] == len(encoder.kept.ids)
+
+
 def test_encoded_documents_decode_exactly(messy, nothing):
     found = nbest_pieces.encode(messy, PIECES, n=3)
     rows = found.select("doc_id", "text", nbest_pieces.decode(F.col("pieces.ids"), PIECES).alias("back"), "pieces").collect()

@@ -36,6 +36,9 @@ WINDOW = 128
 WORD_WINDOW = 32
 _WORD_BYTES = 8
 _IS_SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
+_LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
+#: Words of more bytes are hashed one by one.
+_LONG_WORD = 64
 #: A parse name with more full names than this is dealt to several groups, by the names of whole strings.
 LARGE_CLASS = 256
 _GROUPS = 64
@@ -49,7 +52,7 @@ def tag_of(data: bytes) -> int:
     return xxhash.xxh3_64_intdigest(data) & 0xFFFFFF
 
 
-def packed(tag: int, low: int, high: int, of_words: bool) -> int:
+def packed(tag: np.ndarray, low: np.ndarray, high: np.ndarray, of_words: bool) -> np.ndarray:
     return tag << 39 | low << 8 | of_words << 7 | high - low
 
 
@@ -58,11 +61,6 @@ def unpacked(place: int) -> tuple[int, int, int, bool]:
     return place >> 39, low, low + (place & 0x7F), bool(place & 0x80)
 
 
-def word_names(data: bytes) -> bytes:
-    """The hashes of a text's words, in a row."""
-    return np.array([xxhash.xxh3_64_intdigest(w) for w in data.split()], dtype="<u8").tobytes()
-
-
 def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """The first bytes of a text's words and those behind their last."""
     inside = np.concatenate([[False], ~_IS_SPACE[np.frombuffer(data, dtype=np.uint8)], [False]])
@@ -70,6 +68,31 @@ def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
+def word_names(data: bytes, bounds: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The hashes of a text's words, in a row: eight bytes of all words at a time, long words by themselves."""
+    begin, end = bounds
+    eights = np.ndarray((len(data) + 1,), "<u8", data + bytes(8), strides=(1,))
+    size = end - begin
+    names, rest = _mixed(size.astype(np.uint64)), np.flatnonzero(size <= _LONG_WORD)
+    for done in range(0, _LONG_WORD, 8):
+        left = size[rest] - done
+        symbols = eights[begin[rest] + done] & _LOW_BYTES[np.minimum(left, 8)]
+        names[rest] = _mixed(names[rest] * np.uint64(0xC2B2AE3D27D4EB4F) + symbols)
+        rest = rest[left > 8]
+        if not len(rest):
+            break
+    for i in np.flatnonzero(size > _LONG_WORD).tolist():
+        names[i] = xxhash.xxh3_64_intdigest(data[begin[i] : end[i]])
+    return names
+
+
+def _mixed(key: np.ndarray) -> np.ndarray:
+    """One to one; every bit depends on all."""
+    key = (key ^ key >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    key = (key ^ key >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return key ^ key >> np.uint64(31)
+
+
 def word_window(words: int) -> int:
     return min(WORD_WINDOW, 2 * words // 3)
 
@@ -86,9 +109,9 @@ def triggers(data: bytes, window: int = WINDOW) -> np.ndarray:
     return _smallest(key, window)
 
 
-def word_triggers(names: bytes, window: int) -> np.ndarray:
+def word_triggers(names: np.ndarray, window: int) -> np.ndarray:
     """The same for positions of words, by the hashes of two words in a row."""
-    key = np.frombuffer(names, dtype="<u8").astype(np.uint64)
+    key = names.astype(np.uint64)
     if len(key) < window:
         return np.zeros(0, dtype=np.int64)
     key[:-1] += key[1:] * np.uint64(0xC2B2AE3D27D4EB4F)
@@ -111,21 +134,30 @@ def _smallest(key: np.ndarray, window: int) -> np.ndarray:
     return (key & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
 
 
-def runs(data: bytes, at: np.ndarray, match: int, window: int, width: int = 1) -> list[tuple[int, int, int, int]]:
-    """(first position, last position, parse name, full name) of each run of a document; ``at``: its triggers.
+def runs(data: bytes, at: np.ndarray, ends: np.ndarray, match: int, window: int, width: int = 1) -> tuple[np.ndarray, ...]:
+    """Text, first and last position in it, parse name and full name of each run of the texts that ``data`` joins.
 
-    A position has ``width`` bytes.
+    ``at``: the triggers of all positions, ``ends``: where the texts end. A position has ``width`` bytes.
     """
-    if len(data) < match * width:
-        return []
-    at = at[: len(data) // width - match + 1]
-    cuts = np.flatnonzero(np.diff(at)) + 1
-    lows, highs = [0, *cuts.tolist()], [*(cuts - 1).tolist(), len(at) - 1]
-    shared, name = match - window + 1, xxhash.xxh3_64_intdigest
-    return [
-        (a, b, name(data[t * width : (t + shared) * width]) >> 1, name(data[a * width : (b + match) * width], seed=t - a) >> 1)
-        for a, b, t in zip(lows, highs, at[lows].tolist())
+    begins = np.concatenate([[0], ends[:-1]])
+    for a, b in zip(begins.tolist(), ends.tolist()):
+        at[max(a, b - match + 1) : b] = -1  # no string of a text starts here
+    lows = np.concatenate([[0], np.flatnonzero(at[1:] != at[:-1]) + 1]) if len(at) else at
+    highs = np.concatenate([lows[1:], [len(at)]])[: len(lows)] - 1
+    own = at[lows] >= 0
+    lows, highs = lows[own], highs[own]
+    t, text = at[lows], np.searchsorted(ends, lows, side="right")
+    shared, name = (match - window + 1) * width, xxhash.xxh3_64_digest
+    parse = [name(data[x : x + shared]) for x in (t * width).tolist()]
+    whole = [
+        name(data[a:b], seed) for a, b, seed in zip((lows * width).tolist(), ((highs + match) * width).tolist(), (t - lows).tolist())
     ]
+    return text, lows - begins[text], highs - begins[text], _numbers(parse), _numbers(whole)
+
+
+def _numbers(digests: list[bytes]) -> np.ndarray:
+    """63 bits of each."""
+    return (np.frombuffer(b"".join(digests), dtype=">u8") >> np.uint64(1)).astype(np.int64)
 
 
 def text_runs(docs: DataFrame, match: int, window: int, words: int | None = None) -> DataFrame:
@@ -134,22 +166,18 @@ def text_runs(docs: DataFrame, match: int, window: int, words: int | None = None
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_slices(batches):
             parts = [t.encode() for t in texts]
-            at, begin, rows = triggers(b"".join(parts), window), 0, []
-            for doc_id, data in zip(batch.column("id").to_pylist(), parts):
-                tag = tag_of(data)
-                rows += [
-                    (doc_id, packed(tag, a, b, False), parse, whole)
-                    for a, b, parse, whole in runs(data, at[begin : begin + len(data)] - begin, match, window)
-                ]
-                begin += len(data)
-                if words:
-                    names, span = word_names(data), word_window(words)
-                    rows += [
-                        (doc_id, packed(tag, a, b, True), parse, whole)
-                        for a, b, parse, whole in runs(names, word_triggers(names, span), words, span, _WORD_BYTES)
-                    ]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["id", "place", "parse", "whole"])
+            ids, tags = batch.column("id").to_numpy(), np.array([tag_of(data) for data in parts], dtype=np.int64)
+            data, ends = b"".join(parts), np.cumsum([len(data) for data in parts])
+            yield as_batch(ids, tags, False, *runs(data, triggers(data, window), ends, match, window))
+            if words:
+                data = b" ".join(parts)
+                bounds, span = word_bounds(data), word_window(words)
+                names, ends = word_names(data, bounds), np.searchsorted(bounds[0], ends + np.arange(len(ends)))
+                yield as_batch(ids, tags, True, *runs(names.tobytes(), word_triggers(names, span), ends, words, span, _WORD_BYTES))
+
+    def as_batch(ids, tags, of_words, text, low, high, parse, whole) -> pa.RecordBatch:  # noqa: ANN001
+        columns = [ids[text], packed(tags[text], low, high, of_words), parse, whole]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["id", "place", "parse", "whole"])
 
     return docs.select("id", "text").mapInArrow(find, "id long, place long, parse long, whole long")
 
@@ -172,9 +200,9 @@ def _positions(bodies: DataFrame, taken_apart: DataFrame, match: int, words: int
     """Rows (parse, whole, deal, name, bit): each position of the runs in ``taken_apart`` (id, runs)."""
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, plain = xxhash.xxh3_64_intdigest, zstandard.ZstdDecompressor()
+        name, plain = xxhash.xxh3_64_digest, zstandard.ZstdDecompressor()
         for batch in batches:
-            rows = []
+            found, sizes, strings = [], [], []
             for body, own in zip(batch.column("body"), batch.column("runs")):
                 if body.as_py() is None:
                     continue
@@ -184,19 +212,23 @@ def _positions(bodies: DataFrame, taken_apart: DataFrame, match: int, words: int
                     of, low, high, of_words = unpacked(r["place"])
                     if of == tag:
                         if of_words and names is None:
-                            names = word_names(data)
-                        symbols, width, size = (names, _WORD_BYTES, words) if of_words else (data, 1, match)
-                        for i in range(low, high + 1):
-                            w = name(symbols[i * width : (i + size) * width]) >> 1
-                            rows.append((r["parse"], r["whole"], w % _GROUPS if r["members"] > LARGE_CLASS else 0, w, i - low))
-                if len(rows) > 200_000:
-                    yield as_batch(rows)
-                    rows = []
-            if rows:
-                yield as_batch(rows)
-
-    def as_batch(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["parse", "whole", "deal", "name", "bit"])
+                            names = word_names(data, word_bounds(data)).tobytes()
+                        symbols, width, size = (names, _WORD_BYTES, words * _WORD_BYTES) if of_words else (data, 1, match)
+                        found.append((r["parse"], r["whole"], r["members"]))
+                        sizes.append(high - low + 1)
+                        strings += [name(symbols[i : i + size]) for i in range(low * width, (high + 1) * width, width)]
+                if len(strings) > 200_000:
+                    yield as_batch(found, sizes, strings)
+                    found, sizes, strings = [], [], []
+            if found:
+                yield as_batch(found, sizes, strings)
+
+    def as_batch(found: list[tuple], sizes: list[int], strings: list[bytes]) -> pa.RecordBatch:
+        parse, whole, members = np.repeat(np.array(found, dtype=np.int64), sizes, axis=0).T
+        name = _numbers(strings)
+        bit = np.arange(len(name)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        columns = [parse, whole, np.where(members > LARGE_CLASS, name % _GROUPS, 0), name, bit]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["parse", "whole", "deal", "name", "bit"])
 
     return bodies.select("id", "body").join(taken_apart, "id").dropDuplicates(["id"]).mapInArrow(
         expand, "parse long, whole long, deal long, name long, bit long"
@@ -229,14 +261,14 @@ def repeated_runs(docs: DataFrame, match: int, window: int, words: int | None =
     return candidates.join(masks, ["parse", "whole"]).select("id", "place", "low", "high")
 
 
-def removed_spans(places: list[dict], data: bytes, match: int, words: int | None = None) -> list[tuple[int, int]]:
-    """Maximal removed stretches of a text, from its runs."""
-    spans, tag, bounds = [], tag_of(data), None
-    for r in places:
-        of, first, last, of_words = unpacked(r["place"])
+def repeated_spans(places: list[tuple[int, int, int]], data: bytes, match: int, words: int | None = None) -> tuple[list, list]:
+    """Stretches (start, end) of a text that its runs (place, low, high) of bytes and those of words mark."""
+    strings, passages, tag, bounds = [], [], tag_of(data), None
+    for place, low, high in places:
+        of, first, last, of_words = unpacked(place)
         if of != tag:
             continue
-        mask = (r["low"] & 0xFFFFFFFFFFFFFFFF) | (r["high"] & 0xFFFFFFFFFFFFFFFF) << 64
+        mask = (low & 0xFFFFFFFFFFFFFFFF) | (high & 0xFFFFFFFFFFFFFFFF) << 64
         mask &= (1 << (last - first + 1)) - 1
         while mask:
             start = (mask & -mask).bit_length() - 1
@@ -244,20 +276,32 @@ def removed_spans(places: list[dict], data: bytes, match: int, words: int | None
             begin, size = first + start, length - 1 + (words if of_words else match)
             if of_words:
                 bounds = bounds or word_bounds(data)
-                spans.append((int(bounds[0][begin]), int(bounds[1][begin + size - 1])))
+                passages.append((int(bounds[0][begin]), int(bounds[1][begin + size - 1])))
             else:
-                spans.append((begin, begin + size))
+                strings.append((begin, begin + size))
             mask = mask >> (start + length) << (start + length)
-    merged: list[tuple[int, int]] = []
+    return strings, passages
+
+
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Maximal stretches."""
+    out: list[tuple[int, int]] = []
     for a, b in sorted(spans):
-        if merged and a <= merged[-1][1]:
-            merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
         else:
-            merged.append((a, b))
-    return merged
+            out.append((a, b))
+    return out
+
 
+def without(data: bytes, spans: list[tuple[int, int]]) -> bytes:
+    edges = [0, *(x for s in spans for x in s), len(data)]
+    return b"".join([data[a:b] for a, b in zip(edges[::2], edges[1::2])])
 
-def remove_repeats(docs: DataFrame, match: int = 400, window: int = WINDOW, as_text: bool = False, words: int | None = None) -> DataFrame:
+
+def remove_repeats(
+    docs: DataFrame, match: int = 400, window: int = WINDOW, as_text: bool = False, words: int | None = None, apart: bool = False
+) -> DataFrame:
     """Rows (rest, n_bytes, spans, kept): each row of ``docs`` without the bytes of repeated strings.
 
     A byte goes if a string of ``match`` bytes covers it that starts anywhere else too, in the same text or
@@ -268,6 +312,9 @@ def remove_repeats(docs: DataFrame, match: int = 400, window: int = WINDOW, as_t
     space) that starts anywhere else too, whatever space is between the words. Texts shorter than either stay
     whole; repeated rows are repeats of each other. An empty table gives no rows.
 
+    With ``apart`` runs of words leave ``spans`` and ``kept`` alone and make two further columns: ``passages``, their
+    own maximal stretches, and ``clean``, the text without both, as a string like that of ``as_text``.
+
     Texts move twice, compressed, once for the runs that are taken apart and once for the cut. Between, only
     names and numbers of runs do, and after the first count only those whose parse name occurs twice.
     """
@@ -275,38 +322,52 @@ def remove_repeats(docs: DataFrame, match: int = 400, window: int = WINDOW, as_t
         raise ValueError("the window must be over 8, at most 128 and at least 8 less than the match")
     if words is not None and words < 3:
         raise ValueError("a run has 3 words at least")
+    if apart and words is None:
+        raise ValueError("there are no runs of words to set apart")
     rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
     # a text is known by a hash of itself and its doc_id, with the tag of a run 88 bits; only equal rows share it, and
     # their equal runs become one, so what is gathered is bounded by one text
     keyed = docs.select(F.xxhash64("doc_id", "text").alias("id"), rest.alias("rest"), "text")
     places = repeated_runs(keyed, match, window, words).groupBy("id").agg(F.collect_set(F.struct("place", "low", "high")).alias("places"))
     joined = _bodies(keyed).join(places, "id", "left").select("rest", "body", "places")
+    stretches = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     schema = T.StructType([
-        joined.schema["rest"], T.StructField("n_bytes", T.LongType()),
-        T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
+        joined.schema["rest"], T.StructField("n_bytes", T.LongType()), T.StructField("spans", stretches),
         T.StructField("kept", T.StringType() if as_text else T.BinaryType()),
+        *([T.StructField("passages", stretches), T.StructField("clean", T.StringType())] if apart else []),
     ])
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    types = [pa.int64(), span_type, pa.string() if as_text else pa.binary(), span_type, pa.string()]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plain = zstandard.ZstdDecompressor()
         for batch in batches:
-            start, sizes, spans, kept, volume = 0, [], [], [], 0
-            for i, (body, own) in enumerate(zip(batch.column("body"), batch.column("places"))):
-                body, own = body.as_py(), own.as_py()
+            found = batch.column("places")
+            runs_of = list(zip(*[c.to_pylist() for c in found.flatten().flatten()]))
+            counts = found.value_lengths().fill_null(0).to_pylist()
+            start, first, rows, volume = 0, 0, [], 0
+            for i, (body, n) in enumerate(zip(batch.column("body"), counts)):
+                body = body.as_py()
                 data = plain.decompress(body) if body else b""
-                gone = removed_spans(own, data, match, words) if own else []
-                edges = [0, *(x for s in gone for x in s), len(data)]
-                left = b"".join([data[a:b] for a, b in zip(edges[::2], edges[1::2])])
-                sizes.append(len(data))
-                spans.append([{"start": a, "end": b} for a, b in gone])
-                kept.append(None if body is None else left.decode("utf-8", "ignore") if as_text else left)
+                strings, passages = repeated_spans(runs_of[first : first + n], data, match, words) if n else ([], [])
+                first += n
+                spans = merged(strings if apart else strings + passages)
+                left = without(data, spans)
+                text = left.decode("utf-8", "ignore") if as_text else left
+                row = [len(data), as_structs(spans), None if body is None else text]
+                if apart:
+                    passages = merged(passages)
+                    clean = without(data, merged(spans + passages)) if passages else left
+                    row += [as_structs(passages), None if body is None else clean.decode("utf-8", "ignore")]
+                    volume += len(clean)
+                rows.append(row)
                 volume += len(left)
                 if volume > _OUTPUT_BYTES or i == batch.num_rows - 1:
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column("rest").slice(start, len(sizes)), pa.array(sizes, pa.int64()), pa.array(spans, span_type), pa.array(kept, pa.string() if as_text else pa.binary())],
-                        names=["rest", "n_bytes", "spans", "kept"],
-                    )
-                    start, sizes, spans, kept, volume = i + 1, [], [], [], 0
+                    columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
+                    yield pa.RecordBatch.from_arrays([batch.column("rest").slice(start, len(rows)), *columns], names=schema.names)
+                    start, rows, volume = i + 1, [], 0
+
+    def as_structs(spans: list[tuple[int, int]]) -> list[dict[str, int]]:
+        return [{"start": a, "end": b} for a, b in spans]
 
     return joined.mapInArrow(cut, schema)

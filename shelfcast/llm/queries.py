@@ -92,13 +92,15 @@ def op8_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_prefix_free(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated strings of 400 bytes; the last two columns also tell of repeated passages of over 50 words, often shorter."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = prefix_free.remove_repeats(docs, match=400)
+    found = prefix_free.remove_repeats(docs, match=400, words=51, apart=True)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return found.select(
         "rest.doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
         F.sha2(F.coalesce("kept", F.lit(b"")), 256).alias("kept_sha256"),
         F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
+        F.size("passages").cast("long").alias("n_passages"), F.col("clean").alias("text_without_passages"),
     )
 
 

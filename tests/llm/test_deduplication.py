@@ -8,6 +8,7 @@ from llm_rows import SCHEMA, messy_rows, prose
 
 from shelfcast.llm import embedding_pivots, minmax_dedup, prefix_free
 from shelfcast.llm.common import components
+from shelfcast.llm.queries import op9_prefix_free
 
 
 def roots(ids, links):
@@ -222,3 +223,32 @@ def test_recall_at_the_threshold():
     x, y = (embedding_pivots.permutations(v, pivots, config.nearest) for v in (a, b))
     shared = np.array([len(set(p) & set(q)) for p, q in zip(x.tolist(), y.tolist())])
     assert (shared >= config.shared).mean() >= 0.9
+
+
+def test_the_query_tells_of_passages_of_more_than_50_words(spark, tmp_path):
+    """Beside the 400 bytes, which short words do not reach, and without a change to what these remove."""
+    rng = random.Random(34)
+    short = [chr(97 + k) + chr(97 + m) for k in range(26) for m in range(26)]
+    of_51, of_50, long = (" ".join(rng.sample(short, n)) for n in (51, 50, 140))
+    parts = [of_51, of_51.replace(" ", "\n "), of_50, of_50, long, f"{long[:-3]}é", of_51 + f" {of_50}x", ""]
+    assert len(parts[1].encode()) < 400 < len(long)
+    rows = [(i, f"{prose(rng, 'en', 40)} start{i} {part} end{i} {prose(rng, 'de', 40)}") for i, part in enumerate(parts)]
+    rows += [(None, rows[0][1].replace("start0", "other")), (9, None), (10, ""), (11, " ".join([of_51] * 2))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = sorted(op9_prefix_free(spark, str(tmp_path)).collect(), key=str)
+    split, counts = [(t or "").split() for _, t in rows], Counter()
+    for w in split:
+        counts.update(tuple(w[k : k + 51]) for k in range(len(w) - 50))
+    assert len(found) == len(rows)
+    for (i, text), w, (n_bytes, n_spans, digest) in zip(rows, split, brute_cut([(t or "").encode() for _, t in rows], 400)):
+        (r,) = [r for r in found if r["doc_id"] == i]
+        assert (r["n_bytes"], r["n_spans"], r["kept_sha256"]) == (n_bytes, n_spans, digest)
+        starts = [k for k in range(len(w) - 50) if counts[tuple(w[k : k + 51])] > 1]
+        assert r["n_passages"] == sum(b - a > 50 for a, b in zip([-51, *starts], starts))
+        gone = {k + m for k in starts for m in range(51)}
+        if n_spans == 0:
+            left = None if text is None else [x for k, x in enumerate(w) if k not in gone]
+            assert (r["text_without_passages"] if text is None else r["text_without_passages"].split()) == left
+    of = {r["doc_id"]: r for r in found}
+    assert [of[i]["n_passages"] for i in (0, 1, 2, 3, 4, 5, 6, 7)] == [1, 1, 0, 0, 1, 1, 1, 0]
+    assert [of[i]["n_removed"] for i in (1, 2, 3, 6, 7)] == [0] * 5 and of[4]["n_removed"] >= 400

@@ -134,10 +134,13 @@ def _smallest(key: np.ndarray, window: int) -> np.ndarray:
     return (key & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
 
 
-def runs(data: bytes, at: np.ndarray, ends: np.ndarray, match: int, window: int, width: int = 1) -> tuple[np.ndarray, ...]:
+def runs(
+    data: bytes, at: np.ndarray, ends: np.ndarray, match: int, window: int, width: int = 1, whole_names: bool = True
+) -> tuple[np.ndarray, ...]:
     """Text, first and last position in it, parse name and full name of each run of the texts that ``data`` joins.
 
-    ``at``: the triggers of all positions, ``ends``: where the texts end. A position has ``width`` bytes.
+    ``at``: the triggers of all positions, ``ends``: where the texts end. A position has ``width`` bytes. Full names
+    are left out unless ``whole_names``.
     """
     begins = np.concatenate([[0], ends[:-1]])
     for a, b in zip(begins.tolist(), ends.tolist()):
@@ -148,11 +151,13 @@ def runs(data: bytes, at: np.ndarray, ends: np.ndarray, match: int, window: int,
     lows, highs = lows[own], highs[own]
     t, text = at[lows], np.searchsorted(ends, lows, side="right")
     shared, name = (match - window + 1) * width, xxhash.xxh3_64_digest
-    parse = [name(data[x : x + shared]) for x in (t * width).tolist()]
+    found = text, lows - begins[text], highs - begins[text], _numbers([name(data[x : x + shared]) for x in (t * width).tolist()])
+    if not whole_names:
+        return found
     whole = [
         name(data[a:b], seed) for a, b, seed in zip((lows * width).tolist(), ((highs + match) * width).tolist(), (t - lows).tolist())
     ]
-    return text, lows - begins[text], highs - begins[text], _numbers(parse), _numbers(whole)
+    return *found, _numbers(whole)
 
 
 def _numbers(digests: list[bytes]) -> np.ndarray:
@@ -160,26 +165,33 @@ def _numbers(digests: list[bytes]) -> np.ndarray:
     return (np.frombuffer(b"".join(digests), dtype=">u8") >> np.uint64(1)).astype(np.int64)
 
 
-def text_runs(docs: DataFrame, match: int, window: int, words: int | None = None) -> DataFrame:
-    """Rows (id, place, parse, whole) for all runs of all texts, with ``words`` also for those of words."""
+def text_runs(docs: DataFrame, match: int, window: int, words: int | None = None, parse_only: bool = False) -> DataFrame:
+    """Rows (id, place, parse, whole) for all runs of all texts, with ``words`` also for those of words.
+
+    With ``parse_only`` rows (parse), for the same runs.
+    """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_slices(batches):
             parts = [t.encode() for t in texts]
             ids, tags = batch.column("id").to_numpy(), np.array([tag_of(data) for data in parts], dtype=np.int64)
             data, ends = b"".join(parts), np.cumsum([len(data) for data in parts])
-            yield as_batch(ids, tags, False, *runs(data, triggers(data, window), ends, match, window))
+            yield as_batch(ids, tags, False, *runs(data, triggers(data, window), ends, match, window, 1, not parse_only))
             if words:
                 data = b" ".join(parts)
                 bounds, span = word_bounds(data), word_window(words)
                 names, ends = word_names(data, bounds), np.searchsorted(bounds[0], ends + np.arange(len(ends)))
-                yield as_batch(ids, tags, True, *runs(names.tobytes(), word_triggers(names, span), ends, words, span, _WORD_BYTES))
+                at = word_triggers(names, span)
+                yield as_batch(ids, tags, True, *runs(names.tobytes(), at, ends, words, span, _WORD_BYTES, not parse_only))
 
-    def as_batch(ids, tags, of_words, text, low, high, parse, whole) -> pa.RecordBatch:  # noqa: ANN001
+    def as_batch(ids, tags, of_words, text, low, high, parse, whole=None) -> pa.RecordBatch:  # noqa: ANN001
+        if parse_only:
+            return pa.RecordBatch.from_arrays([pa.array(parse, pa.int64())], names=["parse"])
         columns = [ids[text], packed(tags[text], low, high, of_words), parse, whole]
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["id", "place", "parse", "whole"])
 
-    return docs.select("id", "text").mapInArrow(find, "id long, place long, parse long, whole long")
+    schema = "parse long" if parse_only else "id long, place long, parse long, whole long"
+    return docs.select("id", "text").mapInArrow(find, schema)
 
 
 def _bodies(docs: DataFrame) -> DataFrame:
@@ -236,10 +248,14 @@ def _positions(bodies: DataFrame, taken_apart: DataFrame, match: int, words: int
 
 
 def repeated_runs(docs: DataFrame, match: int, window: int, words: int | None = None) -> DataFrame:
-    """Rows (id, place, low, high): for each run with repeats the bits of its repeated positions, two words."""
-    found = stored(text_runs(docs, match, window, words), "runs")
-    shared = stored(found.groupBy("parse").agg(F.count("*").alias("n")).where("n > 1").select("parse"), "shared-parses")
-    candidates = stored(found.join(shared, "parse"), "candidate-runs")
+    """Rows (id, place, low, high): for each run with repeats the bits of its repeated positions, two words.
+
+    Runs are found twice, once to count parse names and once to keep those of shared ones: a table of them all would
+    take as much disk as the texts.
+    """
+    parses = text_runs(docs, match, window, words, parse_only=True)
+    shared = stored(parses.groupBy("parse").agg(F.count("*").alias("n")).where("n > 1").select("parse"), "shared-parses")
+    candidates = stored(text_runs(docs, match, window, words).join(shared, "parse"), "candidate-runs")
     names = stored(
         candidates.groupBy("parse", "whole").agg(F.count("*").alias("n"), F.min(F.struct("id", "place")).alias("one")), "run-names"
     )

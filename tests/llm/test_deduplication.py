@@ -149,6 +149,28 @@ def test_runs_of_words_match_all_runs(spark, words):
     assert {r["rest"]["doc_id"]: (r["kept"] or b"").split() for r in found} == expected
 
 
+def test_only_runs_that_may_repeat_are_stored(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.getrandbits(40):x}" for _ in range(300)) for _ in range(30)]
+    passage = " ".join(texts[0].split(" ")[100:160])
+    texts[1] += f" {passage}"
+    sizes, stored = {}, prefix_free.stored
+
+    def counted(df, name, *more):
+        out = stored(df, name, *more)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(prefix_free, "stored", counted)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["rest"]["doc_id"]: r["kept"] for r in prefix_free.remove_repeats(frame, as_text=True, words=51).collect()}
+    assert {i: t.split() for i, t in found.items()} == {i: (t.replace(passage, "") if i < 2 else t).split() for i, t in enumerate(texts)}
+    keyed = frame.withColumnRenamed("doc_id", "id")
+    names = sorted(r["parse"] for r in prefix_free.text_runs(keyed, 400, 128, 51).collect())
+    assert 0 < sizes["candidate-runs"] and sum(sizes.values()) < len(names) / 10
+    assert names == sorted(r["parse"] for r in prefix_free.text_runs(keyed, 400, 128, 51, parse_only=True).collect())
+
+
 def vectors():
     rng = np.random.default_rng(1)
     base = rng.normal(size=(300, 16))
